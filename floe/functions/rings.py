@@ -1,12 +1,12 @@
-"""Polygon rings as ``array<struct<x,y>>`` columns: area, convexity, convex clipping.
+"""Polygon rings as ``array<struct<x,y>>`` columns: edges, area, projection, box clipping.
 
-Rings are open (the closing vertex is implied) and small, so everything stays
-inside JVM higher-order functions; no geometry library and no Python worker.
+Rings are open (the closing vertex is implied). Every step is one pass over the ring
+in JVM higher-order functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.functions.geo import polar_xy
@@ -21,10 +21,26 @@ def box_ring(west: Column, south: Column, east: Column, north: Column) -> Column
     return F.array(point(west, south), point(east, south), point(east, north), point(west, north))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a Column named twice is evaluated twice."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns behind a generator, so that later filters never copy their expressions downwards."""
+    packed = F.struct(*[column.alias(name) for name, column in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(packed)))
+
+
 def open_ring(ring: Column) -> Column:
     """Drop a repeated closing vertex."""
-    closed = (F.size(ring) > 1) & (F.element_at(ring, 1) == F.element_at(ring, -1))
-    return F.when(closed, F.slice(ring, 1, F.size(ring) - 1)).otherwise(ring)
+
+    def opened(r: Column) -> Column:
+        closed = (F.size(r) > 1) & (F.element_at(r, 1) == F.element_at(r, -1))
+        return F.when(closed, F.slice(r, 1, F.size(r) - 1)).otherwise(r)
+
+    return let(ring, opened)
 
 
 def project_ring(ring: Column) -> Column:
@@ -38,97 +54,59 @@ def project_ring(ring: Column) -> Column:
 
 
 def _following(ring: Column) -> Column:
-    """The ring rotated by one, so that position i holds the end of edge i."""
+    """The ring rotated by one, so that position i holds the end of edge i (``ring`` is a plain reference)."""
     return F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
 
 
+def ring_edges(ring: Column) -> Column:
+    """Edges ``p -> q`` of a ring (``ring`` is a plain reference)."""
+    return F.zip_with(ring, _following(ring), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
 def _cross(o: Column, p: Column, q: Column) -> Column:
     return (p["x"] - o["x"]) * (q["y"] - o["y"]) - (p["y"] - o["y"]) * (q["x"] - o["x"])
 
 
 def signed_area(ring: Column) -> Column:
     """Shoelace sum about the first vertex (keeps map-sized coordinates from cancelling)."""
-    origin = F.element_at(ring, 1)
-    terms = F.zip_with(ring, _following(ring), lambda p, q: _cross(origin, p, q))
-    total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-    return F.when(F.size(ring) >= 3, total / 2).otherwise(F.lit(0.0))
-
-
-def area(ring: Column) -> Column:
-    return F.abs(signed_area(ring))
-
 
-def ccw(ring: Column) -> Column:
-    """Same ring, counter-clockwise."""
-    return F.when(signed_area(ring) < 0, F.reverse(ring)).otherwise(ring)
+    def shoelace(r: Column) -> Column:
+        terms = F.zip_with(r, _following(r), lambda p, q: _cross(r[0], p, q))
+        total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+        return F.when(F.size(r) >= 3, total / 2).otherwise(F.lit(0.0))
 
+    return let(ring, shoelace)
 
-def is_convex(ring: Column) -> Column:
-    """Every turn in one direction and only one revolution (a star polygon is not convex)."""
-    nxt = _following(ring)
-    turns = F.zip_with(ring, F.arrays_zip(nxt.alias("p"), _following(nxt).alias("q")), lambda o, pq: _cross(o, pq["p"], pq["q"]))
-    same_side = F.forall(turns, lambda t: t >= 0) | F.forall(turns, lambda t: t <= 0)
-    # one revolution: x runs up and down only once
-    steps = F.filter(F.zip_with(ring, nxt, lambda p, q: F.signum(q["x"] - p["x"])), lambda s: s != 0)
-    flips = F.size(F.filter(F.zip_with(steps, _following(steps), lambda s, t: s != t), lambda changed: changed))
-    return (F.size(ring) >= 3) & same_side & (flips <= 2) & (area(ring) > 0)
 
+def area(ring: Column) -> Column:
+    return F.abs(signed_area(ring))
 
-def is_simple(ring: Column) -> Column:
-    """No two edges cross each other, and the ring encloses some area."""
-    edges = F.zip_with(ring, _following(ring), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-
-    def crosses(a: Column, b: Column) -> Column:
-        d1, d2 = _cross(a["p"], a["q"], b["p"]), _cross(a["p"], a["q"], b["q"])
-        d3, d4 = _cross(b["p"], b["q"], a["p"]), _cross(b["p"], b["q"], a["q"])
-        return (d1 * d2 < 0) & (d3 * d4 < 0)
 
-    return (
-        (F.size(ring) >= 3)
-        & (area(ring) > 0)
-        & ~F.exists(edges, lambda a: F.exists(edges, lambda b: crosses(a, b)))
-    )
+EMPTY = "array<struct<x:double,y:double>>"
 
 
 def _clip_half_plane(ring: Column, side, meet) -> Column:
-    """Keep the part of a ring where ``side(p) >= 0``; ``meet(p, q)`` is the boundary point between."""
+    """Keep the part of a ring where ``side(p) >= 0``; ``meet(p, dp, q, dq)`` is the boundary point between."""
+    measured = F.transform(ring, lambda v: F.struct(v.alias("v"), side(v).alias("d")))
 
-    def piece(p: Column, q: Column) -> Column:
-        p_in, q_in = side(p) >= 0, side(q) >= 0
+    def piece(a: Column, b: Column) -> Column:
+        p, q, dp, dq = a["v"], b["v"], a["d"], b["d"]
         return (
-            F.when(p_in & q_in, F.array(q))
-            .when(p_in & ~q_in, F.array(meet(p, q)))
-            .when(~p_in & q_in, F.array(meet(p, q), q))
-            .otherwise(F.array().cast("array<struct<x:double,y:double>>"))
+            F.when((dp >= 0) & (dq >= 0), F.array(q))
+            .when(dp >= 0, F.array(meet(p, dp, q, dq)))
+            .when(dq >= 0, F.array(meet(p, dp, q, dq), q))
+            .otherwise(F.array().cast(EMPTY))
         )
 
-    return F.flatten(F.zip_with(ring, _following(ring), piece))
-
-
-def clip_convex(subject: Column, clipper: Column) -> Column:
-    """Sutherland-Hodgman: ``subject`` inside a convex counter-clockwise ``clipper``."""
-    edges = F.zip_with(clipper, _following(clipper), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-
-    def one_edge(ring: Column, edge: Column) -> Column:
-        side = lambda v: _cross(edge["p"], edge["q"], v)
-
-        def meet(p: Column, q: Column) -> Column:
-            dp, dq = side(p), side(q)
-            t = dp / (dp - dq)
-            return point(p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"]))
-
-        return _clip_half_plane(ring, side, meet)
-
-    empty = F.array().cast("array<struct<x:double,y:double>>")
-    return F.aggregate(edges, F.coalesce(subject, empty), one_edge)
+    return F.flatten(let(measured, lambda m: F.zip_with(m, _following(m), piece)))
 
 
 def clip_box(ring: Column, west: float, south: float, east: float, north: float) -> Column:
     """A ring inside an axis-aligned box; a concave ring keeps its exact area."""
 
     def along(axis: str, other: str, bound: float, sign: float):
-        def meet(p: Column, q: Column) -> Column:
-            t = (bound - p[axis]) / (q[axis] - p[axis])
+        def meet(p: Column, dp: Column, q: Column, dq: Column) -> Column:
+            t = dp / (dp - dq)
             crossing = p[other] + t * (q[other] - p[other])
             return point(F.lit(bound), crossing) if axis == "x" else point(crossing, F.lit(bound))
 
@@ -138,7 +116,3 @@ def clip_box(ring: Column, west: float, south: float, east: float, north: float)
         ring = _clip_half_plane(ring, *along(axis, other, float(bound), sign))
     return ring
 
-
-def overlap_area(first: Column, second: Column, aoi: Column) -> Column:
-    """Area common to two rings and a convex area of interest (all counter-clockwise)."""
-    return area(clip_convex(clip_convex(first, second), aoi))

@@ -158,6 +158,10 @@ def regrid_nearest(targets: DataFrame, source: DataFrame, values: list[str]) ->
     return placed.join(looked_up, ["scene_id", "sr", "sc"], "left").drop("sr", "sc")
 
 
+def _upto(count: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
+
+
 def display_shape(bbox: tuple[float, float, float, float], longest: int = 1800) -> tuple[int, int]:
     """Height and width of a display image of a lon/lat box."""
     west, south, east, north = bbox
@@ -173,8 +177,8 @@ def display_image(rgba: DataFrame, scenes: DataFrame, affine: Affine, bbox: tupl
     """
     west, south, east, north = bbox
     height, width = display_shape(bbox, longest)
-    pixels = scenes.select("scene_id", F.explode(F.sequence(F.lit(0), F.lit(height - 1))).cast("bigint").alias("row"))
-    pixels = pixels.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).cast("bigint"))
+    pixels = scenes.select("scene_id", F.explode(_upto(height)).alias("row"))
+    pixels = pixels.withColumn("col", F.explode(_upto(width)))
     lon = west + (F.col("col") + 0.5) * ((east - west) / width)
     lat = north - (F.col("row") + 0.5) * ((north - south) / height)
     sr, sc = source_index(*polar_xy(lon, lat), affine)

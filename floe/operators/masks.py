@@ -13,15 +13,73 @@ SPAN_BLOCK = 256
 
 def polygon_edges(polygons: DataFrame, keys: list[str]) -> DataFrame:
     """Ring column ``ring`` to one row per edge ``x1, y1, x2, y2``."""
-    ring = rings.open_ring(F.col("ring"))
-    following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    pairs = F.zip_with(ring, following, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    pairs = rings.let(rings.open_ring(F.col("ring")), rings.ring_edges)
     edges = polygons.filter(F.size("ring") >= 3).select(*keys, F.explode(pairs).alias("e"))
     return edges.select(
         *keys, F.col("e.p.x").alias("x1"), F.col("e.p.y").alias("y1"), F.col("e.q.x").alias("x2"), F.col("e.q.y").alias("y2")
     )
 
 
+def crossing_polygons(polygons: DataFrame, key: str = "poly_id") -> DataFrame:
+    """Keys of polygons with a ring whose edges cross each other.
+
+    Edges are filed under the squares they pass through, a typical edge length wide, and
+    only edges in one square are compared, so the work follows the outline's length and
+    not the square of its vertex count.
+    """
+    r = F.col("ring")
+    pairs = rings.let(rings.open_ring(r), rings.ring_edges)
+    numbered = polygons.filter(F.size(r) >= 4).select(
+        key, F.xxhash64("ring").alias("ring_key"), F.posexplode(pairs).alias("k", "e")
+    )
+    flat = numbered.select(
+        key, "ring_key", "k", F.col("e.p.x").alias("x1"), F.col("e.p.y").alias("y1"), F.col("e.q.x").alias("x2"), F.col("e.q.y").alias("y2")
+    )
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    typical = flat.groupBy(key, "ring_key").agg(F.percentile_approx(length, 0.5).alias("size"))
+    scaled = flat.filter(length > 0).join(typical, [key, "ring_key"]).filter("size > 0")
+    unit = lambda c: F.col(c) / F.col("size")
+    scaled = scaled.withColumns({"u1": unit("x1"), "v1": unit("y1"), "u2": unit("x2"), "v2": unit("y2")})
+    low, high = F.floor(F.least("v1", "v2")), F.floor(F.greatest("v1", "v2"))
+    strips = scaled.withColumn("row", F.explode(F.sequence(low, high)))
+    left, right = _reach_in_row()
+    filed = strips.withColumn("col", F.explode(F.sequence(F.floor(left), F.floor(right)))).drop("u1", "v1", "u2", "v2", "size")
+    a, b = filed.alias("a"), filed.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (key, "ring_key", "row", "col")]
+    met = a.join(b, [*same, F.col("a.k") < F.col("b.k")])
+
+    def side(e: str, o: str, end: str) -> Column:
+        g = lambda n: F.col(f"{e}.{n}")
+        p = lambda n: F.col(f"{o}.{n}{end}")
+        return (g("x2") - g("x1")) * (p("y") - g("y1")) - (g("y2") - g("y1")) * (p("x") - g("x1"))
+
+    apart = lambda e, o: side(e, o, "1") * side(e, o, "2") < 0
+    return met.filter(apart("a", "b") & apart("b", "a")).select(F.col(f"a.{key}").alias(key)).distinct()
+
+
+def refuse_crossing(polygons: DataFrame, key: str = "poly_id") -> DataFrame:
+    """The same polygons; the job fails at one that crosses itself, for repair belongs to the source."""
+    bad = crossing_polygons(polygons, key).withColumn("crossing", F.lit(True))
+    broken = F.raise_error(F.concat(F.lit("invalid polygon: "), F.col(key).cast("string")))
+    checked = polygons.join(bad, key, "left")
+    return checked.withColumn("ring", F.when(F.col("crossing"), broken).otherwise(F.col("ring"))).select(*polygons.columns)
+
+
+def _reach_in_row() -> tuple[Column, Column]:
+    """Lowest and highest u of an edge ``u1, v1, u2, v2`` inside the unit strip ``row``."""
+
+    def at(v: Column) -> Column:
+        slope = (F.col("u2") - F.col("u1")) / (F.col("v2") - F.col("v1"))
+        return F.col("u1") + (v - F.col("v1")) * slope
+
+    flat = F.col("v1") == F.col("v2")
+    top = F.greatest(F.least("v1", "v2"), F.col("row").cast("double"))
+    bottom = F.least(F.greatest("v1", "v2"), F.col("row") + 1.0)
+    ua = F.when(flat, F.col("u1")).otherwise(at(top))
+    ub = F.when(flat, F.col("u2")).otherwise(at(bottom))
+    return F.least(ua, ub), F.greatest(ua, ub)
+
+
 def _cell_units(edges: DataFrame, affine: Affine) -> DataFrame:
     """Edges in cell units (u across columns, v down rows)."""
     if affine.b or affine.d:
@@ -75,17 +133,8 @@ def touch_spans(edges: DataFrame, affine: Affine, keys: list[str]) -> DataFrame:
     """Row spans of cells that polygon edges pass through (a cell owns its left and top border)."""
     e = _cell_units(edges, affine)
     lines = _rows(e, F.floor(F.least("v1", "v2")), F.floor(F.greatest("v1", "v2")))
-
-    def at(v: Column) -> Column:
-        slope = (F.col("u2") - F.col("u1")) / (F.col("v2") - F.col("v1"))
-        return F.col("u1") + (v - F.col("v1")) * slope
-
-    flat = F.col("v1") == F.col("v2")
-    top = F.greatest(F.least("v1", "v2"), F.col("row").cast("double"))
-    bottom = F.least(F.greatest("v1", "v2"), F.col("row") + 1.0)
-    ua = F.when(flat, F.col("u1")).otherwise(at(top))
-    ub = F.when(flat, F.col("u2")).otherwise(at(bottom))
-    return _spans(lines, keys, F.floor(F.least(ua, ub)), F.floor(F.greatest(ua, ub)))
+    left, right = _reach_in_row()
+    return _spans(lines, keys, F.floor(left), F.floor(right))
 
 
 def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
@@ -133,9 +182,8 @@ def clip_polygons(polygons: DataFrame, west: float, south: float, east: float, n
     xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
     near = (F.array_max(xs) >= w) & (F.array_min(xs) <= e) & (F.array_max(ys) >= s) & (F.array_min(ys) <= n)
     kept = polygons.filter(F.col("surface").isin(*SURFACES) & near)
-    broken = F.raise_error(F.concat(F.lit("invalid polygon: "), F.col("poly_id").cast("string")))
-    ring = F.when(rings.is_simple(F.col("ring")), rings.open_ring(F.col("ring"))).otherwise(broken)
-    clipped = kept.withColumn("ring", rings.clip_box(ring, w, s, e, n))
+    opened = kept.withColumn("ring", rings.open_ring(F.col("ring")))
+    clipped = rings.once(refuse_crossing(opened), ring=rings.clip_box(F.col("ring"), w, s, e, n))
     return clipped.filter((F.size("ring") >= 3) & (rings.area(F.col("ring")) > 0))
 
 

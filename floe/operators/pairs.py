@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from floe.functions import rings
+from floe.functions import footprints, rings
+from floe.functions.geo import polar_xy
 from floe.functions.identity import pair_id
 from floe.schema import PairRules
 
@@ -15,17 +16,23 @@ PAIR_KEYS = ("path_number", "flight_direction", "beam_mode", "polarization")
 _DAY_US = 86400 * 10**6
 
 
-def aoi_ring(west: float, south: float, east: float, north: float, project: bool = True) -> Column:
-    """Area of interest as a counter-clockwise ring in the comparison plane."""
-    ring = rings.box_ring(F.lit(west), F.lit(south), F.lit(east), F.lit(north))
-    return rings.ccw(rings.project_ring(ring)) if project else ring
+def aoi_frame(spark: SparkSession, aoi: tuple[float, float, float, float], project: bool = True) -> tuple[tuple[float, float], ...]:
+    """The four corners of the area of interest in the comparison plane (four rows, fetched once)."""
+    west, south, east, north = map(float, aoi)
+    ring = [(west, south), (east, south), (east, north), (west, north)]
+    if not project:
+        return tuple(ring)
+    x, y = polar_xy("lon", "lat")
+    rows = spark.createDataFrame([(k, *p) for k, p in enumerate(ring)], "k int, lon double, lat double").select("k", x.alias("x"), y.alias("y"))
+    return tuple((r.x, r.y) for r in sorted(rows.collect()))
 
 
-def usable_scenes(scenes: DataFrame, rules: PairRules, project: bool = True) -> DataFrame:
-    """Per-scene work, done once and never per pair: key checks, projection, validity.
+def usable_scenes(scenes: DataFrame, rules: PairRules, frame: tuple[tuple[float, float], ...], project: bool = True) -> DataFrame:
+    """Per-scene work, done once and never per pair: key checks, projection, validity, part inside the AOI.
 
     Crossing footprints are dropped. A concave footprint cannot clip another one
-    exactly, so it fails the job rather than bending the result.
+    exactly, so it fails the job rather than bending the result. A scene that covers
+    less of the area of interest than the threshold can pair with nothing.
     """
     present = scenes.filter(
         F.array_contains(F.split("polarization", r"\+"), rules.polarization)
@@ -35,14 +42,11 @@ def usable_scenes(scenes: DataFrame, rules: PairRules, project: bool = True) ->
         & F.col("start_time").isNotNull()
     )
     ring = rings.open_ring(F.col("footprint"))
-    placed = present.withColumn("footprint", rings.project_ring(ring) if project else ring)
-    sound = placed.filter(rings.is_simple(F.col("footprint")))
+    judged = present.withColumn("judged", footprints.judge(frame)(rings.project_ring(ring) if project else ring))
+    flat = judged.drop("footprint").select("*", "judged.*").drop("judged").filter("simple")
     concave = F.raise_error(F.concat(F.lit("concave footprint: "), F.col("file_id").cast("string")))
-    return sound.withColumn(
-        "footprint",
-        F.when(rings.is_convex(F.col("footprint")), rings.ccw(F.col("footprint"))).otherwise(concave),
-    )
-
+    share = F.when(F.col("convex"), F.col("share")).otherwise(concave)
+    return flat.filter(share >= rules.min_overlap).drop("simple", "convex", "share")
 
 
 def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:
@@ -60,7 +64,7 @@ def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:
         F.explode(F.array("bucket", F.col("bucket") + 1)).alias("bucket"),
         F.col("file_id").alias("first_id"),
         F.col("t").alias("t1"),
-        F.col("footprint").alias("fp1"),
+        F.col("inside").alias("inside1"),
     )
     second = base.select(
         *PAIR_KEYS,
@@ -78,12 +82,11 @@ def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:
 
 def compatible_pairs(scenes: DataFrame, aoi: tuple[float, float, float, float], rules: PairRules, project: bool = True) -> DataFrame:
     """All acquisition pairs fit for change texture over an area of interest (unordered rows)."""
-    frame = aoi_ring(*aoi, project=project)
-    usable = usable_scenes(scenes, rules, project)
-    # A scene without AOI overlap at the threshold can pair with nothing: prune before the join.
-    own = rings.area(rings.clip_convex(F.col("footprint"), frame)) / rings.area(frame)
-    pairs = candidate_pairs(usable.filter(own >= rules.min_overlap), rules)
-    fraction = rings.overlap_area(F.col("fp1"), F.col("fp2"), frame) / rings.area(frame)
+    frame = aoi_frame(scenes.sparkSession, aoi, project)
+    corners = list(zip(frame, frame[1:] + frame[:1]))
+    frame_area = abs(sum((x1 - frame[0][0]) * (y2 - frame[0][1]) - (y1 - frame[0][1]) * (x2 - frame[0][0]) for (x1, y1), (x2, y2) in corners)) / 2
+    pairs = candidate_pairs(usable_scenes(scenes, rules, frame, project), rules)
+    fraction = footprints.common_area()(F.col("inside1"), F.col("fp2")) / frame_area
     scored = pairs.withColumn("common_aoi_fraction", fraction).filter(F.col("common_aoi_fraction") >= rules.min_overlap)
     start, stop = F.timestamp_micros("t1"), F.timestamp_micros("t2")
     return scored.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from floe.functions import rings
+from floe.operators.masks import refuse_crossing
 from floe.schema import SURFACES
 
 # Polygon feature layout.
@@ -29,14 +30,8 @@ def parse_polygons(lines: DataFrame, column: str = "json") -> DataFrame:
     part = parsed.select("f.properties.poly_id", "f.properties.surface", F.posexplode(parts).alias("part", "rings"))
     ring = part.select("poly_id", "surface", "part", F.posexplode("rings").alias("ring_no", "points"))
     points = F.transform("points", lambda xy: F.struct(xy[0].alias("x"), xy[1].alias("y")))
-    return checked(ring.select("poly_id", "part", "ring_no", "surface", points.alias("ring")))
-
-
-def checked(polygons: DataFrame) -> DataFrame:
-    """Fail on a ring that crosses itself or has no area: repair belongs to the source."""
-    broken = F.raise_error(F.concat(F.lit("invalid polygon: "), F.col("poly_id").cast("string")))
-    ring = rings.open_ring(F.col("ring"))
-    return polygons.withColumn("ring", F.when(rings.is_simple(ring), ring).otherwise(broken))
+    opened = ring.select("poly_id", "part", "ring_no", "surface", rings.open_ring(points).alias("ring"))
+    return refuse_crossing(opened)
 
 
 def rings_from_vertices(vertices: DataFrame, keys: list[str]) -> DataFrame:
