@@ -127,37 +127,26 @@ def masked_mean(cells: DataFrame, value: str, width: int, mode: str = "nearest",
     return result.filter("core").drop("by", "bx", "core")
 
 
-def normprod(cells: DataFrame, widths: Iterable[int], min_fraction: float = MIN_VALID_FRACTION, a: str = "a", b: str = "b", block: int = BLOCK) -> DataFrame:
-    """Normalised local cross-product of two images at several widths: columns t1, t2, ...
+def normprod(cells: DataFrame, width: int, min_fraction: float = MIN_VALID_FRACTION, a: str = "a", b: str = "b", out: str = "texture", block: int = BLOCK) -> DataFrame:
+    """Normalised local cross-product of two images.
 
-    mean[(a-ma)(b-mb)] / mean[((sd_a+sd_b)/2)^2] with two nested box filters, all
-    widths in the same passes. The numerator sees nothing beyond the raster edge,
-    every other mean repeats the edge cell.
+    mean[(a-ma)(b-mb)] / mean[((sd_a+sd_b)/2)^2] with two nested box filters. The
+    numerator sees nothing beyond the raster edge, every other mean repeats the edge
+    cell. Both stages work on one blocked copy of the cells.
     """
-    widths = tuple(widths)
-    blocked = with_halo(cells.select("scene_id", "row", "col", "height", "width", a, b), 2 * (max(widths) // 2), block)
+    blocked = with_halo(cells.select("scene_id", "row", "col", "height", "width", a, b), 2 * (width // 2), block)
     va, vb = F.col(a).cast("double"), F.col(b).cast("double")
-    first = []
-    for k, w in enumerate(widths, 1):
-        first += [(f"ma{k}", "va", w, "nearest"), (f"mb{k}", "vb", w, "nearest")]
-        first += [(f"qa{k}", "va2", w, "nearest"), (f"qb{k}", "vb2", w, "nearest")]
-    means = box_means(blocked, {"va": va, "vb": vb, "va2": va * va, "vb2": vb * vb}, first, min_fraction)
-
-    inputs, second = {}, []
-    for k, w in enumerate(widths, 1):
-        ma, mb = F.col(f"ma{k}"), F.col(f"mb{k}")
-        # a missing mean must stay missing: greatest() would skip the NULL
-        spread = lambda q, m: F.when(q.isNotNull() & m.isNotNull(), F.sqrt(F.greatest(q - m * m, F.lit(0.0))))
-        deviation = (spread(F.col(f"qa{k}"), ma) + spread(F.col(f"qb{k}"), mb)) / 2
-        inputs[f"cross{k}"] = (va - ma) * (vb - mb)
-        inputs[f"power{k}"] = deviation * deviation
-        second += [(f"num{k}", f"cross{k}", w, "constant"), (f"den{k}", f"power{k}", w, "nearest")]
-    ratios = box_means(means, inputs, second, min_fraction)
-    textures = [
-        F.when((F.col(f"den{k}") > 1e-12) & va.isNotNull() & vb.isNotNull(), F.col(f"num{k}") / F.col(f"den{k}")).alias(f"t{k}")
-        for k in range(1, len(widths) + 1)
-    ]
-    return ratios.filter("core").select("scene_id", "row", "col", a, b, *textures)
+    squares = {"va": va, "vb": vb, "va2": va * va, "vb2": vb * vb}
+    means = box_means(blocked, squares, [(f"m_{k}", k, width, "nearest") for k in squares], min_fraction)
+    # a missing mean must stay missing: greatest() would skip the NULL
+    spread = lambda q, m: F.when(q.isNotNull() & m.isNotNull(), F.sqrt(F.greatest(q - m * m, F.lit(0.0))))
+    ma, mb = F.col("m_va"), F.col("m_vb")
+    deviation = (spread(F.col("m_va2"), ma) + spread(F.col("m_vb2"), mb)) / 2
+    inputs = {"cross": (va - ma) * (vb - mb), "power": deviation * deviation}
+    ratios = box_means(means, inputs, [("num", "cross", width, "constant"), ("den", "power", width, "nearest")], min_fraction)
+    usable = (F.col("den") > 1e-12) & va.isNotNull() & vb.isNotNull()
+    texture = F.when(usable, F.col("num") / F.col("den")).alias(out)
+    return ratios.filter("core").select("scene_id", "row", "col", a, b, texture)
 
 
 def halo_pieces(tiles: DataFrame, halo: int, tile: int) -> DataFrame:
@@ -207,13 +196,16 @@ def halo_pieces(tiles: DataFrame, halo: int, tile: int) -> DataFrame:
     )
 
 
-def texture_tiles(tiles: DataFrame, widths: Iterable[int], min_fraction: float = MIN_VALID_FRACTION, tile: int = 512) -> DataFrame:
-    """Multi-scale texture of array tiles: ``scene_id, ty, tx, row0, col0, h, w, t1, t2, t3, ...``."""
+def texture_tiles(tiles: DataFrame, widths: Iterable[int], min_fraction: float = MIN_VALID_FRACTION, tile: int = 512, precision: str = "float") -> DataFrame:
+    """Multi-scale texture of array tiles: ``scene_id, ty, tx, row0, col0, h, w, t1, t2, t3, ...``.
+
+    Bands are stored in single precision unless ``precision`` is ``double``; the maths is always double.
+    """
     widths = tuple(int(w) for w in widths)
     for w in widths:
         check_width(w)
     pieces = halo_pieces(tiles, 2 * (max(widths) // 2), tile)
     scene_type = dict(tiles.dtypes)["scene_id"]
-    bands = ", ".join(f"t{k} array<float>" for k in range(1, len(widths) + 1))
+    bands = ", ".join(f"t{k} array<{precision}>" for k in range(1, len(widths) + 1))
     schema = f"scene_id {scene_type}, ty bigint, tx bigint, row0 bigint, col0 bigint, h int, w int, {bands}"
-    return pieces.groupBy("scene_id", "ty", "tx").applyInArrow(tile_function(widths, float(min_fraction), int(tile)), schema)
+    return pieces.groupBy("scene_id", "ty", "tx").applyInArrow(tile_function(widths, float(min_fraction), int(tile), precision), schema)

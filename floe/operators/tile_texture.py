@@ -51,9 +51,10 @@ def _list_values(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def tile_function(widths: tuple[int, ...], min_fraction: float, tile: int):
+def tile_function(widths: tuple[int, ...], min_fraction: float, tile: int, precision: str):
     """Group function: one core tile plus its neighbour strips to texture bands of the core."""
     halo = 2 * (max(widths) // 2)
+    stored = {"float": np.float32, "double": np.float64}[precision]
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ty, tx = key[1].as_py(), key[2].as_py()
@@ -71,7 +72,7 @@ def tile_function(widths: tuple[int, ...], min_fraction: float, tile: int):
         core = (slice(row0 - top, row0 - top + h), slice(col0 - left, col0 - left + w))
         bands = []
         for size in widths:
-            flat = texture(pair[0], pair[1], size, min_fraction)[core].astype(np.float32).ravel()
+            flat = texture(pair[0], pair[1], size, min_fraction)[core].astype(stored).ravel()
             values = pa.array(flat, mask=np.isnan(flat))
             bands.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), values))
         ints = lambda v, t: pa.array([v], t)
