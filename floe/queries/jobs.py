@@ -1 +1,210 @@
-"""Queries."""
+"""Whole user jobs on the given tables."""
+
+from pyspark.sql import functions as F
+
+from floe.operators import classify, metrics
+from floe.operators.masks import polygon_edges
+from floe.operators.terrain import merge_report
+from floe.operators.training import label_segments
+from floe.plans import acquisition, product, reports, surfaces, training, validation
+from floe.queries.aggregates import _LABELLED, labelled_cells
+from floe.queries.cellwise import area_sql, with_area
+from floe.queries.fixtures import CLASS_AFFINE, DAVIS, UNIT_AFFINE, Tables
+from floe.queries.joins import _EDGE, _POLAR, RULES, outline_edges, regrid_targets
+from floe.queries.learning import _NEAREST, _TRAIN, training_rows
+from floe.queries.registry import day, query, r4
+from floe.queries.sources import catalogue_lines, orbit_names, outlines
+from floe.queries.timeline import WEEKS, described
+from floe.schema import Affine, Grid
+from floe.sources.catalog import parse_features
+
+_FOUND = """(SELECT * FROM fx_cat WHERE start_time >= TIMESTAMP '2024-01-02' AND start_time <= TIMESTAMP '2024-01-25 23:59:59'
+  AND beam_mode IN ('click', 'view', 'error') AND file_id % 4 <> 0 AND east >= 75.5 AND west <= 80.5 AND north >= -69.2 AND south <= -67.3)"""
+
+
+@query("b1_discover_pairs", _POLAR.replace("FROM fx_cat a JOIN fx_cat b", f"FROM {_FOUND} a JOIN {_FOUND} b"))
+def b1(t: Tables):
+    found = acquisition.discover_pairs(
+        parse_features(catalogue_lines(t)), DAVIS, "2024-01-02", "2024-01-25", ["click", "view", "error"], ["GRD_HD"], RULES
+    )
+    return found.select("pair_id", r4("common_aoi_fraction").alias("common_aoi_fraction"))
+
+
+@query("b2_pair_product")
+def b2(t: Tables):
+    """Raw pair cells to classes and extent; superpixels have no SQL form."""
+    height = t.embeddings.count()
+    grid = Grid(CLASS_AFFINE, height, 64)
+    edges = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"])
+    shift = lambda v, c, a: F.lit(c) + F.col(v) * a
+    on_map = edges.withColumns({"x1": shift("x1", CLASS_AFFINE.c, 40), "x2": shift("x2", CLASS_AFFINE.c, 40), "y1": shift("y1", CLASS_AFFINE.f, -40), "y2": shift("y2", CLASS_AFFINE.f, -40)})
+    settings = product.Settings(widths=(5, 9, 13), tile=64, downsample=2, n_segments=120, rounds=3)
+    made = product.pair_product(t.raster(), product.grid_edges(on_map, t.grid()), grid, classify.centroids(training_rows(t)), settings)
+    return product.product_metrics(made)
+
+
+_SITE = """SELECT s.scene_id, s.segment_id, s.r, s.g, s.b, a.label, d.lang AS fold FROM fx_annseg s JOIN fx_ann a USING (scene_id, segment_id)
+ JOIN documents d ON d.doc_id = s.scene_id WHERE s.segment_id > 0 AND a.label IN (0, 2, 3)"""
+
+
+@query(
+    "b3_train_and_assess",
+    f"""
+WITH r AS MATERIALIZED ({_SITE}),
+c AS (SELECT f.fold, r.label, avg(r.r) AS r, avg(r.g) AS g, avg(r.b) AS b FROM (SELECT DISTINCT fold FROM r) f JOIN r ON r.fold <> f.fold GROUP BY f.fold, r.label),
+p AS (SELECT x.fold, x.label, m.label AS pred, row_number() OVER (PARTITION BY x.scene_id, x.segment_id ORDER BY {_NEAREST}, m.label) AS k FROM r x JOIN c m ON m.fold = x.fold),
+a AS (SELECT fold, avg(recall) AS acc FROM (SELECT fold, label, count(*) FILTER (label = pred) / count(*) AS recall FROM p WHERE k = 1 GROUP BY ALL) GROUP BY fold),
+n AS (SELECT fold, count(*) AS test_rows FROM r GROUP BY fold)
+SELECT a.fold AS site, (SELECT count(*) FROM r) - n.test_rows AS training_rows, n.test_rows, 'assessed' AS status, round(a.acc, 6) AS balanced_accuracy FROM a JOIN n ON n.fold = a.fold""",
+)
+def b3(t: Tables):
+    """Annotated scenes to a training table, held out site by site."""
+    d = F.col("doc_id")
+    scenes = t.documents.select(
+        d.alias("scene_id"), F.lower("lang").alias("region"),
+        F.array(*[day(F.date_add(F.lit("2021-01-01").cast("date"), (d * 40 + k).cast("int"))) for k in (0, 12)]).alias("dates"),
+        d.cast("string").alias("image_hash"),
+    )
+    rows = training.train_from_annotations(scenes, t.fx_annseg, t.fx_ann, ["image_hash"])
+    summary = training.fold_summary(rows.withColumnRenamed("region", "site"), "site")
+    return summary.select("site", "training_rows", "test_rows", "status", r4("balanced_accuracy", 6).alias("balanced_accuracy"))
+
+
+@query(
+    "b4_train_from_labels",
+    f"""
+WITH l AS (SELECT scene_id, segment_id, CASE WHEN r % 9 = 0 THEN 255 ELSE label END AS label FROM ({_LABELLED.replace("SELECT scene_id", "SELECT r, scene_id")})),
+v AS (SELECT scene_id, segment_id, label, count(*) AS n FROM l WHERE segment_id > 0 AND label IN (0, 2, 3) GROUP BY ALL),
+k AS (SELECT *, sum(n) OVER (PARTITION BY scene_id, segment_id) AS total, row_number() OVER (PARTITION BY scene_id, segment_id ORDER BY n DESC, label) AS k FROM v),
+m AS (SELECT scene_id, segment_id, avg(r) AS r, avg(g) AS g, avg(b) AS b FROM fx_seg WHERE segment_id > 0 GROUP BY ALL)
+SELECT m.scene_id, m.segment_id, round(r, 4) AS r, round(g, 4) AS g, round(b, 4) AS b, label FROM k JOIN m USING (scene_id, segment_id) WHERE k = 1 AND n / total >= 0.9""",
+)
+def b4(t: Tables):
+    cells = labelled_cells(t).withColumn("validity", F.when(F.col("r") % 9 == 0, 0).otherwise(1))
+    rows = training.train_from_labels(cells)
+    return rows.select("scene_id", "segment_id", *[r4(c).alias(c) for c in "rgb"], "label")
+
+
+@query(
+    "b5_reclassify_product",
+    f"""
+WITH s AS (SELECT scene_id, segment_id, avg(r) AS r, avg(g) AS g, avg(b) AS b FROM fx_seg WHERE segment_id > 0 GROUP BY ALL),
+m AS (SELECT label, avg(r) AS r, avg(g) AS g, avg(b) AS b FROM ({_TRAIN}) GROUP BY label),
+p AS (SELECT scene_id, segment_id, predicted FROM (SELECT x.scene_id, x.segment_id, m.label AS predicted,
+  row_number() OVER (PARTITION BY x.scene_id, x.segment_id ORDER BY {_NEAREST}, m.label) AS k FROM s x, m) WHERE k = 1),
+c AS (SELECT c.scene_id, {area_sql('c.row', 'c.col')} AS area, CASE WHEN (c.row + c.col) % 17 = 0 THEN 1 WHEN c.r % 9 = 0 OR c.segment_id = 0 THEN 255 ELSE coalesce(p.predicted, 255) END AS cls
+  FROM fx_seg c LEFT JOIN p USING (scene_id, segment_id))
+SELECT scene_id, round(sum(CASE WHEN cls IN (2, 3) THEN area ELSE 0 END), 4) AS ice_km2, round(sum(CASE WHEN cls IN (0, 2, 3) THEN area ELSE 0 END), 4) AS observed_km2,
+  count(*) FILTER (cls = 255) AS unknown_cells FROM c GROUP BY scene_id""",
+)
+def b5(t: Tables):
+    cells = t.fx_seg.withColumns({"valid": F.col("r") % 9 != 0, "excluded": (F.col("row") + F.col("col")) % 17 == 0})
+    made = product.reclassify(cells, classify.centroids(training_rows(t)), CLASS_AFFINE)
+    found = metrics.extent_metrics(made, ["scene_id"])
+    return found.select("scene_id", r4("ice_km2").alias("ice_km2"), r4("observed_km2").alias("observed_km2"), "unknown_cells")
+
+
+def _inside_sql(surfaces: str) -> str:
+    return f"""SELECT DISTINCT row, col FROM (SELECT c.row, c.col, e.poly_id, count(*) AS n FROM fx_val c JOIN (SELECT * FROM ({_EDGE}) WHERE surface IN ({surfaces})) e
+    ON (e.y1 > c.row + 0.5) <> (e.y2 > c.row + 0.5) AND c.col + 0.5 < e.x1 + (c.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) GROUP BY ALL) WHERE n % 2 = 1"""
+
+
+@query(
+    "b6_validate_outline",
+    f"""
+WITH c AS (SELECT v.*, d.row IS NOT NULL AS dom, r.row IS NOT NULL AS ref, {area_sql('v.row', 'v.col')} AS area FROM fx_val v
+  LEFT JOIN ({_inside_sql("'land', 'rumple'")}) d ON d.row = v.row AND d.col = v.col LEFT JOIN ({_inside_sql("'ice shelf', 'rumple'")}) r ON r.row = v.row AND r.col = v.col),
+o AS (SELECT *, dom AND validity <> 2 AND cls <> 1 AS ocean, dom AND validity = 1 AND cls IN (0, 2, 3) AS used FROM c),
+s AS (SELECT sum(CASE WHEN used AND cls <> 0 AND ref THEN area ELSE 0 END) AS tp, sum(CASE WHEN used AND cls <> 0 AND NOT ref THEN area ELSE 0 END) AS fp,
+  sum(CASE WHEN used AND cls = 0 AND ref THEN area ELSE 0 END) AS fn, sum(CASE WHEN used AND cls = 0 AND NOT ref THEN area ELSE 0 END) AS tn,
+  sum(CASE WHEN ocean THEN area ELSE 0 END) AS oc, sum(CASE WHEN ocean AND NOT used THEN area ELSE 0 END) AS un FROM o)
+SELECT round(tp, 4) AS tp_km2, round(fp, 4) AS fp_km2, round(fn, 4) AS fn_km2, round(tn, 4) AS tn_km2, round(oc, 4) AS ocean_km2, round(un, 4) AS unassessed_km2,
+  round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall, round(tp / nullif(tp + fp + fn, 0), 6) AS iou FROM s""",
+)
+def b6(t: Tables):
+    cells = t.fx_val.select(F.lit("fx").alias("scene_id"), "row", "col", "cls", "validity")
+    shape = cells.groupBy("scene_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
+    edges = lambda *names: product.grid_edges(polygon_edges(outlines(t).filter(F.col("surface").isin(*names)), ["poly_id"]), shape)
+    found = validation.validate_outline(cells, edges("land", "rumple"), edges("ice shelf", "rumple"), UNIT_AFFINE, CLASS_AFFINE)
+    areas = [r4(c).alias(c) for c in ("tp_km2", "fp_km2", "fn_km2", "tn_km2", "ocean_km2", "unassessed_km2")]
+    return found.select(*areas, *[r4(c, 6).alias(c) for c in ("precision", "recall", "iou")])
+
+
+def published(t: Tables):
+    return described(t).withColumn("baseline_days", F.lit(12.0)).withColumn("ice_km2", F.round("ice_km2"))
+
+
+def product_cells(t: Tables):
+    return with_area(t.fx_prodcell)
+
+
+_REPORT = """
+WITH s AS (SELECT region, synthetic, status, second_time, max(product_id) AS top FROM fx_prod GROUP BY ALL),
+l AS (SELECT *, lag(top) OVER (PARTITION BY region, synthetic, status ORDER BY second_time) AS prev_id FROM s),
+k AS (SELECT p.*, q.product_id AS prev_id, q.second_time AS prev_time, p.status = 'candidate_classification' AND q.product_id IS NOT NULL AND p.processing = q.processing AND p.segmentation = q.segmentation
+    AND p.classifier IS NOT DISTINCT FROM q.classifier AND p.mask_hash = q.mask_hash AND p.implementation_hash = q.implementation_hash AND p.grid_height = q.grid_height AS comparable
+  FROM fx_prod p JOIN l USING (region, synthetic, status, second_time) LEFT JOIN fx_prod q ON q.product_id = l.prev_id),
+i AS (SELECT * FROM (SELECT w.issue_date, p.*, row_number() OVER (PARTITION BY w.issue_date, p.region ORDER BY second_time DESC, first_time DESC, created_time DESC, product_id DESC) AS n
+  FROM ({weeks}) w JOIN k p ON p.second_time <= w.issue_date + INTERVAL 86399 SECOND) WHERE n = 1),
+c AS (SELECT i.issue_date, i.region, sum(CASE WHEN a.cls IN (0, 2, 3) AND b.cls IN (0, 2, 3) THEN {area} ELSE 0 END) AS common,
+    sum(CASE WHEN b.cls = 0 AND a.cls IN (2, 3) THEN {area} ELSE 0 END) AS gain, sum(CASE WHEN b.cls IN (2, 3) AND a.cls = 0 THEN {area} ELSE 0 END) AS loss
+  FROM i JOIN fx_prodcell a ON a.product_id = i.product_id JOIN fx_prodcell b ON b.product_id = i.prev_id AND b.row = a.row AND b.col = a.col WHERE i.comparable GROUP BY ALL)
+SELECT i.region, strftime(i.issue_date, '%Y-%m-%d') AS issue_date, i.product_id, CASE WHEN i.comparable THEN i.prev_id END AS compared_with,
+  date_diff('day', CAST(i.second_time AS DATE), i.issue_date) AS age_days, round(c.gain, 4) AS gain_km2, round(c.loss, 4) AS loss_km2, round(c.common, 4) AS common_km2,
+  CASE WHEN i.synthetic THEN 'SYNTHETIC TEST DATA. This bulletin tests the software and layout; it describes no observed Davis conditions.'
+    ELSE concat('Observations ', strftime(i.first_time, '%Y-%m-%d'), ' to ', strftime(i.second_time, '%Y-%m-%d'), ' (12.0-day baseline).',
+      CASE WHEN i.status = 'segmentation_only' THEN ' Texture segmentation is available; fast-ice extent, change and persistence cannot yet be reported because no trained classification was applied.'
+      ELSE concat(' Candidate fast-ice coverage: ', printf('%.1f', round(i.ice_km2)), ' km² within the observed ocean domain. This is an unvalidated research classification.') END) END
+  || CASE WHEN date_diff('day', CAST(i.second_time AS DATE), i.issue_date) > 14 THEN concat(' Latest observation is ', CAST(date_diff('day', CAST(i.second_time AS DATE), i.issue_date) AS VARCHAR), ' days old; no current-conditions assessment is available.') ELSE '' END
+  || CASE WHEN i.status = 'candidate_classification' AND i.prev_id IS NOT NULL AND c.common IS NULL THEN ' No comparable prior classification is available for change assessment.'
+     WHEN i.status = 'candidate_classification' AND c.common > 0 THEN concat(' On common observed coverage: gain ', printf('%.1f', c.gain), ' km², loss ', printf('%.1f', c.loss), ' km² since ', strftime(i.prev_time, '%Y-%m-%d'), '.') ELSE '' END AS summary
+FROM i LEFT JOIN c ON c.issue_date = i.issue_date AND c.region = i.region"""
+
+
+def _shown(found):
+    areas = [r4(c).alias(c) for c in ("gain_km2", "loss_km2", "common_km2")]
+    return found.select("region", day("issue_date").alias("issue_date"), "product_id", "compared_with", F.col("age_days").cast("bigint").alias("age_days"), *areas, "summary")
+
+
+@query("b7_issue_report", _REPORT.format(weeks="SELECT DATE '1998-02-20' AS issue_date", area=area_sql("a.row", "a.col")))
+def b7(t: Tables):
+    return _shown(reports.issue_report(published(t), product_cells(t), "1998-02-20"))
+
+
+@query("b8_season_reports", _REPORT.format(weeks=WEEKS, area=area_sql("a.row", "a.col")))
+def b8(t: Tables):
+    return _shown(reports.season_reports(published(t), product_cells(t), 1997))
+
+
+# Elevation grid: 0.8 cell spacing over the raster, as in the regridding query.
+_FINE = Affine(0.8, 0.0, -0.93, 0.0, 0.8, 1.37)
+
+
+@query("b9_prepare_elevation")
+def b9(t: Tables):
+    """Cells per surface and failures after merging regridded terrain and geoid."""
+    edges = outline_edges(t).withColumn("width", F.lit(84).cast("bigint"))
+    source = lambda value, name: t.raster().withColumnRenamed(value, name).select("scene_id", "row", "col", "height", "width", name)
+    made = surfaces.prepare_elevation(regrid_targets(t), source("a", "terrain"), source("b", "geoid"), edges, _FINE)
+    totals = merge_report(made, ["scene_id"]).join(made.groupBy("scene_id").agg(r4(F.avg("elevation")).alias("mean_elevation")), "scene_id")
+    return totals.drop("scene_id")
+
+
+@query(
+    "b10_prepare_exclusions",
+    """SELECT 'source' AS stage, surface, count(*) AS polygons FROM fx_outline GROUP BY surface
+UNION ALL SELECT 'output', surface, count(*) FROM fx_outline WHERE surface <> 'ocean' AND x0 + size > 10 AND x0 < 40 AND y0 + 2 * size > 49.8 AND y0 < 300.2 GROUP BY surface""",
+)
+def b10(t: Tables):
+    return surfaces.prepare_exclusions(outlines(t), (10.2, 50.0, 39.8, 300.0), 0.2)[1]
+
+
+@query(
+    "b11_orbit_readiness",
+    """
+WITH m AS (SELECT s.file_id, s.mission, o.mission || CAST(o.creation AS VARCHAR) AS name, row_number() OVER (PARTITION BY s.file_id ORDER BY o.creation DESC NULLS LAST) AS k, count(o.name) OVER (PARTITION BY s.file_id) AS candidates
+  FROM fx_cat s LEFT JOIN (SELECT * FROM fx_orb WHERE day(day) % 7 <> 0) o ON o.mission = s.mission AND o.valid_from <= s.start_time - INTERVAL 60 SECOND AND s.stop_time + INTERVAL 60 SECOND <= o.valid_to)
+SELECT mission, CASE WHEN name IS NULL THEN 'no_orbit' ELSE 'matched' END AS status, count(*) AS scenes, count(DISTINCT name) AS orbit_files, CAST(sum(candidates) AS BIGINT) AS candidates FROM m WHERE k = 1 GROUP BY ALL""",
+)
+def b11(t: Tables):
+    return acquisition.orbit_readiness(t.fx_cat, orbit_names(t))

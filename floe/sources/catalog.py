@@ -52,7 +52,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_features(lines: DataFrame, column: str = "json") -> DataFrame:
     """One feature per row as JSON text (a catalogue exported line by line)."""
-    return flatten_features(lines.select(F.from_json(column, FEATURE).alias("feature")))
+    # behind a generator, so that each line is parsed once and not once per column
+    parsed = F.explode(F.array(F.from_json(column, FEATURE)))
+    return flatten_features(lines.select(parsed.alias("feature")))
 
 
 def search_catalog(

@@ -20,7 +20,8 @@ DOCUMENT = """struct<
 def parse_orbit_names(names: DataFrame, column: str = "name") -> DataFrame:
     """Mission, creation and validity from file names; other names are dropped."""
     part = lambda k: F.regexp_extract(column, NAME, k)
-    stamp = lambda k: F.to_timestamp(part(k), STAMP)
+    # lenient, because a filter may be evaluated after the columns it guards
+    stamp = lambda k: F.try_to_timestamp(part(k), F.lit(STAMP))
     return names.filter(F.col(column).rlike(NAME)).select(
         "*", part(1).alias("mission"), stamp(2).alias("creation"), stamp(3).alias("valid_from"), stamp(4).alias("valid_to")
     )
@@ -28,7 +29,8 @@ def parse_orbit_names(names: DataFrame, column: str = "name") -> DataFrame:
 
 def parse_orbit_documents(documents: DataFrame, file: str = "file", xml: str = "xml") -> DataFrame:
     """Orbit XML text to rows ``file, file_type, mission_name, header_from, header_to, pos, t, x..vz``."""
-    parsed = documents.select(file, F.from_xml(xml, DOCUMENT).alias("d"))
+    # behind a generator, so that each document is parsed once and not once per column
+    parsed = documents.select(file, F.explode(F.array(F.from_xml(xml, DOCUMENT))).alias("d"))
     utc = lambda c: F.to_timestamp(F.regexp_replace(c, "^UTC=", ""))
     head = "d.Earth_Explorer_Header.Fixed_Header"
     vectors = parsed.select(

@@ -19,7 +19,7 @@ def parse_polygons(lines: DataFrame, column: str = "json") -> DataFrame:
 
     Only land and floating-ice surfaces are kept; lines and points are not polygons and fail.
     """
-    parsed = lines.select(F.from_json(column, FEATURE).alias("f")).filter(F.col("f.properties.surface").isin(*SURFACES))
+    parsed = lines.select(F.explode(F.array(F.from_json(column, FEATURE))).alias("f")).filter(F.col("f.properties.surface").isin(*SURFACES))
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     wrong = F.raise_error(F.concat(F.lit("not a polygon: "), F.coalesce(kind, F.lit("no geometry"))))
     parts = (

@@ -35,7 +35,7 @@ def read_products(spark: SparkSession, root: str) -> DataFrame:
 
 def parse_manifests(lines: DataFrame, column: str = "json") -> DataFrame:
     """Manifests as JSON text, one per row."""
-    return flatten_manifests(lines.select(F.from_json(column, MANIFEST).alias("m")).select("m.*"))
+    return flatten_manifests(lines.select(F.inline(F.array(F.from_json(column, MANIFEST)))))
 
 
 def write_product(df: DataFrame, path: str, partitions: tuple[str, ...] = ("region", "pair_id")) -> None:
