@@ -158,7 +158,7 @@ def a11(t: Tables):
 
 @query(
     "a12_elevation_percentiles",
-    """SELECT land, p, round(v, 4) AS value FROM (SELECT land, unnest([0, 0.01, 0.5, 0.99, 1]) AS p,
+    """SELECT land, CAST(p AS DOUBLE) AS p, round(v, 4) AS value FROM (SELECT land, unnest([0, 0.01, 0.5, 0.99, 1]) AS p,
  unnest(quantile_cont(CAST(terrain AS DOUBLE), [0, 0.01, 0.5, 0.99, 1])) AS v FROM fx_dem GROUP BY land)""",
 )
 def a12(t: Tables):

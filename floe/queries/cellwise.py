@@ -159,7 +159,7 @@ def p13(t: Tables):
 
 @query(
     "p14_cell_centres",
-    "SELECT row, col, 100 + (col + 0.5) * 30 + (row + 0.5) * 2 AS x, 900 + (col + 0.5) * 1.5 - (row + 0.5) * 40 AS y FROM fx_cls",
+    "SELECT row, col, CAST(100 + (col + 0.5) * 30 + (row + 0.5) * 2 AS DOUBLE) AS x, CAST(900 + (col + 0.5) * 1.5 - (row + 0.5) * 40 AS DOUBLE) AS y FROM fx_cls",
 )
 def p14(t: Tables):
     from floe.schema import Affine
