@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +39,8 @@ def superpixels(cells: DataFrame, n_segments: int = 1200, compactness: float = 5
             "sx": F.floor((F.col("col") + 0.5) / spacing),
         }
     )
-    home = home.withColumn("home_id", F.col("sy") * across + F.col("sx") + 1)
+    pull = F.lit(float(compactness)) / F.col("spacing")
+    home = home.withColumns({"home_id": F.col("sy") * across + F.col("sx") + 1, "pull": pull * pull})
     valid = home.filter("valid")
     means = lambda: [F.avg(F.col(c).cast("double")).alias(c) for c in _MEANS]
     seeds = durable(valid.groupBy("scene_id", "sy", "sx", F.col("home_id").alias("segment_id")).agg(*means()))
@@ -50,12 +49,14 @@ def superpixels(cells: DataFrame, n_segments: int = 1200, compactness: float = 5
         listed = valid.join(_neighbourhoods(current), ["scene_id", "sy", "sx"])
 
         def scored(seed: Column) -> Column:
-            square = lambda c: F.pow(F.col(c) - seed[c], F.lit(2.0))
+            square = lambda c: (F.col(c) - seed[c]) * (F.col(c) - seed[c])
             colour = square("r") + square("g") + square("b")
-            place = (square("row") + square("col")) * F.pow(F.lit(float(compactness)) / F.col("spacing"), F.lit(2.0))
-            return F.struct(F.round(colour + place, 9).alias("d"), seed["segment_id"].alias("id"))
+            place = (square("row") + square("col")) * F.col("pull")
+            return F.when(seed.isNotNull(), F.struct(F.round(colour + place, 9).alias("d"), seed["segment_id"].alias("id")))
 
-        return listed.withColumn("segment_id", F.array_min(F.transform("near", scored))["id"])
+        # nine fixed positions instead of a lambda: the whole choice is generated code
+        offers = F.array(*[scored(F.get("near", F.lit(k))) for k in range(9)])
+        return listed.withColumn("segment_id", F.array_min(offers)["id"])
 
     for _ in range(rounds):
         moved = assigned(seeds).groupBy("scene_id", "segment_id").agg(*means())

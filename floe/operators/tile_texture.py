@@ -6,39 +6,92 @@ import numpy as np
 import pyarrow as pa
 
 
-def box_sum(values: np.ndarray, half: int, edge: bool) -> np.ndarray:
-    """Centred box sums, axis by axis; beyond the array either the edge cell repeats or nothing counts."""
-    for axis in (0, 1):
-        padding = [(0, 0), (0, 0)]
-        padding[axis] = (half, half)
-        padded = np.pad(values, padding, mode="edge") if edge else np.pad(values, padding)
-        running = np.cumsum(padded, axis=axis)
-        running = np.insert(running, 0, 0, axis=axis)
-        size = values.shape[axis]
-        upper = np.take(running, np.arange(2 * half + 1, 2 * half + 1 + size), axis=axis)
-        values = upper - np.take(running, np.arange(size), axis=axis)
-    return values
-
-
-def valid_mean(values: np.ndarray, width: int, min_fraction: float, edge: bool = True) -> np.ndarray:
-    seen = np.isfinite(values)
-    count = box_sum(seen.astype(np.int64), width // 2, edge)
-    total = box_sum(np.where(seen, values, 0.0), width // 2, edge)
-    keep = (count > 0) & (count >= min_fraction * width * width)
-    return np.where(keep, total / np.maximum(count, 1), np.nan)
-
-
-def texture(a: np.ndarray, b: np.ndarray, width: int, min_fraction: float) -> np.ndarray:
-    """Normalised local cross-product of two float arrays; NaN is missing."""
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean_a, mean_b = (valid_mean(v, width, min_fraction) for v in (a, b))
-        sd_a, sd_b = (
-            np.sqrt(np.clip(valid_mean(v * v, width, min_fraction) - m * m, 0, None)) for v, m in ((a, mean_a), (b, mean_b))
-        )
-        power = valid_mean(((sd_a + sd_b) / 2) ** 2, width, min_fraction)
-        cross = valid_mean((a - mean_a) * (b - mean_b), width, min_fraction, edge=False)
-        usable = np.isfinite(a) & np.isfinite(b) & np.isfinite(cross) & (power > 1e-12)
-        return np.where(usable, cross / np.where(usable, power, 1.0), np.nan)
+class BoxSums:
+    """Centred box sums of one array at any width up to ``2 * reach + 1``.
+
+    One running table serves all widths, four look-ups each. Beyond the array either
+    the edge cell repeats or nothing counts.
+    """
+
+    def __init__(self, values: np.ndarray, reach: int, edge: bool) -> None:
+        n, m = values.shape
+        self.shape, self.reach = (n, m), reach
+        self.table = np.zeros((n + 2 * reach + 1, m + 2 * reach + 1))
+        padded = np.pad(values, reach, mode="edge") if edge else np.pad(values, reach)
+        np.cumsum(padded, axis=0, out=self.table[1:, 1:])
+        np.cumsum(self.table[1:, 1:], axis=1, out=self.table[1:, 1:])
+
+    def at(self, width: int) -> np.ndarray:
+        lo = self.reach - width // 2
+        hi = lo + width
+        n, m = self.shape
+        t = self.table
+        out = t[hi : hi + n, hi : hi + m] - t[lo : lo + n, hi : hi + m]
+        out -= t[hi : hi + n, lo : lo + m]
+        out += t[lo : lo + n, lo : lo + m]
+        return out
+
+
+class Masked:
+    """Masked box means of arrays that share one pattern of missing cells."""
+
+    def __init__(self, seen: np.ndarray, reach: int, edge: bool, min_fraction: float) -> None:
+        self.seen, self.reach, self.edge, self.min_fraction = seen, reach, edge, min_fraction
+        self.whole = edge and bool(seen.all())
+        self.counts = None if self.whole else BoxSums(seen, reach, edge)
+
+    def sums(self, values: np.ndarray) -> BoxSums:
+        return BoxSums(values if self.whole else np.where(self.seen, values, 0.0), self.reach, self.edge)
+
+    def mean(self, sums: BoxSums, width: int) -> np.ndarray:
+        total = sums.at(width)
+        if self.whole:
+            total /= width * width
+            return total
+        count = np.rint(self.counts.at(width))
+        enough = (count > 0) & (count >= self.min_fraction * width * width)
+        np.divide(total, count, out=total, where=enough)
+        total[~enough] = np.nan
+        return total
+
+
+def textures(a: np.ndarray, b: np.ndarray, widths: tuple[int, ...], min_fraction: float) -> list[np.ndarray]:
+    """Normalised local cross-product of two float arrays at each width; NaN is missing.
+
+    Values are taken relative to their mean over the array, which changes no variance
+    and no deviation but keeps the running tables small.
+    """
+    seen = [np.isfinite(v) for v in (a, b)]
+    if not (seen[0] & seen[1]).any():
+        return [np.full(a.shape, np.nan) for _ in widths]
+    reach = max(widths) // 2
+    masks, levels, plain, squared = [], [], [], []
+    for values, known in zip((a, b), seen):
+        level = values - values[known].mean()
+        mask = Masked(known, reach, True, min_fraction)
+        masks.append(mask)
+        levels.append(level)
+        plain.append(mask.sums(level))
+        squared.append(mask.sums(level * level))
+    out = []
+    with np.errstate(invalid="ignore"):
+        for width in widths:
+            half = width // 2
+            deviations, spread = [], 0.0
+            for mask, level, first, second in zip(masks, levels, plain, squared):
+                mean = mask.mean(first, width)
+                deviations.append(level - mean)
+                mean *= mean
+                spread = spread + np.sqrt(np.maximum(mask.mean(second, width) - mean, 0))
+            power = spread * spread / 4
+            cross = deviations[0] * deviations[1]
+            power_mask = Masked(np.isfinite(power), half, True, min_fraction)
+            cross_mask = Masked(np.isfinite(cross), half, False, min_fraction)
+            below = power_mask.mean(power_mask.sums(power), width)
+            above = cross_mask.mean(cross_mask.sums(cross), width)
+            usable = np.isfinite(above) & (below > 1e-12) & seen[0] & seen[1]
+            out.append(np.divide(above, below, out=np.full(a.shape, np.nan), where=usable))
+    return out
 
 
 def _list_values(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -71,8 +124,8 @@ def tile_function(widths: tuple[int, ...], min_fraction: float, tile: int, preci
                 image[r - top : r - top + ph, c - left : c - left + pw] = flat.reshape(ph, pw)
         core = (slice(row0 - top, row0 - top + h), slice(col0 - left, col0 - left + w))
         bands = []
-        for size in widths:
-            flat = texture(pair[0], pair[1], size, min_fraction)[core].astype(stored).ravel()
+        for band in textures(pair[0], pair[1], widths, min_fraction):
+            flat = band[core].astype(stored).ravel()
             values = pa.array(flat, mask=np.isnan(flat))
             bands.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), values))
         ints = lambda v, t: pa.array([v], t)

@@ -17,6 +17,7 @@ from floe.operators.metrics import extent_metrics
 from floe.operators.superpixels import superpixels
 from floe.operators.zonal import segment_features
 from floe.schema import MIN_VALID_FRACTION, TEXTURE_WINDOWS, Affine, Grid
+from floe.session import durable
 
 
 @dataclass(frozen=True)
@@ -34,19 +35,24 @@ class Settings:
     max_pixels: int | None = None
 
 
-def grid_edges(edges: DataFrame, grids: DataFrame) -> DataFrame:
-    """Polygon edges for every grid ``scene_id, height, width`` (grids are few: one per region)."""
-    return edges.join(F.broadcast(grids.select("scene_id", "height", "width")))
+def grid_edges(edges: DataFrame, grids: DataFrame, on: str = "scene_id") -> DataFrame:
+    """Polygon edges with the shape of the grid they mask, matched by region or scene.
+
+    Outlines are clipped per region beforehand, so an edge meets the grids of its own
+    region and no other.
+    """
+    return edges.join(grids.select(on, "height", "width"), on)
 
 
-def pair_texture(cells: DataFrame, edges: DataFrame, grid: Grid, settings: Settings) -> DataFrame:
+def pair_texture(cells: DataFrame, edges: DataFrame, grid: Grid, settings: Settings, mask_key: str = "scene_id") -> DataFrame:
     """Texture cells ``scene_id, row, col, height, width, t1, t2, t3`` of co-registered pairs.
 
     Exclusion applies before the windows, so masked cells lower the local valid fraction.
-    ``edges`` carries ``scene_id, height, width`` besides polygon edges.
+    ``edges`` carries the mask key and ``height, width`` besides polygon edges; scenes of
+    one region share a mask when the key is the region.
     """
-    spans = rasterize_mask(edges, grid.transform, ["scene_id"])
-    marked = mark_cells(cells, spans, ["scene_id"])
+    spans = rasterize_mask(edges, grid.transform, [mask_key])
+    marked = mark_cells(cells, spans, [mask_key])
     usable = marked.withColumns({c: apply_mask(to_db(F.col(c), settings.units), F.col("excluded")) for c in ("a", "b")})
     tiles = cells_to_tiles(usable, settings.tile, ["a", "b"])
     bands = [f"t{k}" for k in range(1, len(settings.widths) + 1)]
@@ -57,7 +63,8 @@ def pair_texture(cells: DataFrame, edges: DataFrame, grid: Grid, settings: Setti
 def segment_grid(textured: DataFrame, edges: DataFrame, grid: Grid, settings: Settings) -> tuple[DataFrame, Affine]:
     """Decimated, colour-encoded, segmented cells with validity, and their transform."""
     affine = downsampled_affine(grid.transform, grid.height, grid.width, settings.downsample)
-    coarse = encode_rgb(downsample_nearest(textured, settings.downsample)).drop("t1", "t2", "t3")
+    # every round below reads these cells again: store the decimated grid, not the texture behind it
+    coarse = durable(encode_rgb(downsample_nearest(textured, settings.downsample)).drop("t1", "t2", "t3"))
     segments = superpixels(coarse, settings.n_segments, settings.compactness, settings.rounds, settings.max_pixels)
     small = edges.withColumns({"height": F.ceil(F.col("height") / settings.downsample), "width": F.ceil(F.col("width") / settings.downsample)})
     marked = mark_cells(segments, rasterize_mask(small, affine, ["scene_id"]), ["scene_id"])

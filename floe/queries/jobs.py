@@ -10,7 +10,7 @@ from floe.plans import acquisition, product, reports, surfaces, training, valida
 from floe.queries.aggregates import _LABELLED, labelled_cells
 from floe.queries.cellwise import area_sql, with_area
 from floe.queries.fixtures import CLASS_AFFINE, DAVIS, UNIT_AFFINE, Tables
-from floe.queries.joins import _EDGE, _POLAR, RULES, outline_edges, regrid_targets
+from floe.queries.joins import _EDGE, _POLAR, _TARGET, RULES, bilinear_sql, outline_edges, regrid_targets
 from floe.queries.learning import _NEAREST, _TRAIN, training_rows
 from floe.queries.registry import day, query, r4
 from floe.queries.sources import catalogue_lines, orbit_names, outlines
@@ -35,7 +35,7 @@ def b2(t: Tables):
     """Raw pair cells to classes and extent; superpixels have no SQL form."""
     height = t.embeddings.count()
     grid = Grid(CLASS_AFFINE, height, 64)
-    edges = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"])
+    edges = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"]).withColumn("scene_id", F.lit("fx"))
     shift = lambda v, c, a: F.lit(c) + F.col(v) * a
     on_map = edges.withColumns({"x1": shift("x1", CLASS_AFFINE.c, 40), "x2": shift("x2", CLASS_AFFINE.c, 40), "y1": shift("y1", CLASS_AFFINE.f, -40), "y2": shift("y2", CLASS_AFFINE.f, -40)})
     settings = product.Settings(widths=(5, 9, 13), tile=64, downsample=2, n_segments=120, rounds=3)
@@ -124,7 +124,7 @@ SELECT round(tp, 4) AS tp_km2, round(fp, 4) AS fp_km2, round(fn, 4) AS fn_km2, r
 def b6(t: Tables):
     cells = t.fx_val.select(F.lit("fx").alias("scene_id"), "row", "col", "cls", "validity")
     shape = cells.groupBy("scene_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
-    edges = lambda *names: product.grid_edges(polygon_edges(outlines(t).filter(F.col("surface").isin(*names)), ["poly_id"]), shape)
+    edges = lambda *names: product.grid_edges(polygon_edges(outlines(t).filter(F.col("surface").isin(*names)), ["poly_id"]).withColumn("scene_id", F.lit("fx")), shape)
     found = validation.validate_outline(cells, edges("land", "rumple"), edges("ice shelf", "rumple"), UNIT_AFFINE, CLASS_AFFINE)
     areas = [r4(c).alias(c) for c in ("tp_km2", "fp_km2", "fn_km2", "tn_km2", "ocean_km2", "unassessed_km2")]
     return found.select(*areas, *[r4(c, 6).alias(c) for c in ("precision", "recall", "iou")])
@@ -180,7 +180,25 @@ def b8(t: Tables):
 _FINE = Affine(0.8, 0.0, -0.93, 0.0, 0.8, 1.37)
 
 
-@query("b9_prepare_elevation")
+# Outlines in target cell units, tested cell by cell.
+_FINE_EDGE = f"SELECT poly_id, (x1 + 0.93) / 0.8 AS x1, (y1 - 1.37) / 0.8 AS y1, (x2 + 0.93) / 0.8 AS x2, (y2 - 1.37) / 0.8 AS y2 FROM ({_EDGE})"
+_FINE_LAND = f"""
+SELECT DISTINCT row, col FROM (SELECT c.row, c.col, e.poly_id, count(*) AS n FROM ({_TARGET}) c JOIN ({_FINE_EDGE}) e
+  ON (e.y1 > c.row + 0.5) <> (e.y2 > c.row + 0.5) AND c.col + 0.5 < e.x1 + (c.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) GROUP BY ALL) WHERE n % 2 = 1
+UNION SELECT DISTINCT c.row, c.col FROM ({_TARGET}) c JOIN (SELECT *, greatest(least(y1, y2), r) AS ya, least(greatest(y1, y2), r + 1) AS yb
+    FROM ({_FINE_EDGE}) JOIN range(0, 100000) b(r) ON r BETWEEN floor(least(y1, y2)) AND floor(greatest(y1, y2))) e ON e.r = c.row
+  AND c.col BETWEEN floor(CASE WHEN y1 = y2 THEN least(x1, x2) ELSE least(x1 + (ya - y1) * (x2 - x1) / (y2 - y1), x1 + (yb - y1) * (x2 - x1) / (y2 - y1)) END)
+    AND floor(CASE WHEN y1 = y2 THEN greatest(x1, x2) ELSE greatest(x1 + (ya - y1) * (x2 - x1) / (y2 - y1), x1 + (yb - y1) * (x2 - x1) / (y2 - y1)) END)"""
+
+
+@query(
+    "b9_prepare_elevation",
+    f"""
+WITH m AS (SELECT a.row, a.col, a.a AS terrain, b.b AS geoid, l.row IS NOT NULL AS land FROM ({bilinear_sql('a')}) a JOIN ({bilinear_sql('b')}) b USING (row, col)
+  LEFT JOIN ({_FINE_LAND}) l ON l.row = a.row AND l.col = a.col)
+SELECT count(*) FILTER (land) AS land_cells, count(*) FILTER (NOT land) AS ocean_cells, count(*) FILTER (land AND terrain IS NULL) AS missing_land,
+  count(*) FILTER (NOT land AND geoid IS NULL) AS missing_ocean, round(avg(CASE WHEN land THEN terrain ELSE geoid END), 4) AS mean_elevation FROM m""",
+)
 def b9(t: Tables):
     """Cells per surface and failures after merging regridded terrain and geoid."""
     edges = outline_edges(t).withColumn("width", F.lit(84).cast("bigint"))

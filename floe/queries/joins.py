@@ -10,6 +10,7 @@ from floe.operators.orbits import match_orbits, unordered_vectors
 from floe.operators.pairs import compatible_pairs, order_pairs, select_pairs
 from floe.operators.training import duplicate_scenes, label_segments, unused_annotations
 from floe.operators.zonal import paint_segments, segment_features
+from floe.plans.product import grid_edges
 from floe.queries.cellwise import polar_sql, texture_like
 from floe.queries.fixtures import CLASS_AFFINE, DAVIS, UNIT_AFFINE, Tables
 from floe.queries.registry import day, query, r4, stamp
@@ -142,7 +143,7 @@ _TOUCHED = f"""
 def outline_edges(t: Tables):
     """Edges of the land and shelf outlines with the raster's shape, in cell units."""
     edges = masks.polygon_edges(parse_polygons(outline_lines(t)), ["poly_id"])
-    return edges.join(F.broadcast(t.grid()))
+    return grid_edges(edges.withColumn("scene_id", F.lit("fx")), t.grid())
 
 
 def marked(t: Tables, all_touched: bool = False):
@@ -233,17 +234,17 @@ def regrid_targets(t: Tables):
     return placed.join(F.broadcast(shape), "scene_id")
 
 
-@query(
-    "j19_regrid_bilinear",
-    f"""
-WITH n AS (SELECT max(vec_id) + 1 AS h, 64 AS w FROM embeddings),
-t AS (SELECT row, col, y, x, floor(y - 0.5) AS r0, floor(x - 0.5) AS c0 FROM ({_TARGET})),
-corner AS (SELECT t.*, r0 + dr AS r, c0 + dc AS c, (1 - abs(y - 0.5 - (r0 + dr))) * (1 - abs(x - 0.5 - (c0 + dc))) AS weight
-  FROM t, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(dr, dc)),
-m AS (SELECT k.row, k.col, any_value(k.x) AS x, any_value(k.y) AS y, sum(k.weight * g.a) AS s, sum(CASE WHEN g.a IS NOT NULL THEN k.weight END) AS w
-  FROM corner k LEFT JOIN fx_grid g ON g.row = k.r AND g.col = k.c GROUP BY k.row, k.col)
-SELECT row, col, CASE WHEN x >= 0 AND x < n.w AND y >= 0 AND y < n.h AND m.w > 0 THEN round(s / m.w, 4) END AS a FROM m, n""",
-)
+def bilinear_sql(value: str) -> str:
+    """Four explicit neighbours of every target centre, weights renormalised."""
+    return f"""
+SELECT m.row, m.col, CASE WHEN x >= 0 AND x < n.w AND y >= 0 AND y < n.h AND m.w > 0 THEN s / m.w END AS {value} FROM (
+  SELECT k.row, k.col, any_value(k.x) AS x, any_value(k.y) AS y, sum(k.weight * g.{value}) AS s, sum(CASE WHEN g.{value} IS NOT NULL THEN k.weight END) AS w FROM (
+    SELECT t.*, r0 + dr AS r, c0 + dc AS c, (1 - abs(y - 0.5 - (r0 + dr))) * (1 - abs(x - 0.5 - (c0 + dc))) AS weight
+    FROM (SELECT row, col, y, x, floor(y - 0.5) AS r0, floor(x - 0.5) AS c0 FROM ({_TARGET})) t, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(dr, dc)) k
+  LEFT JOIN fx_grid g ON g.row = k.r AND g.col = k.c GROUP BY k.row, k.col) m, (SELECT max(vec_id) + 1 AS h, 64 AS w FROM embeddings) n"""
+
+
+@query("j19_regrid_bilinear", f"SELECT row, col, round(a, 4) AS a FROM ({bilinear_sql('a')})")
 def j19(t: Tables):
     return grids.regrid_bilinear(regrid_targets(t), t.raster(), "a").select("row", "col", r4("a").alias("a"))
 

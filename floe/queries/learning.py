@@ -166,11 +166,38 @@ def g6(t: Tables):
 
 def segmented(t: Tables):
     """Superpixels of the RGB fixture laid out as one raster."""
-    shape = t.grid().select("height").withColumn("width", F.lit(62).cast("bigint"))
+    shape = t.grid().withColumn("width", F.lit(62).cast("bigint"))
     cells = t.fx_seg.select(F.lit("fx").alias("scene_id"), "row", "col", "r", "g", "b", (F.col("r") % 9 != 0).alias("valid"))
-    return superpixels(cells.join(F.broadcast(shape)), n_segments=400, compactness=5.0, rounds=3)
+    return superpixels(cells.join(F.broadcast(shape), "scene_id"), n_segments=400, compactness=5.0, rounds=3)
 
 
-@query("g7_superpixels")
+_PULL = "(5.0 / sqrt(n.h * 62 / 400.0)) * (5.0 / sqrt(n.h * 62 / 400.0))"
+
+
+def _assign_sql(seeds: str) -> str:
+    """Each valid cell with the closest seed of the nine squares around its own."""
+    square = lambda c: f"(c.{c} - s.{c}) * (c.{c} - s.{c})"
+    distance = f"round({square('r')} + {square('g')} + {square('b')} + ({square('row')} + {square('col')}) * {_PULL}, 9)"
+    return f"""SELECT c.row, c.col, c.r, c.g, c.b, arg_min(s.id, ({distance}, s.id)) AS id FROM cell c, n JOIN {seeds} s
+      ON s.sy BETWEEN c.sy - 1 AND c.sy + 1 AND s.sx BETWEEN c.sx - 1 AND c.sx + 1 GROUP BY c.row, c.col, c.r, c.g, c.b"""
+
+
+def _superpixel_sql(rounds: int) -> str:
+    """The same rounds of assignment and averaging, spelled out one after another."""
+    home = "CAST(floor((row + 0.5) / sqrt(n.h * 62 / 400.0)) AS BIGINT) AS sy, CAST(floor((col + 0.5) / sqrt(n.h * 62 / 400.0)) AS BIGINT) AS sx"
+    means = ", ".join(f"avg({c}) AS {c}" for c in ("row", "col", "r", "g", "b"))
+    parts = [
+        "n AS (SELECT CAST(max(vec_id) + 1 AS DOUBLE) AS h FROM embeddings)",
+        f"cell AS MATERIALIZED (SELECT row, col, r, g, b, {home} FROM fx_seg, n WHERE r % 9 <> 0)",
+        f"s0 AS MATERIALIZED (SELECT sy, sx, sy * CAST(ceil(62 / sqrt(any_value(n.h) * 62 / 400.0)) AS BIGINT) + sx + 1 AS id, {means} FROM cell, n GROUP BY sy, sx)",
+    ]
+    for k in range(rounds):
+        parts.append(f"a{k} AS MATERIALIZED ({_assign_sql(f's{k}')})")
+        parts.append(f"s{k + 1} AS MATERIALIZED (SELECT s0.sy, s0.sx, m.* FROM (SELECT id, {means} FROM a{k} GROUP BY id) m JOIN s0 ON s0.id = m.id)")
+    return f"""WITH {", ".join(parts)}
+SELECT x.row, x.col, coalesce(f.id, 0) AS segment_id FROM fx_seg x LEFT JOIN ({_assign_sql(f's{rounds}')}) f ON f.row = x.row AND f.col = x.col"""
+
+
+@query("g7_superpixels", _superpixel_sql(3))
 def g7(t: Tables):
     return segmented(t).select("row", "col", "segment_id")

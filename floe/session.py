@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on: UTC clock and adaptive execution with skew handling."""
+    """Pin what results and speed depend on: UTC clock, adaptive execution with skew handling, and
+    generated methods small enough for the JVM to compile (it leaves larger ones interpreted).
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

@@ -32,7 +32,7 @@ def test_registry_is_consistent():
     assert set(oracles) <= set(queries)
     assert len(queries) > 100
     without = set(queries) - set(oracles)
-    assert without <= {"g3_forest_classifier", "g3_forest_site_holdout", "g7_superpixels", "b2_pair_product", "b9_prepare_elevation"}
+    assert without <= {"g3_forest_classifier", "g3_forest_site_holdout", "b2_pair_product"}
 
 
 def plain(value):
