@@ -42,18 +42,11 @@ def _nearest(model: Column) -> Column:
     return F.array_min(F.transform(model, scored))["label"]
 
 
-def _as_model(table: DataFrame, keys: list[str]) -> DataFrame:
-    """At most one row per class and key, packed into one array (three entries)."""
-    centre = F.struct("label", *FEATURE_COLUMNS)
-    return table.groupBy(*keys).agg(F.collect_list(centre).alias("model"))
-
-
 def classify_nearest(rows: DataFrame, centres: DataFrame, out: str = "predicted") -> DataFrame:
-    """Nearest-centroid label for rows with r, g, b; the model is three rows, whatever the data."""
-    model = F.broadcast(_as_model(centres.filter(F.col("label").isin(*TRAIN_CODES)), []))
-    key = F.lit(1)
-    joined = rows.withColumn("_k", key).join(model.withColumn("_k", key), "_k")
-    return joined.withColumn(out, _nearest(F.col("model"))).drop("_k", "model")
+    """Nearest-centroid label for rows with r, g, b; the model is one value of at most three entries."""
+    centre = F.struct("label", *FEATURE_COLUMNS)
+    model = centres.filter(F.col("label").isin(*TRAIN_CODES)).agg(F.collect_list(centre).alias("model"))
+    return rows.withColumn("_model", model.scalar()).withColumn(out, _nearest(F.col("_model"))).drop("_model")
 
 
 def fold_statistics(rows: DataFrame, fold: str = "fold") -> DataFrame:
@@ -76,8 +69,7 @@ def fold_statistics(rows: DataFrame, fold: str = "fold") -> DataFrame:
         mean = lambda c: F.try_divide(left(f"sum_{c}"), n).alias(c)
         return F.struct(entry["label"].alias("label"), n.alias("n"), *[mean(c) for c in FEATURE_COLUMNS])
 
-    key = F.lit(1)
-    joined = per_fold.withColumn("_k", key).join(F.broadcast(packed.withColumn("_k", key)), "_k")
+    joined = per_fold.withColumn("total", packed.scalar())
     model = F.filter(F.transform("total", trained), lambda m: m["n"] > 0)
     return joined.select(
         fold,

@@ -29,15 +29,18 @@ def crossing_polygons(polygons: DataFrame, key: str = "poly_id") -> DataFrame:
     """
     r = F.col("ring")
     pairs = rings.let(rings.open_ring(r), rings.ring_edges)
-    numbered = polygons.filter(F.size(r) >= 4).select(
-        key, F.xxhash64("ring").alias("ring_key"), F.posexplode(pairs).alias("k", "e")
-    )
-    flat = numbered.select(
-        key, "ring_key", "k", F.col("e.p.x").alias("x1"), F.col("e.p.y").alias("y1"), F.col("e.q.x").alias("x2"), F.col("e.q.y").alias("y2")
-    )
-    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    typical = flat.groupBy(key, "ring_key").agg(F.percentile_approx(length, 0.5).alias("size"))
-    scaled = flat.filter(length > 0).join(typical, [key, "ring_key"]).filter("size > 0")
+    length = lambda e: F.hypot(e["q"]["x"] - e["p"]["x"], e["q"]["y"] - e["p"]["y"])
+
+    def measured(edges: Column) -> Column:
+        lengths = F.filter(F.transform(edges, length), lambda v: v > 0)
+        middle = rings.let(F.array_sort(lengths), lambda v: F.try_element_at(v, (F.size(v) / 2 + 1).cast("int")))
+        return F.struct(edges.alias("edges"), middle.alias("size"))
+
+    listed = polygons.filter(F.size(r) >= 4).select(key, F.xxhash64("ring").alias("ring_key"), F.explode(F.array(rings.let(pairs, measured))).alias("m"))
+    numbered = listed.select(key, "ring_key", F.col("m.size").alias("size"), F.posexplode("m.edges").alias("k", "e"))
+    scaled = numbered.select(
+        key, "ring_key", "k", "size", F.col("e.p.x").alias("x1"), F.col("e.p.y").alias("y1"), F.col("e.q.x").alias("x2"), F.col("e.q.y").alias("y2")
+    ).filter("size > 0 and (x1 <> x2 or y1 <> y2)")
     unit = lambda c: F.col(c) / F.col("size")
     scaled = scaled.withColumns({"u1": unit("x1"), "v1": unit("y1"), "u2": unit("x2"), "v2": unit("y2")})
     low, high = F.floor(F.least("v1", "v2")), F.floor(F.greatest("v1", "v2"))

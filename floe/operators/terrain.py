@@ -64,9 +64,10 @@ def exact_percentiles(df: DataFrame, value: Column, probabilities: list[float],
     """
     counted = df.filter(value.isNotNull()).groupBy(*keys, value.cast("double").alias("v")).agg(F.count("*").alias("n"))
     reach = counted.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    located = counted.join(reach, keys) if keys else counted.withColumn("_k", F.lit(1)).join(
-        F.broadcast(reach.withColumn("_k", F.lit(1))), "_k"
-    ).drop("_k")
+    if keys:
+        located = counted.join(reach, keys)
+    else:
+        located = counted.withColumn("reach", reach.select(F.struct("lo", "hi", "total")).scalar()).select("v", "n", "reach.*")
     span = F.col("hi") - F.col("lo")
     bin_of = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("lo")) / span * bins), F.lit(bins - 1))).otherwise(F.lit(0))
     binned = located.withColumn("bin", bin_of.cast("bigint"))

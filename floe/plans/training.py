@@ -13,6 +13,7 @@ from floe.operators.classify import logo_folds, logo_predictions
 from floe.operators.groups import acquisition_groups
 from floe.operators.metrics import balanced_accuracy, confusion
 from floe.operators.zonal import majority_labels, segment_features
+from floe.session import durable
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,9 @@ def train_from_annotations(scenes: DataFrame, cells: DataFrame, annotations: Dat
     grouped = acquisition_groups(scenes).withColumnRenamed("group", "acquisition_group")
     rows = labelled.join(grouped, "scene_id").join(clash, "scene_id", "left")
     refuse = F.raise_error(F.concat(F.lit("duplicate imagery: "), F.col("clash")))
-    return rows.withColumn("label", F.when(F.col("clash").isNotNull(), refuse).otherwise(F.col("label"))).drop("clash")
+    checked = rows.withColumn("label", F.when(F.col("clash").isNotNull(), refuse).otherwise(F.col("label"))).drop("clash")
+    # a few numbers per segment, read by every assessment: store them rather than the cells' aggregation
+    return durable(checked)
 
 
 def train_from_labels(cells: DataFrame, min_purity: float = 0.9) -> DataFrame:

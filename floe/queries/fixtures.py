@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from floe.schema import Affine
 
@@ -69,13 +70,6 @@ SELECT o_orderkey AS product_id, concat('R', CAST(o_custkey % 25 AS VARCHAR(10))
   CASE WHEN o_orderkey % 50 = 0 THEN 'code-2' ELSE 'code-1' END AS implementation_hash,
   1000 + (o_custkey % 2) AS grid_height
 FROM {orders}""",
-    "fx_orb": """
-SELECT concat(m.mission, '_OPER_AUX_POEORB_OPOD_', CAST(m.k AS VARCHAR(4)), '_', CAST(d.day AS VARCHAR(32))) AS name,
-  m.mission AS mission, d.day + INTERVAL 20 DAY + m.k * INTERVAL 1 HOUR AS creation,
-  d.day - INTERVAL 3618 SECOND AS valid_from, d.day + INTERVAL 89982 SECOND AS valid_to, m.k AS issue, d.day AS day
-FROM (SELECT DISTINCT date_trunc('day', ts) AS day FROM {events}) d
-CROSS JOIN (VALUES ('S1A', 0), ('S1A', 1), ('S1B', 0)) AS m(mission, k)
-WHERE NOT (m.mission = 'S1B' AND day(d.day) IN (10, 11))""",
     "fx_dem": """
 SELECT row, col, (row + col) % 3 = 0 AS land, CASE WHEN (row + col) % 3 = 0 THEN coalesce(a, 100) ELSE a END AS terrain,
   CASE WHEN row % 211 = 3 THEN NULL ELSE 18000 + row % 7 END AS geoid
@@ -90,10 +84,6 @@ SELECT s_suppkey AS poly_id,
   CASE s_suppkey % 6 WHEN 0 THEN 'land' WHEN 1 THEN 'ice shelf' WHEN 2 THEN 'ice tongue' WHEN 3 THEN 'rumple' WHEN 4 THEN 'ocean' ELSE 'land' END AS surface,
   CAST((s_suppkey * 7) % 50 AS DOUBLE) AS x0, CAST((s_suppkey * 37) % 470 AS DOUBLE) AS y0, CAST(4 + s_suppkey % 9 AS DOUBLE) AS size
 FROM {supplier}""",
-    "fx_vertex": """
-SELECT o.poly_id, o.surface, c.seq, o.x0 + c.dx * o.size AS x, o.y0 + c.dy * o.size AS y
-FROM {fx_outline} o
-CROSS JOIN (VALUES (0, 0e0, 0e0), (1, 1e0, 0e0), (2, 1e0, 2e0), (3, 5e-1, 1e0), (4, 0e0, 2e0)) AS c(seq, dx, dy)""",
     "fx_box": """
 SELECT c_custkey AS box_id, -179e0 + (c_custkey * 13) % 340 AS west, -179e0 + (c_custkey * 13) % 340 + 2 + c_custkey % 7 AS east,
   -80e0 + c_custkey % 15 AS south, -79e0 + c_custkey % 15 + (c_custkey % 4) / 2e0 AS north
@@ -170,6 +160,33 @@ SELECT x.row AS row, x.col AS col, x.row % 10 AS scene_id, CAST(x.label AS BIGIN
   least(greatest(128 + CAST(floor(z.v / 2e0) AS BIGINT), 0), 255) AS b
 FROM {fx_dense} x JOIN {fx_dense} y ON y.row = x.row AND y.col = x.col + 1
 JOIN {fx_dense} z ON z.row = x.row AND z.col = x.col + 2""",
+    ),
+    # five corners per outline
+    "fx_vertex": (
+        """
+SELECT o.poly_id, o.surface, c.seq, o.x0 + c.dx * o.size AS x, o.y0 + c.dy * o.size AS y
+FROM {fx_outline} o
+LATERAL VIEW inline(array(struct(0, 0e0, 0e0), struct(1, 1e0, 0e0), struct(2, 1e0, 2e0), struct(3, 5e-1, 1e0), struct(4, 0e0, 2e0))) c AS seq, dx, dy""",
+        """
+SELECT o.poly_id, o.surface, c.seq, o.x0 + c.dx * o.size AS x, o.y0 + c.dy * o.size AS y
+FROM {fx_outline} o
+CROSS JOIN (VALUES (0, 0e0, 0e0), (1, 1e0, 0e0), (2, 1e0, 2e0), (3, 5e-1, 1e0), (4, 0e0, 2e0)) AS c(seq, dx, dy)""",
+    ),
+    "fx_orb": (
+        """
+SELECT concat(m.mission, '_OPER_AUX_POEORB_OPOD_', CAST(m.k AS VARCHAR(4)), '_', CAST(d.day AS VARCHAR(32))) AS name,
+  m.mission AS mission, d.day + INTERVAL 20 DAY + m.k * INTERVAL 1 HOUR AS creation,
+  d.day - INTERVAL 3618 SECOND AS valid_from, d.day + INTERVAL 89982 SECOND AS valid_to, m.k AS issue, d.day AS day
+FROM (SELECT DISTINCT date_trunc('day', ts) AS day FROM {events}) d
+LATERAL VIEW inline(array(struct('S1A', 0), struct('S1A', 1), struct('S1B', 0))) m AS mission, k
+WHERE NOT (m.mission = 'S1B' AND day(d.day) IN (10, 11))""",
+        """
+SELECT concat(m.mission, '_OPER_AUX_POEORB_OPOD_', CAST(m.k AS VARCHAR(4)), '_', CAST(d.day AS VARCHAR(32))) AS name,
+  m.mission AS mission, d.day + INTERVAL 20 DAY + m.k * INTERVAL 1 HOUR AS creation,
+  d.day - INTERVAL 3618 SECOND AS valid_from, d.day + INTERVAL 89982 SECOND AS valid_to, m.k AS issue, d.day AS day
+FROM (SELECT DISTINCT date_trunc('day', ts) AS day FROM {events}) d
+CROSS JOIN (VALUES ('S1A', 0), ('S1A', 1), ('S1B', 0)) AS m(mission, k)
+WHERE NOT (m.mission = 'S1B' AND day(d.day) IN (10, 11))""",
     ),
     "fx_slots": (
         "SELECT doc_id AS scene_id, CAST(s AS BIGINT) AS segment_id FROM {documents} LATERAL VIEW explode(sequence(0, 11)) t AS s",
@@ -187,6 +204,15 @@ FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""",
     ),
 }
 
+# A scene is a million raster rows; an outline belongs to the scene of its id's billion. The ids come from
+# the data, for a constant would drop out of the partitioning keys.
+SCENE_ROWS, SCENE_OUTLINES = 10**6, 10**9
+
+
+def scene_of(column: str, span: int = SCENE_ROWS) -> Column:
+    return F.floor(F.col(column) / span).alias("scene_id")
+
+
 SPARK = {**_SHARED, **{k: v[0] for k, v in _SPECIFIC.items()}}
 DUCK = {k: re.sub(r"\{(\w+)\}", r"\1", v) for k, v in {**_SHARED, **{k: v[1] for k, v in _SPECIFIC.items()}}.items()}
 
@@ -213,18 +239,16 @@ class Tables:
         inputs = {n: getattr(self, n) for n in set(re.findall(r"\{(\w+)\}", SPARK[name]))}
         return self.spark.sql(SPARK[name], **inputs)
 
-    def raster(self) -> DataFrame:
-        """The raster pair with its scene id and shape; the shape comes from a column-pruned scan."""
-        from pyspark.sql import functions as F
+    def shape(self) -> DataFrame:
+        """Height of the raster pair as one row, from a column-pruned scan."""
+        return self.embeddings.agg((F.max("vec_id") + 1).alias("height"))
 
-        shape = self.embeddings.agg((F.max("vec_id") + 1).alias("height")).withColumn("width", F.lit(64).cast("bigint"))
-        scene = F.lit("fx").alias("scene_id")
-        return self.fx_grid.select(scene, "row", "col", "a", "b").join(F.broadcast(shape.select(scene, "height", "width")), "scene_id")
+    def raster(self) -> DataFrame:
+        """The raster pair with its scene id and shape."""
+        return self.fx_grid.select(
+            scene_of("row"), "row", "col", "a", "b", self.shape().scalar().alias("height"), F.lit(64).cast("bigint").alias("width")
+        )
 
     def grid(self) -> DataFrame:
         """Scene id and shape of the raster pair."""
-        from pyspark.sql import functions as F
-
-        return self.embeddings.agg((F.max("vec_id") + 1).alias("height")).select(
-            F.lit("fx").alias("scene_id"), "height", F.lit(64).cast("bigint").alias("width")
-        )
+        return self.shape().select(F.floor((F.col("height") - 1) / SCENE_ROWS).alias("scene_id"), "height", F.lit(64).cast("bigint").alias("width"))

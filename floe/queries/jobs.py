@@ -9,7 +9,7 @@ from floe.operators.training import label_segments
 from floe.plans import acquisition, product, reports, surfaces, training, validation
 from floe.queries.aggregates import _LABELLED, labelled_cells
 from floe.queries.cellwise import area_sql, with_area
-from floe.queries.fixtures import CLASS_AFFINE, DAVIS, UNIT_AFFINE, Tables
+from floe.queries.fixtures import CLASS_AFFINE, DAVIS, SCENE_OUTLINES, UNIT_AFFINE, Tables, scene_of
 from floe.queries.joins import _EDGE, _POLAR, _TARGET, RULES, bilinear_sql, outline_edges, regrid_targets
 from floe.queries.learning import _NEAREST, _TRAIN, training_rows
 from floe.queries.registry import day, query, r4
@@ -35,7 +35,7 @@ def b2(t: Tables):
     """Raw pair cells to classes and extent; superpixels have no SQL form."""
     height = t.embeddings.count()
     grid = Grid(CLASS_AFFINE, height, 64)
-    edges = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"]).withColumn("scene_id", F.lit("fx"))
+    edges = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"]).withColumn("scene_id", scene_of("poly_id", SCENE_OUTLINES))
     shift = lambda v, c, a: F.lit(c) + F.col(v) * a
     on_map = edges.withColumns({"x1": shift("x1", CLASS_AFFINE.c, 40), "x2": shift("x2", CLASS_AFFINE.c, 40), "y1": shift("y1", CLASS_AFFINE.f, -40), "y2": shift("y2", CLASS_AFFINE.f, -40)})
     settings = product.Settings(widths=(5, 9, 13), tile=64, downsample=2, n_segments=120, rounds=3)
@@ -122,9 +122,9 @@ SELECT round(tp, 4) AS tp_km2, round(fp, 4) AS fp_km2, round(fn, 4) AS fn_km2, r
   round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall, round(tp / nullif(tp + fp + fn, 0), 6) AS iou FROM s""",
 )
 def b6(t: Tables):
-    cells = t.fx_val.select(F.lit("fx").alias("scene_id"), "row", "col", "cls", "validity")
+    cells = t.fx_val.select(scene_of("row"), "row", "col", "cls", "validity")
     shape = cells.groupBy("scene_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
-    edges = lambda *names: product.grid_edges(polygon_edges(outlines(t).filter(F.col("surface").isin(*names)), ["poly_id"]).withColumn("scene_id", F.lit("fx")), shape)
+    edges = lambda *names: product.grid_edges(polygon_edges(outlines(t).filter(F.col("surface").isin(*names)), ["poly_id"]).withColumn("scene_id", scene_of("poly_id", SCENE_OUTLINES)), shape)
     found = validation.validate_outline(cells, edges("land", "rumple"), edges("ice shelf", "rumple"), UNIT_AFFINE, CLASS_AFFINE)
     areas = [r4(c).alias(c) for c in ("tp_km2", "fp_km2", "fn_km2", "tn_km2", "ocean_km2", "unassessed_km2")]
     return found.select(*areas, *[r4(c, 6).alias(c) for c in ("precision", "recall", "iou")])

@@ -12,7 +12,7 @@ from floe.operators.training import duplicate_scenes, label_segments, unused_ann
 from floe.operators.zonal import paint_segments, segment_features
 from floe.plans.product import grid_edges
 from floe.queries.cellwise import polar_sql, texture_like
-from floe.queries.fixtures import CLASS_AFFINE, DAVIS, UNIT_AFFINE, Tables
+from floe.queries.fixtures import DAVIS, SCENE_OUTLINES, UNIT_AFFINE, Tables, scene_of
 from floe.queries.registry import day, query, r4, stamp
 from floe.queries.sources import outline_lines, outlines, scenes
 from floe.schema import Affine, PairRules
@@ -143,12 +143,12 @@ _TOUCHED = f"""
 def outline_edges(t: Tables):
     """Edges of the land and shelf outlines with the raster's shape, in cell units."""
     edges = masks.polygon_edges(parse_polygons(outline_lines(t)), ["poly_id"])
-    return grid_edges(edges.withColumn("scene_id", F.lit("fx")), t.grid())
+    return grid_edges(edges.withColumn("scene_id", scene_of("poly_id", SCENE_OUTLINES)), t.grid())
 
 
 def marked(t: Tables, all_touched: bool = False):
     spans = masks.rasterize_mask(outline_edges(t), UNIT_AFFINE, ["scene_id"], all_touched)
-    return masks.mark_cells(t.fx_dense.withColumn("scene_id", F.lit("fx")), spans, ["scene_id"])
+    return masks.mark_cells(t.fx_dense.withColumn("scene_id", scene_of("row")), spans, ["scene_id"])
 
 
 @query("j4_polygon_mask", f"SELECT c.row, c.col, m.row IS NOT NULL AS excluded FROM fx_dense c LEFT JOIN ({_INSIDE}) m ON m.row = c.row AND m.col = c.col")
@@ -228,10 +228,9 @@ _TARGET = """SELECT i AS row, j AS col, 1.37 + (i + 0.5) * 0.8 AS y, -0.93 + (j
 
 
 def regrid_targets(t: Tables):
-    cells = t.embeddings.select(F.lit("fx").alias("scene_id"), F.col("vec_id").alias("row"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(83).cast("bigint"))).alias("col"))
+    cells = t.embeddings.select(scene_of("vec_id"), F.col("vec_id").alias("row"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(83).cast("bigint"))).alias("col"))
     placed = cells.withColumns({"src_row": 1.37 + (F.col("row") + 0.5) * 0.8, "src_col": -0.93 + (F.col("col") + 0.5) * 0.8})
-    shape = t.grid().select("scene_id", F.col("height").alias("src_height"), F.col("width").alias("src_width"))
-    return placed.join(F.broadcast(shape), "scene_id")
+    return placed.withColumns({"src_height": t.shape().scalar(), "src_width": F.lit(64).cast("bigint")})
 
 
 def bilinear_sql(value: str) -> str:
@@ -255,7 +254,7 @@ def j19(t: Tables):
 )
 def j20(t: Tables):
     targets = regrid_targets(t).drop("src_height", "src_width")
-    source = t.fx_grid.withColumn("scene_id", F.lit("fx"))
+    source = t.fx_grid.withColumn("scene_id", scene_of("row"))
     return grids.regrid_nearest(targets, source, ["a"]).select("row", "col", "a")
 
 
@@ -278,7 +277,7 @@ FROM px LEFT JOIN fx_cls c ON c.row = sr AND c.col = sc""",
 def j20_display(t: Tables):
     from floe.functions.encode import class_rgba
 
-    rgba = class_rgba(t.fx_cls, "curr").withColumn("scene_id", F.lit("fx"))
+    rgba = class_rgba(t.fx_cls, "curr").withColumn("scene_id", scene_of("row"))
     drawn = grids.display_image(rgba, t.grid().select("scene_id"), _WIDE, _SHOW, 120)
     return drawn.select("row", "col", "r", "g", "b")
 

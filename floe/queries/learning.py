@@ -7,7 +7,7 @@ from floe.operators.groups import acquisition_groups, shared_acquisitions
 from floe.operators.metrics import balanced_accuracy, confusion
 from floe.operators.superpixels import superpixels
 from floe.operators.zonal import segment_features
-from floe.queries.fixtures import Tables
+from floe.queries.fixtures import Tables, scene_of
 from floe.queries.registry import day, query, r4
 
 
@@ -166,9 +166,9 @@ def g6(t: Tables):
 
 def segmented(t: Tables):
     """Superpixels of the RGB fixture laid out as one raster."""
-    shape = t.grid().withColumn("width", F.lit(62).cast("bigint"))
-    cells = t.fx_seg.select(F.lit("fx").alias("scene_id"), "row", "col", "r", "g", "b", (F.col("r") % 9 != 0).alias("valid"))
-    return superpixels(cells.join(F.broadcast(shape), "scene_id"), n_segments=400, compactness=5.0, rounds=3)
+    shape = {"height": t.shape().scalar(), "width": F.lit(62).cast("bigint")}
+    cells = t.fx_seg.select(scene_of("row"), "row", "col", "r", "g", "b", (F.col("r") % 9 != 0).alias("valid"))
+    return superpixels(cells.withColumns(shape), n_segments=400, compactness=5.0, rounds=3)
 
 
 _PULL = "(5.0 / sqrt(n.h * 62 / 400.0)) * (5.0 / sqrt(n.h * 62 / 400.0))"
