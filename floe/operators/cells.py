@@ -109,19 +109,21 @@ def source_index(x: Column, y: Column, affine: Affine) -> tuple[Column, Column]:
     return (y - affine.f) / affine.e, (x - affine.c) / affine.a
 
 
-def _quads(source: DataFrame, value: str, block: int) -> DataFrame:
-    """Each cell with its right, lower and diagonal neighbour; one shuffle by block."""
-    spread = with_halo(source.select("scene_id", "row", "col", "height", "width", F.col(value).alias("v00")), 1, block)
+def _quads(source: DataFrame, values: list[str], block: int) -> DataFrame:
+    """Each cell with its right, lower and diagonal neighbour per value; one shuffle by block."""
+    named = [F.col(v).alias(f"{v}__00") for v in values]
+    spread = with_halo(source.select("scene_id", "row", "col", "height", "width", *named), 1, block)
     keys = ("scene_id", "by", "bx")
     right = Window.partitionBy(*keys, "row").orderBy("col").rangeBetween(1, 1)
     below = Window.partitionBy(*keys, "col").orderBy("row").rangeBetween(1, 1)
-    wide = spread.withColumn("v01", F.max("v00").over(right))
-    full = wide.withColumns({"v10": F.max("v00").over(below), "v11": F.max("v01").over(below)})
-    return full.filter("core").select("scene_id", F.col("row").alias("ar"), F.col("col").alias("ac"), "v00", "v01", "v10", "v11")
+    wide = spread.withColumns({f"{v}__01": F.max(f"{v}__00").over(right) for v in values})
+    lower = {f"{v}__1{k}": F.max(f"{v}__0{k}").over(below) for v in values for k in (0, 1)}
+    corners = [f"{v}__{k}" for v in values for k in ("00", "01", "10", "11")]
+    return wide.withColumns(lower).filter("core").select("scene_id", F.col("row").alias("ar"), F.col("col").alias("ac"), *corners)
 
 
-def regrid_bilinear(targets: DataFrame, source: DataFrame, value: str, block: int = BLOCK) -> DataFrame:
-    """Bilinear value at target cells.
+def regrid_bilinear(targets: DataFrame, source: DataFrame, values: list[str], block: int = BLOCK) -> DataFrame:
+    """Bilinear values at target cells; all ``values`` of a source in one pass.
 
     ``targets``: ``scene_id, row, col, src_row, src_col`` with fractional cell-edge
     indices into the source (a source centre lies at n + 0.5), plus the source shape
@@ -140,15 +142,20 @@ def regrid_bilinear(targets: DataFrame, source: DataFrame, value: str, block: in
         "fc", clamp(F.col("src_col"), F.col("src_width"))
     )
     placed = placed.withColumns({"ar": F.floor("fr"), "ac": F.floor("fc")})
-    joined = placed.join(_quads(source, value, block), ["scene_id", "ar", "ac"], "left")
+    joined = placed.join(_quads(source, values, block), ["scene_id", "ar", "ac"], "left")
     u, v = F.col("fr") - F.col("ar"), F.col("fc") - F.col("ac")
-    weights = {"v00": (1 - u) * (1 - v), "v01": (1 - u) * v, "v10": u * (1 - v), "v11": u * v}
-    zero = F.lit(0.0)
-    total, weight = zero, zero
-    for name, w in weights.items():
-        total = total + F.coalesce(F.col(name) * w, zero)
-        weight = weight + F.when(F.col(name).isNotNull(), w).otherwise(zero)
-    return joined.select("scene_id", "row", "col", F.when(weight > 0, total / weight).alias(value))
+    weights = {"00": (1 - u) * (1 - v), "01": (1 - u) * v, "10": u * (1 - v), "11": u * v}
+
+    def weighted(value: str) -> Column:
+        zero = F.lit(0.0)
+        total, weight = zero, zero
+        for corner, w in weights.items():
+            neighbour = F.col(f"{value}__{corner}")
+            total = total + F.coalesce(neighbour * w, zero)
+            weight = weight + F.when(neighbour.isNotNull(), w).otherwise(zero)
+        return F.when(weight > 0, total / weight).alias(value)
+
+    return joined.select("scene_id", "row", "col", *[weighted(value) for value in values])
 
 
 def regrid_nearest(targets: DataFrame, source: DataFrame, values: list[str]) -> DataFrame:

@@ -13,13 +13,14 @@ def _area_where(condition: Column, area: str = "area_km2") -> Column:
     return F.sum(F.when(condition, F.col(area)).otherwise(0.0))
 
 
-def extent_metrics(cells: DataFrame, keys: list[str], cls: str = "cls") -> DataFrame:
-    """Ice and observed ocean in km2, and the number of unknown cells."""
+def extent_metrics(cells: DataFrame, keys: list[str], cls: str = "cls", extra: list[Column] | None = None) -> DataFrame:
+    """Ice and observed ocean in km2, and the number of unknown cells; ``extra`` aggregates share the pass."""
     code = F.col(cls)
     return cells.groupBy(*keys).agg(
         _area_where(is_fast_ice(code)).alias("ice_km2"),
         _area_where(is_observed_ocean(code)).alias("observed_km2"),
         F.sum(F.when(code == UNKNOWN, 1).otherwise(0)).alias("unknown_cells"),
+        *(extra or []),
     )
 
 

@@ -23,14 +23,15 @@ def combine_elevation(cells: DataFrame) -> DataFrame:
     )
 
 
-def merge_report(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Cell counts per surface and per failure of a merge."""
+def merge_report(merged: DataFrame, keys: list[str], extra: list[Column] | None = None) -> DataFrame:
+    """Cell counts per surface and per failure of a merge, with further aggregates from the same pass."""
     number = lambda condition: F.count(F.when(condition, 1))
     return merged.groupBy(*keys).agg(
         number(F.col("land")).alias("land_cells"),
         number(~F.col("land")).alias("ocean_cells"),
         number(F.col("problem") == "missing terrain on land").alias("missing_land"),
         number(F.col("problem") == "missing geoid on ocean").alias("missing_ocean"),
+        *(extra or []),
     )
 
 

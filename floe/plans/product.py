@@ -85,12 +85,9 @@ def pair_product(cells: DataFrame, edges: DataFrame, grid: Grid, centres: DataFr
 
 
 def product_metrics(product: DataFrame) -> DataFrame:
-    """Extent, segment count and valid share of each product, from one scan of its cells."""
-    extra = product.groupBy("scene_id").agg(
-        F.countDistinct(F.when(F.col("segment_id") > 0, F.col("segment_id"))).alias("segments"),
-        F.avg(F.col("valid").cast("int")).alias("valid_fraction"),
-    )
-    return extent_metrics(product, ["scene_id"]).join(extra, "scene_id")
+    """Extent, segment count and valid share of each product, from one pass over its cells."""
+    segments = F.countDistinct(F.when(F.col("segment_id") > 0, F.col("segment_id"))).alias("segments")
+    return extent_metrics(product, ["scene_id"], extra=[segments, F.avg(F.col("valid").cast("int")).alias("valid_fraction")])
 
 
 def reclassify(cells: DataFrame, centres: DataFrame, affine: Affine) -> DataFrame:

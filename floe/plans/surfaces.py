@@ -11,16 +11,16 @@ from floe.operators.terrain import combine_elevation
 from floe.schema import Affine
 
 
-def prepare_elevation(targets: DataFrame, terrain: DataFrame, geoid: DataFrame, edges: DataFrame, affine: Affine) -> DataFrame:
+def prepare_elevation(targets: DataFrame, heights: DataFrame, edges: DataFrame, affine: Affine) -> DataFrame:
     """Merged elevation on target cells: bilinear inputs, conservative land mask, geoid on all ocean.
 
-    ``targets`` as for ``regrid_bilinear`` (the same indices fit both sources, which share
-    a grid); ``terrain`` and ``geoid`` hold their value under that name; ``edges`` are land
-    and shelf polygon edges with the target grid's ``scene_id, height, width``.
+    ``targets`` as for ``regrid_bilinear``; ``heights`` are source cells with ``terrain``
+    and ``geoid`` on one grid (bring the coarser one onto the other first); ``edges`` are
+    land and shelf polygon edges with the target grid's ``scene_id, height, width``.
     """
     land_at = rasterize_mask(edges, affine, ["scene_id"], all_touched=True)
-    heights = regrid_bilinear(targets, terrain, "terrain").join(regrid_bilinear(targets, geoid, "geoid"), ["scene_id", "row", "col"])
-    return combine_elevation(mark_cells(heights, land_at, ["scene_id"], "land"))
+    regridded = regrid_bilinear(targets, heights, ["terrain", "geoid"])
+    return combine_elevation(mark_cells(regridded, land_at, ["scene_id"], "land"))
 
 
 def prepare_exclusions(polygons: DataFrame, box: tuple[float, float, float, float], margin: float = 0.2) -> tuple[DataFrame, DataFrame]:

@@ -202,9 +202,9 @@ SELECT count(*) FILTER (land) AS land_cells, count(*) FILTER (NOT land) AS ocean
 def b9(t: Tables):
     """Cells per surface and failures after merging regridded terrain and geoid."""
     edges = outline_edges(t).withColumn("width", F.lit(84).cast("bigint"))
-    source = lambda value, name: t.raster().withColumnRenamed(value, name).select("scene_id", "row", "col", "height", "width", name)
-    made = surfaces.prepare_elevation(regrid_targets(t), source("a", "terrain"), source("b", "geoid"), edges, _FINE)
-    totals = merge_report(made, ["scene_id"]).join(made.groupBy("scene_id").agg(r4(F.avg("elevation")).alias("mean_elevation")), "scene_id")
+    heights = t.raster().withColumnsRenamed({"a": "terrain", "b": "geoid"})
+    made = surfaces.prepare_elevation(regrid_targets(t), heights, edges, _FINE)
+    totals = merge_report(made, ["scene_id"], [r4(F.avg("elevation")).alias("mean_elevation")])
     return totals.drop("scene_id")
 
 
