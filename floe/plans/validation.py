@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from floe.functions.geo import cell_area_km2
 from floe.operators.masks import mark_cells, rasterize_mask

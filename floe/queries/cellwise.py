@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from floe.functions import encode, geo
 from floe.functions.identity import fingerprint, pair_id
 from floe.operators.checks import validate_runs
-from floe.operators.masks import mark_cells  # noqa: F401
 from floe.operators.products import limitations, observation_age, summary_text
 from floe.queries.fixtures import CLASS_AFFINE, Tables
 from floe.queries.registry import query, r4

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from floe.operators import classify, metrics
 from floe.operators.masks import polygon_edges
 from floe.operators.terrain import merge_report
-from floe.operators.training import label_segments
 from floe.plans import acquisition, product, reports, surfaces, training, validation
 from floe.queries.aggregates import _LABELLED, labelled_cells
 from floe.queries.cellwise import area_sql, with_area

@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from floe.functions import geo
-from floe.functions.encode import encode_rgb
 from floe.operators import cells as grids
 from floe.operators import masks
 from floe.operators.orbits import match_orbits, unordered_vectors
@@ -11,9 +9,9 @@ from floe.operators.pairs import compatible_pairs, order_pairs, select_pairs
 from floe.operators.training import duplicate_scenes, label_segments, unused_annotations
 from floe.operators.zonal import paint_segments, segment_features
 from floe.plans.product import grid_edges
-from floe.queries.cellwise import polar_sql, texture_like
+from floe.queries.cellwise import polar_sql
 from floe.queries.fixtures import DAVIS, SCENE_OUTLINES, UNIT_AFFINE, Tables, scene_of
-from floe.queries.registry import day, query, r4, stamp
+from floe.queries.registry import query, r4
 from floe.queries.sources import outline_lines, outlines, scenes
 from floe.schema import Affine, PairRules
 from floe.sources.polygons import parse_polygons

@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from floe.operators import classify, training
 from floe.operators.groups import acquisition_groups, shared_acquisitions
-from floe.operators.metrics import balanced_accuracy, confusion
+from floe.operators.metrics import balanced_accuracy
 from floe.operators.superpixels import superpixels
 from floe.operators.zonal import segment_features
 from floe.queries.fixtures import Tables, scene_of
-from floe.queries.registry import day, query, r4
+from floe.queries.registry import day, query
 
 
 def repeat_scenes(t: Tables):

@@ -1,7 +1,5 @@
 """Masked means and texture."""
 
-from pyspark.sql import functions as F
-
 from floe.operators.cells import cells_to_tiles, tiles_to_cells
 from floe.operators.focal import masked_mean, normprod, texture_tiles
 from floe.queries.fixtures import Tables
