@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import language, quality
-from floe.llm.common import held_out
+from floe.llm import extract, language, packing, quality, warc
+from floe.llm.common import held_out, stored
 from floe.session import prepare
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_html_extraction")
+def op1_html_extraction(read) -> DataFrame:
+    pages = read("pages")
+    return extract.extract(pages, extract.fit(pages))
+
+
 @query("op4_quality")
 def op4_quality(read) -> DataFrame:
     docs = read("documents")
@@ -32,6 +38,42 @@ def op4_quality(read) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query(
+    "op5_warc",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+    d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest, max(page_id) OVER (PARTITION BY sha1(body)) AS top FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+    FROM d
+    """,
+)
+def op5_warc(read) -> DataFrame:
+    captures = warc.archive(read("pages"))
+    return captures.select(
+        "page_id",
+        F.coalesce("origin.payload_bytes", "payload_bytes").alias("payload_bytes"),
+        F.coalesce("payload_sha1", F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
+        "record_type",
+        F.col("origin.page_id").alias("refers_to"),
+    )
+
+
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op7_packing")
+def op7_packing(read) -> DataFrame:
+    cut = stored(packing.pieces(read("documents"), default_tokenizer()), "pieces")
+    # the digest stands in for the ids before they are dealt out, so that only small rows are shuffled
+    digest = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.assign(digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query("op9_language")
 def op9_language(read) -> DataFrame:
     docs = read("documents")
