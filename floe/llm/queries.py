@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import extract, language, packing, quality, warc
+from floe.llm import decontaminate, extract, language, packing, quality, spots, warc
 from floe.llm.common import held_out, stored
 from floe.session import prepare
 
@@ -74,7 +74,17 @@ def op7_packing(read) -> DataFrame:
     return packing.assign(digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query("op8_spot_signatures")
+def op8_spot_signatures(read) -> DataFrame:
+    return spots.compare_edits(read("documents"))
+
+
 @query("op9_language")
 def op9_language(read) -> DataFrame:
     docs = read("documents")
     return language.identify(docs, language.fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_decontamination")
+def op10_decontamination(read) -> DataFrame:
+    return decontaminate.leaks(read("documents"), read("benchmark"))
