@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import decontaminate, extract, language, packing, quality, spots, warc
+from floe.llm import decontaminate, extract, jaccard, language, packing, quality, spots, warc
 from floe.llm.common import held_out, stored
 from floe.session import prepare
 
@@ -31,6 +31,11 @@ def op1_html_extraction(read) -> DataFrame:
     return extract.extract(pages, extract.fit(pages))
 
 
+@query("op2_jaccard_join")
+def op2_jaccard_join(read) -> DataFrame:
+    return jaccard.similar(read("documents"), n=3, percent=90)
+
+
 @query("op4_quality")
 def op4_quality(read) -> DataFrame:
     docs = read("documents")
