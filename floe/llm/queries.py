@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import decontaminate, extract, jaccard, language, packing, quality, spots, warc
+from floe.llm import decontaminate, extract, fmindex, jaccard, language, packing, quality, spots, suffix, warc
 from floe.llm.common import held_out, stored
 from floe.session import prepare
 
@@ -36,6 +36,25 @@ def op2_jaccard_join(read) -> DataFrame:
     return jaccard.similar(read("documents"), n=3, percent=90)
 
 
+WINDOWS_SQL = """
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    spot AS (SELECT doc_id, unnest(range(1, len(words) - 33)) AS at, words FROM w WHERE len(words) >= 35),
+    hashed AS (SELECT doc_id, at, md5(array_to_string(words[at:at + 34], ' ')) AS h FROM spot),
+    again AS (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1),
+    gone AS (SELECT DISTINCT doc_id, at + k AS place FROM hashed SEMI JOIN again USING (h), (SELECT unnest(range(0, 35)) AS k)),
+    each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS body FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id),
+    lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+    SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+
+@query("op3_fm_index", WINDOWS_SQL)
+def op3_fm_index(read) -> DataFrame:
+    return fmindex.remove_repeats(read("documents"), width=35).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_quality")
 def op4_quality(read) -> DataFrame:
     docs = read("documents")
@@ -71,6 +90,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op6_suffix_array")
+def op6_suffix_array(read) -> DataFrame:
+    cut = suffix.remove_repeats(read("documents"), width=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_packing")
 def op7_packing(read) -> DataFrame:
     cut = stored(packing.pieces(read("documents"), default_tokenizer()), "pieces")
