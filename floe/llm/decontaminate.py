@@ -187,30 +187,51 @@ def find(batch_words: np.ndarray, owner: np.ndarray, items: Items) -> list[tuple
     return [(t, k, at - int(f), n, d) for ((t, k), (d, at, n)), f in zip(found.items(), first)]
 
 
+def _blocks(benchmark: DataFrame, block: int, **settings) -> Iterator[Items]:
+    """The benchmark's items in blocks of about ``block`` rows."""
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null and item_id is not null")
+    n_blocks = max(1, -(-rows.count() // block))
+    for k in range(n_blocks):
+        lot = sorted((r["item_id"], r["text"]) for r in rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect())
+        yield Items([i for i, _ in lot], [t for _, t in lot], **settings)
+
+
+def _finds(batch: pa.RecordBatch, items: Items) -> list[tuple[int, int, int, int, int]]:
+    words, owner = words_of(*flat(batch.column("text")))
+    return find(words, owner, items) if len(words) and items.ids else []
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, allowed: float = 0.2, min_words: int = 5, walks: int = 4, repeats: int = 64, block: int = 5000) -> DataFrame:
     """doc_id, item_id and the nearest place (word_start, n_words, distance, similarity) of every item found in a document."""
-    spark = docs.sparkSession
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    n_blocks = max(1, -(-rows.count() // block))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     result = None
-    for k in range(n_blocks):
-        lot = sorted((r["item_id"], r["text"]) for r in rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect() if r["item_id"] is not None)
-        shared = spark.sparkContext.broadcast(Items([i for i, _ in lot], [t for _, t in lot], allowed, min_words, walks, repeats))
+    for items in _blocks(benchmark, block, allowed=allowed, min_words=min_words, walks=walks, repeats=repeats):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            names = [c.split()[0] for c in FOUND.split(", ")]
             for batch in sliced(batches):
-                if not items.ids:
-                    continue
-                words, owner = words_of(*flat(batch.column("text")))
-                hits = find(words, owner, items) if len(words) else []
                 ids = batch.column("doc_id").to_pylist()
-                out = [(ids[t], items.ids[i], at, n, d, 1 - d / int(items.n[i])) for t, i, at, n, d in hits]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-                names = [c.split()[0] for c in FOUND.split(", ")]
+                out = [(ids[t], items.ids[i], at, n, d, 1 - d / int(items.n[i])) for t, i, at, n, d in _finds(batch, items)]
                 yield pa.record_batch({c: pa.array([o[j] for o in out], t) for j, (c, t) in enumerate(zip(names, kinds))})
 
         part = docs.mapInArrow(run, FOUND)
         result = part if result is None else result.unionByName(part)
     return result
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, allowed: float = 0.2, min_words: int = 5, walks: int = 4, repeats: int = 64, block: int = 5000) -> DataFrame:
+    """The documents, all columns unchanged, that hold no item."""
+    for items in _blocks(benchmark, block, allowed=allowed, min_words=min_words, walks=walks, repeats=repeats):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in sliced(batches):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[t for t, *_ in _finds(batch, shared.value)]] = False
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

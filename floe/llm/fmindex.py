@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from floe.llm.common import flat, sliced
-from floe.llm.repeats import Shard, covered, keyed, repeated_spans, split_words, with_spans, word_symbols
+from floe.llm.repeats import HOT, Shard, covered, keyed, repeated_spans, split_words, with_spans, word_symbols
 
 CUT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<low:bigint,high:bigint>>, kept string"
 
@@ -122,10 +122,10 @@ def repeats_in(shard: Shard) -> Iterator[tuple[int, int, int]]:
         yield int(string[i]), int(weight[reached[i]] - base[i]), int(weight[end[i] + 1] - base[i])
 
 
-def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8, hot_size: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, spans (maximal removed runs of words) and kept (the rest joined by one space)."""
     rows = keyed(docs)
-    spans = repeated_spans(rows, word_symbols, np.uint64, width, gram, repeats_in)
+    spans = repeated_spans(rows, word_symbols, np.uint64, width, gram, repeats_in, hot_size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):

@@ -337,3 +337,11 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     named = classes.join(component, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
     placed = known.select("doc_id", *name).join(named, name, "left")
     return placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns unchanged, that are the smallest id of their component; of equal rows one stays."""
+    kept = similar(docs, n, percent).filter("component_id is null or component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
+    marked = docs.withColumn("_same", F.xxhash64("text"))
+    stay = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", "_same"]).drop("_same")

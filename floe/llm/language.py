@@ -138,22 +138,37 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def judge(tree: ContextTree, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of every text."""
+    known = has_letter(data, offsets) & bool(tree.langs)
+    names, share = np.full(len(known), "und", object), np.zeros(len(known))
+    if known.any():
+        bits = tree.lengths(data, offsets)
+        odds = np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
+        names[known] = np.array(tree.langs, object)[bits.argmin(1)[known]]
+        share[known] = 1 / odds[known]
+    return names, share
+
+
+def accepted(docs: DataFrame, tree: ContextTree, least: float = 0.5) -> DataFrame:
+    """The documents, all columns unchanged, whose language is known with a score of at least ``least``."""
+    model = docs.sparkSession.sparkContext.broadcast(tree)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            names, share = judge(model.value, *flat(batch.column("text")))
+            yield batch.filter(pa.array((names != "und") & (share >= least), pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, tree: ContextTree) -> DataFrame:
     """doc_id, lang_pred and score (share of the best language among all, from the code lengths)."""
     model = docs.sparkSession.sparkContext.broadcast(tree)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = model.value
         for batch in sliced(batches):
-            data, offsets = flat(batch.column("text"))
-            known = has_letter(data, offsets) & bool(tree.langs)
-            names, share = np.full(len(known), "und", object), np.zeros(len(known))
-            if known.any():
-                bits = tree.lengths(data, offsets)
-                best = bits.argmin(1)
-                odds = np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
-                names[known] = np.array(tree.langs, object)[best[known]]
-                share[known] = 1 / odds[known]
+            names, share = judge(model.value, *flat(batch.column("text")))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(share)})
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(score, "doc_id bigint, lang_pred string, score double")

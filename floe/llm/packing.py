@@ -32,6 +32,13 @@ _PLAIN = regex.compile(r"[\x00-ɏ‐-‧]*")
 MEMO = 300_000
 
 
+def default_tokenizer() -> str:
+    """Where the vocabulary of the contract lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 class Ids(dict):
     """Ids of single split words as little-endian 32-bit bytes, remembered up to a bound."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,12 +85,6 @@ def op5_warc(read) -> DataFrame:
     )
 
 
-def default_tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query("op6_suffix_array")
 def op6_suffix_array(read) -> DataFrame:
     cut = suffix.remove_repeats(read("documents"), width=200)
@@ -98,7 +93,7 @@ def op6_suffix_array(read) -> DataFrame:
 
 @query("op7_packing")
 def op7_packing(read) -> DataFrame:
-    cut = stored(packing.pieces(read("documents"), default_tokenizer()), "pieces")
+    cut = stored(packing.pieces(read("documents"), packing.default_tokenizer()), "pieces")
     # the digest stands in for the ids before they are dealt out, so that only small rows are shuffled
     digest = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return packing.assign(digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -118,3 +113,8 @@ def op9_language(read) -> DataFrame:
 @query("op10_decontamination")
 def op10_decontamination(read) -> DataFrame:
     return decontaminate.leaks(read("documents"), read("benchmark"))
+
+
+LLM_QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepare(spark), sf_dir)
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

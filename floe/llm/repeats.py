@@ -103,9 +103,9 @@ def stretches(values: np.ndarray, offsets: np.ndarray, width: int, gram: int) ->
     return h.view(np.int64), whole.view(np.int64), doc, first - offsets[doc], at - first, last - first + 1
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the row's key."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def keyed(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, text, carried columns and the row's key."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
     return rows.withColumn("uid", F.xxhash64("doc_id", "text"))
 
 
@@ -289,7 +289,7 @@ class Shard:
         return out, np.concatenate(([0], np.cumsum(weight))), starts
 
 
-def _in_shards(width: int, gram: int, kind: type, report):
+def _in_shards(width: int, gram: int, kind: type, report, hot_size: int):
     """Streams stretches sorted by anchor; yields spans of repeats, and the windows of groups too large for a shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +361,7 @@ def _in_shards(width: int, gram: int, kind: type, report):
                     key, overflow = int(anchor[a]), False
                 current.append(batch.slice(a, b - a))
                 count += b - a
-                if count > HOT:
+                if count > hot_size:
                     overflow = True
                     yield from close()
         yield from close()
@@ -371,8 +371,11 @@ def _in_shards(width: int, gram: int, kind: type, report):
     return run
 
 
-def repeated_spans(docs: DataFrame, symbols: Symbols, kind: type, width: int, gram: int, report) -> DataFrame:
-    """(uid, low, high): symbol spans of repeated windows, of documents from ``keyed``."""
+def repeated_spans(docs: DataFrame, symbols: Symbols, kind: type, width: int, gram: int, report, hot_size: int = HOT) -> DataFrame:
+    """(uid, low, high): symbol spans of repeated windows, of documents from ``keyed``.
+
+    ``report`` finds the repeats of a shard; an anchor of more than ``hot_size`` stretches is decided by window hashes.
+    """
     rows = docs.select("uid", "text").mapInArrow(_anchor_rows(symbols, width, gram), "anchor bigint, whole bigint, uid bigint, spot bigint")
     decided = rows.repartition("anchor").sortWithinPartitions("anchor", "whole").mapInArrow(_decide, "uid bigint, anchor bigint, spot bigint, kind tinyint")
     decided = stored(decided, "stretches")
@@ -380,7 +383,7 @@ def repeated_spans(docs: DataFrame, symbols: Symbols, kind: type, width: int, gr
     wanted = decided.filter(F.col("kind") != FULL).groupBy("uid").agg(F.collect_list(F.struct("anchor", "spot", "kind")).alias("wanted"))
     opened = docs.select("uid", "text").join(wanted.hint("shuffle_hash"), "uid")
     fetched = opened.mapInArrow(_fetch(symbols, width, kind is np.uint8), "anchor bigint, uid bigint, spot bigint, kind tinyint, content binary")
-    in_shards = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_in_shards(width, gram, kind, report), "uid bigint, low bigint, high bigint, window bigint")
+    in_shards = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_in_shards(width, gram, kind, report, hot_size), "uid bigint, low bigint, high bigint, window bigint")
     found = stored(in_shards, "spans")
     direct = found.filter("window = 0").select("uid", "low", "high")
     windows = found.filter("window <> 0")
@@ -403,6 +406,6 @@ def covered(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Documents from ``keyed`` with the list of their spans (null without)."""
     gathered = spans.distinct().groupBy("uid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    return docs.join(gathered.hint("shuffle_hash"), "uid", "left").select("doc_id", "text", "spans")
+    return docs.join(gathered.hint("shuffle_hash"), "uid", "left").drop("uid")
 
 

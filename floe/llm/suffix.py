@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from floe.llm.common import flat, sliced
-from floe.llm.repeats import Shard, byte_symbols, covered, keyed, repeated_spans, with_spans
+from floe.llm.repeats import HOT, Shard, byte_symbols, covered, keyed, repeated_spans, with_spans
 
 CUT = "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<low:bigint,high:bigint>>, kept binary"
 
@@ -149,10 +149,10 @@ def repeats_in(shard: Shard) -> Iterator[tuple[int, int, int]]:
         yield k, int(weight[i] - weight[starts[k]]), int(weight[stop[i]] - weight[starts[k]])
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 60) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 60, hot_size: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (maximal removed runs) and kept (the remaining bytes) of every document."""
     rows = keyed(docs)
-    spans = repeated_spans(rows, byte_symbols, np.uint8, width, gram, repeats_in)
+    spans = repeated_spans(rows, byte_symbols, np.uint8, width, gram, repeats_in, hot_size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -170,3 +170,24 @@ def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 60) -> DataFra
             yield pa.record_batch({n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds)})
 
     return with_spans(rows, spans).mapInArrow(run, CUT)
+
+
+def without_repeats(docs: DataFrame, width: int = 200, gram: int = 60) -> DataFrame:
+    """doc_id, text (whole characters that a repeat covers are cut out), lang, source, n_chars of every document."""
+    rows = keyed(docs, "lang", "source")
+    spans = repeated_spans(rows, byte_symbols, np.uint8, width, gram, repeats_in)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            data, offsets = flat(batch.column("text"))
+            gone = covered(batch.column("spans"), offsets)
+            first = np.flatnonzero((data & 0xC0) != 0x80)
+            if len(first):  # a character goes if all of its bytes do
+                gone = np.repeat(np.logical_and.reduceat(gone, first), np.diff(np.append(first, len(data))))
+            kept = [data[a:b][~gone[a:b]].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "text": pa.array(kept, pa.string()), "lang": batch.column("lang"), "source": batch.column("source"),
+                "n_chars": pa.array([len(t) for t in kept], pa.int64()),
+            })
+
+    return with_spans(rows, spans).mapInArrow(run, "doc_id bigint, text string, lang string, source string, n_chars bigint")
