@@ -5,8 +5,9 @@ smallest ``gram``-symbol hashes (its anchor), so equal windows have equal anchor
 same place. An anchor's *stretch* is the union of the windows it owns.
 
 1. Every document yields its anchors with the hash of each stretch. Equal stretches at
-   equal anchors are repeats in full and need no symbols; they are decided by one sorted
-   stream, so thousands of copies cost one row each.
+   equal anchors are repeats in full and need no symbols. Those equal within a slice of
+   texts are decided there, so that a line of a third of all documents sends a row per
+   slice to its anchor; the others are decided by one sorted stream.
 2. Of what is left at anchors that occur again, the symbols are fetched (one stretch
    standing for equal ones) and dealt to shards by anchor.
 3. In a shard, stretches are cut down to what they share with any neighbour, what a whole
@@ -114,13 +115,26 @@ def _anchor_rows(symbols: Symbols, width: int, gram: int):
         for batch in sliced(batches):
             values, offsets = symbols(*flat(batch.column("text")))
             h, whole, doc, first, place, windows = stretches(values, offsets, width, gram)
-            uid = batch.column("uid").to_numpy()
+            uid = batch.column("uid").to_numpy()[doc]
             spot = (first << 24) | (place << 12) | windows
-            yield pa.record_batch({"anchor": pa.array(h, pa.int64()), "whole": pa.array(whole, pa.int64()), "uid": pa.array(uid[doc], pa.int64()), "spot": pa.array(spot, pa.int64())})
+            # stretches that are equal within this slice are decided here: one row speaks for them at their anchor,
+            # they themselves are dealt anywhere
+            _, lead, group, many = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+            lead = lead[many > 1]
+            sure = many[group] > 1 if len(group) else np.zeros(0, bool)
+            at = np.concatenate((np.arange(len(h)), lead))
+            state = np.concatenate((np.where(sure, SURE, ALONE), np.full(len(lead), SPEAKS))).astype(np.int8)
+            deal = np.where(state == SURE, mix((spot[at] ^ uid[at]).view(np.uint64)).view(np.int64), h[at])
+            rows = {"deal": deal, "anchor": h[at], "whole": whole[at], "uid": uid[at], "spot": spot[at]}
+            yield pa.record_batch({k: pa.array(v, pa.int64()) for k, v in rows.items()} | {"state": pa.array(state)})
 
     return run
 
 
+#: a stretch on its way to its anchor: not seen twice yet, known to be repeated, speaking for such
+ALONE, SURE, SPEAKS = 0, 1, 2
+
+
 #: what becomes of a stretch: repeated in full, open, or only standing for its equals
 FULL, OPEN, STAND_IN = 0, 1, 2
 
@@ -128,43 +142,51 @@ FULL, OPEN, STAND_IN = 0, 1, 2
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by anchor and stretch: those whose anchor occurs again, and what becomes of them.
 
-    One row is held back, with what is known of the rows in front of it. A stand-in is
-    given for the first of equal stretches; where the anchor has no other stretch its
-    shard finds nothing to compare, which costs one row.
+    One row is held back, with what is known of the rows in front of it. The first of equal
+    stretches stands in for them where their anchor has other stretches.
     """
+    names = ("anchor", "whole", "uid", "spot", "state")
     tail: tuple | None = None  # the held row; whether its anchor and its stretch occurred before
     for batch in batches:
-        a, w, u, s = (batch.column(c).to_numpy() for c in ("anchor", "whole", "uid", "spot"))
-        if not len(a):
+        rows = [batch.column(c).to_numpy() for c in names]
+        sure = rows[4] == SURE
+        if sure.any():
+            yield _outcome(*(r[sure] for r in rows[:4]), np.full(int(sure.sum()), FULL, np.int8))
+            rows = [r[~sure] for r in rows]
+        if not len(rows[0]):
             continue
         seen_a = seen_w = False
         if tail is not None:
-            (a0, w0, u0, s0), seen_a, seen_w = tail
-            a, w, u, s = (np.concatenate(([x], y)) for x, y in ((a0, a), (w0, w), (u0, u), (s0, s)))
+            held, seen_a, seen_w = tail
+            rows = [np.concatenate(([x], y)) for x, y in zip(held, rows)]
+        a, w = rows[:2]
         same_a = a[1:] == a[:-1]
         same_w = same_a & (w[1:] == w[:-1])
         before_a, before_w = np.concatenate(([seen_a], same_a)), np.concatenate(([seen_w], same_w))
         after_a, after_w = np.concatenate((same_a, [False])), np.concatenate((same_w, [False]))
-        # an anchor with one stretch only needs no stand-in; at the borders of a batch that is not known
+        # whether an anchor has several stretches is not known at the borders of a batch
         run = np.cumsum(np.concatenate(([0], ~same_a)))
         ends = np.append(np.flatnonzero(~same_a), len(a) - 1)
         several = w[ends] != w[np.concatenate(([0], ends[:-1] + 1))]
         several[0] |= seen_a
         several[-1] = True
-        yield from _decided(a[:-1], w[:-1], u[:-1], s[:-1], (before_a | after_a)[:-1], before_w[:-1], after_w[:-1], several[run][:-1])
-        tail = ((a[-1], w[-1], u[-1], s[-1]), bool(before_a[-1]), bool(before_w[-1]))
+        yield from _decided(*(r[:-1] for r in rows), (before_a | after_a)[:-1], before_w[:-1], after_w[:-1], several[run][:-1])
+        tail = (tuple(r[-1] for r in rows), bool(before_a[-1]), bool(before_w[-1]))
     if tail is not None:
         row, seen_a, seen_w = tail
-        one = [np.array([x]) for x in row]
-        yield from _decided(*one, np.array([seen_a]), np.array([seen_w]), np.array([False]), np.array([True]))
+        yield from _decided(*(np.array([x]) for x in row), np.array([seen_a]), np.array([seen_w]), np.array([False]), np.array([seen_a]))
+
+
+def _outcome(anchor, whole, uid, spot, kind) -> pa.RecordBatch:
+    return pa.record_batch({"uid": pa.array(uid), "anchor": pa.array(anchor), "spot": pa.array(spot), "kind": pa.array(kind)})
 
 
-def _decided(a, w, u, s, again, before_w, after_w, several) -> Iterator[pa.RecordBatch]:
-    equal = before_w | after_w
-    rows = [(np.flatnonzero(again & equal), FULL), (np.flatnonzero(again & ~equal), OPEN), (np.flatnonzero(again & after_w & ~before_w & several), STAND_IN)]
+def _decided(a, w, u, s, state, again, before_w, after_w, several) -> Iterator[pa.RecordBatch]:
+    speaks, equal = state == SPEAKS, before_w | after_w
+    own = again & ~speaks
+    rows = [(np.flatnonzero(own & equal), FULL), (np.flatnonzero(own & ~equal), OPEN), (np.flatnonzero((after_w | speaks) & ~before_w & several), STAND_IN)]
     at = np.concatenate([r for r, _ in rows])
-    kind = np.concatenate([np.full(len(r), k, np.int8) for r, k in rows])
-    yield pa.record_batch({"uid": pa.array(u[at]), "anchor": pa.array(a[at]), "spot": pa.array(s[at]), "kind": pa.array(kind)})
+    yield _outcome(a[at], w[at], u[at], s[at], np.concatenate([np.full(len(r), k, np.int8) for r, k in rows]))
 
 
 def _fetch(symbols: Symbols, width: int, as_bytes: bool):
@@ -376,8 +398,8 @@ def repeated_spans(docs: DataFrame, symbols: Symbols, kind: type, width: int, gr
 
     ``report`` finds the repeats of a shard; an anchor of more than ``hot_size`` stretches is decided by window hashes.
     """
-    rows = docs.select("uid", "text").mapInArrow(_anchor_rows(symbols, width, gram), "anchor bigint, whole bigint, uid bigint, spot bigint")
-    decided = rows.repartition("anchor").sortWithinPartitions("anchor", "whole").mapInArrow(_decide, "uid bigint, anchor bigint, spot bigint, kind tinyint")
+    rows = docs.select("uid", "text").mapInArrow(_anchor_rows(symbols, width, gram), "deal bigint, anchor bigint, whole bigint, uid bigint, spot bigint, state tinyint")
+    decided = rows.repartition("deal").sortWithinPartitions("anchor", "whole").mapInArrow(_decide, "uid bigint, anchor bigint, spot bigint, kind tinyint")
     decided = stored(decided, "stretches")
     full = decided.filter(F.col("kind") == FULL).select("uid", (F.shiftright("spot", 24)).alias("low"), (F.shiftright("spot", 24) + F.col("spot").bitwiseAND(0xFFF) + width - 1).alias("high"))
     wanted = decided.filter(F.col("kind") != FULL).groupBy("uid").agg(F.collect_list(F.struct("anchor", "spot", "kind")).alias("wanted"))
