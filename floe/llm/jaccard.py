@@ -13,9 +13,10 @@ is one). Two documents link when 100 * intersection >= percent * union.
    are cut into bands; a set is celled for its own band, and for the next smaller one if
    its partners may lie there.
 4. Within a cell that two classes share, points are packed into an R-tree, which is
-   searched with the bound; small cells are one leaf. Of larger ones each member is first
-   paired with the smallest id only; after these links are verified, members that did not
-   join it search the tree for all others. Members already joined need no further link.
+   searched with the bound; small cells are one leaf. In larger ones each member is first
+   paired with one smallest id only; after these links are verified, members that did not
+   join the first of their cell search the tree, twice for the one with most room, then for
+   all that are not yet in their component. Members already joined need no further link.
 5. Pairs are verified on whole sets by exact intersection (48-bit hashes); components are
    taken over the links.
 
@@ -38,8 +39,9 @@ from floe.llm.rolling import is_space, mix, prefix_sums, span_hashes, word_hashe
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-GROUPS = 16
+GROUPS = 64
 LEAF = 8
+BLOCK = 20_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,25 +228,32 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch({"cell": pa.array([last[0]], pa.int64()), "id": pa.array([last[1]], pa.int64())})
 
 
-def _tree_pairs(percent: int):
-    """Pairs within one cell whose points leave room for a link: residual members against members of other components."""
+def _tree_pairs(percent: int, best: bool):
+    """Pairs of an asking member with members of other components, where their points leave room for a link.
+
+    With ``best`` each asks for one only, the one with most room.
+    """
 
     def run(key, frame):
         import pandas as pd
 
         frame = frame.sort_values("id")
         points = np.frombuffer(b"".join(frame["point"]), "<u4").reshape(-1, GROUPS).astype(np.int64)
-        sizes, ids, label, asks = (frame[c].to_numpy() for c in ("size", "id", "label", "asks"))
+        sizes, ids, label = (frame[c].to_numpy() for c in ("size", "id", "label"))
         members = np.flatnonzero(frame["home"].to_numpy())
         tree = RTree(points[members], sizes[members])
-        a, b = [], []
-        for i in np.flatnonzero(asks):
+        asker, other, room = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(frame["asks"].to_numpy()):
             j = members[tree.search(points[i], sizes[i], percent)]
             j = j[label[j] != label[i]]
-            a.append(np.minimum(ids[i], ids[j]))
-            b.append(np.maximum(ids[i], ids[j]))
-        out = pd.DataFrame({"a": np.concatenate([np.zeros(0, np.int64), *a]), "b": np.concatenate([np.zeros(0, np.int64), *b])})
-        return out.drop_duplicates()
+            shared = np.minimum(points[j], points[i]).sum(1)
+            if best and len(j):
+                top = (shared / (sizes[j] + sizes[i])).argmax()
+                j, shared = j[top : top + 1], shared[top : top + 1]
+            asker.append(np.full(len(j), ids[i]))
+            other.append(ids[j])
+            room.append(shared)
+        return pd.DataFrame({"id": np.concatenate(asker), "other": np.concatenate(other), "room": np.concatenate(room)})
 
     return run
 
@@ -307,8 +316,8 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     small = shared.join(counted.filter(F.col("members").between(2, LEAF)).select("cell"), "cell", "left_semi").join(points, "id")
     leaves = small.groupBy("cell").agg(F.collect_list(F.struct("id", "size", "point")).alias("m"))
     leaves = leaves.select(F.col("m.id").alias("ids"), F.col("m.size").alias("sizes"), F.col("m.point").alias("points")).mapInArrow(_leaf_pairs(percent), "a bigint, b bigint")
-    large = shared.join(counted.filter(F.col("members") > LEAF), "cell")
-    stars = large.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    large = stored(shared.join(counted.filter(F.col("members") > LEAF), "cell"), "large")
+    stars = large.filter("id <> first").groupBy("id").agg(F.min("first").alias("a")).select("a", F.col("id").alias("b"))
     pairs = stored(leaves.unionByName(stars).distinct(), "pairs")
     wanted = shared.select("id").distinct()
     sets = ids.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_packed_sets(n), "id bigint, hashes binary")
@@ -316,22 +325,33 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     links = stored(_verified(pairs, sets, percent), "links")
     nodes = components(links)
 
-    # members of large cells that did not join the first one search the tree for all others
-    label = nodes.select(F.col("node").alias("id"), F.col("component").alias("label"))
-    labelled = large.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    lead = labelled.filter("id = first").select("cell", F.col("label").alias("lead"))
-    marked = labelled.join(lead, "cell").withColumn("asks", F.col("label") != F.col("lead"))
-    open_cells = marked.filter("asks").groupBy("cell").agg(F.count("*").alias("askers"))
-    # a cell is dealt out in blocks of members; every asking member visits each block
-    block = 20_000
-    todo = marked.join(open_cells, "cell").join(points, "id").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    todo = todo.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    visits = todo.select("cell", "id", "label", "size", "point", "asks", "own", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))).alias("block"))
-    visits = visits.withColumn("home", F.col("block") == F.col("own"))
-    more = visits.groupBy("cell", "block").applyInPandas(_tree_pairs(percent), "a bigint, b bigint").distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, sets, percent))
+    # members of large cells that are not joined to the first one ask the tree: twice each for the likeliest partner in
+    # its largest cell, so that groups of near copies grow together at a row per member, then for all that are left
+    for best in (True, True, False):
+        label = nodes.select(F.col("node").alias("id"), F.col("component").alias("label"))
+        labelled = large.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        lead = labelled.filter("id = first").select("cell", F.col("label").alias("lead"))
+        marked = stored(labelled.join(lead, "cell").withColumn("asks", F.col("label") != F.col("lead")), "asking")
+        asking = marked.filter("asks")
+        if best:
+            asking = asking.groupBy("id").agg(F.max(F.struct("members", "cell")).alias("m")).select("id", F.col("m.cell").alias("cell"))
+        asking = asking.select(F.col("id").alias("asker"), F.col("cell").alias("asked")).distinct()
+        if asking.isEmpty():
+            break
+        open_cells = asking.select(F.col("asked").alias("cell")).distinct()
+        todo = marked.join(open_cells, "cell").join(asking, (F.col("id") == F.col("asker")) & (F.col("cell") == F.col("asked")), "left").withColumn("asks", F.col("asker").isNotNull())
+        # a cell is dealt out in blocks of members; every asking member visits each block
+        todo = todo.join(points, "id").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+        todo = todo.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        blocks = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
+        visits = todo.select("cell", "id", "label", "size", "point", "asks", "own", F.explode(blocks).alias("block")).withColumn("home", F.col("block") == F.col("own"))
+        found = visits.groupBy("cell", "block").applyInPandas(_tree_pairs(percent, best), "id bigint, other bigint, room bigint")
+        if best:
+            found = found.groupBy("id").agg(F.max(F.struct("room", "other")).alias("m")).select("id", F.col("m.other").alias("other"))
+        more = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        more = stored(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.unionByName(more)
+        links = links.unionByName(stored(_verified(more, sets, percent), "links"))
         nodes = components(links)
     component = nodes.select(F.col("node").alias("rep"), "component")
     named = classes.join(component, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
