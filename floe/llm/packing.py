@@ -15,21 +15,21 @@ each on its own; an empty table gives no piece.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from floe.llm.common import sliced, stored
 
 #: how byte-level BPE of this vocabulary splits text before merging (a fixed value of the format)
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_PLAIN = regex.compile(r"[\x00-ɏ‐-‧]*")
-MEMO = 300_000
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: texts with other characters go to the tokenizer itself, whose character tables may be of another edition
+_PLAIN = re.compile("[\x00-\x1b\x20-\u024f\u2010-\u2027]*")
+TRIED = 50
 
 
 def default_tokenizer() -> str:
@@ -39,27 +39,50 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Ids(dict):
-    """Ids of single split words as little-endian 32-bit bytes, remembered up to a bound."""
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones stand for themselves."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class Ids:
+    """Ids of texts as little-endian 32-bit bytes.
+
+    Texts are merged by a second, faster library over the same vocabulary, taken from the
+    tokenizer itself. A worker's first ``TRIED`` texts are encoded by both, and any
+    difference leaves the tokenizer alone in charge.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tried, self.merge = 0, None
+        byte = _byte_of()
+        vocabulary = {t: i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t not in self.special}
+        if all(c in byte for t in vocabulary for c in t):
+            import tiktoken
+
+            ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items()}
+            self.merge = tiktoken.Encoding("bytes", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
+    def _exact(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def of(self, text: str) -> bytes:
-        """Ids of a whole text. Texts with special tokens or rarer scripts go to the tokenizer as they are."""
-        if _PLAIN.fullmatch(text) is None or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, SPLIT.findall(text)))
+        """Ids of a whole text."""
+        if self.merge is None or _PLAIN.fullmatch(text) is None or any(s in text for s in self.special):
+            return self._exact(text)
+        packed = self.merge(text).astype("<u4").tobytes()
+        if self.tried < TRIED:
+            self.tried += 1
+            exact = self._exact(text)
+            if exact != packed:
+                self.merge = None
+                return exact
+        return packed
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024) -> DataFrame:
