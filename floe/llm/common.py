@@ -68,7 +68,7 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Arra
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of undirected links (a, b): (node, component), the smallest node naming each.
+    """Connected components of undirected links (a, b): (node, component) of all but the smallest node, which names each.
 
     Large-star and small-star steps in turn: every step is a minimum per node and an
     equi-join, a hub costs one row per link, and the rounds grow with the logarithm

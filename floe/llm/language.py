@@ -101,7 +101,7 @@ class ContextTree:
             row_of = np.tile(row_of, size if order else 1)
             row_of[names] = (sum(len(r) for r in rows[:-1])) + np.arange(len(names))
             bits = np.concatenate(rows)
-        self.bits = np.ascontiguousarray(bits.reshape(-1, len(self.langs)), np.float32)
+        self.bits = np.ascontiguousarray(bits.reshape(bits.shape[0] * size, len(self.langs)), np.float32)
         self.row_of = row_of.astype(np.int32)
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

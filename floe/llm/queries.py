@@ -39,10 +39,10 @@ def op2_jaccard_join(read) -> DataFrame:
 
 WINDOWS_SQL = """
     WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
-    spot AS (SELECT doc_id, unnest(range(1, len(words) - 33)) AS at, words FROM w WHERE len(words) >= 35),
-    hashed AS (SELECT doc_id, at, md5(array_to_string(words[at:at + 34], ' ')) AS h FROM spot),
+    spot AS (SELECT doc_id, unnest(range(1, len(words) - 33)) AS pos, words FROM w WHERE len(words) >= 35),
+    hashed AS (SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 34], ' ')) AS h FROM spot),
     again AS (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1),
-    gone AS (SELECT DISTINCT doc_id, at + k AS place FROM hashed SEMI JOIN again USING (h), (SELECT unnest(range(0, 35)) AS k)),
+    gone AS (SELECT DISTINCT doc_id, pos + k AS place FROM (SELECT doc_id, pos, unnest(range(0, 35)) AS k FROM hashed SEMI JOIN again USING (h))),
     each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
     kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS body FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id),
     lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
