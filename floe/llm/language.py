@@ -80,7 +80,7 @@ class ContextTree:
         self.byte = symbol[FIRST:]  # byte value to symbol
         self.size = size = int(symbol.max()) + 1
         now, *back = (symbol[p] for p in parts)
-        bits, row_of, context, rows = np.full((1, size, len(self.langs)), np.log2(size)), np.zeros(1, np.int64), np.zeros_like(now), []
+        bits, row_of, context, rows = np.full((1, size, len(self.langs)), np.log2(size), np.float32), np.zeros(1, np.int64), np.zeros_like(now), []
         for order in range(ORDER + 1):
             if order:
                 context = context + back[order - 1] * size ** (order - 1)
@@ -90,7 +90,7 @@ class ContextTree:
             place[kept] = np.arange(len(kept))
             index, names = place[index], names[kept]
             ok = index >= 0
-            n = np.zeros((len(names), size, len(self.langs)))
+            n = np.zeros((len(names), size, len(self.langs)), np.float32)
             np.add.at(n, (index[ok], now[ok], lang[ok]), counts[ok])
             shorter = bits[row_of[names % max(1, size ** (order - 1))]] if order else np.repeat(bits, len(names), 0)
             total, distinct = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
@@ -117,7 +117,7 @@ class ContextTree:
         return out
 
 
-def fit(docs: DataFrame, per_language: int = 1500, max_contexts: int = 20_000) -> ContextTree:
+def fit(docs: DataFrame, per_language: int = 1000, max_contexts: int = 4_000) -> ContextTree:
     """Train on a bounded sample (``per_language``) of the rows outside the evaluation fold.
 
     ``max_contexts`` bounds the contexts kept per order, the most frequent first.
