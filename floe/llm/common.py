@@ -27,6 +27,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more, and let Spark drop the shuffle files of finished jobs."""
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.inputFiles()[0]).getParent() if table.inputFiles() else None
+        if path is not None:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
+
+
 def held_out(doc_id: Column) -> Column:
     """The evaluation fold: crc32 of the id as text leaves remainder 2 by 4 (false for a missing id)."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import components, flat, lists, sliced, stored
+from floe.llm.common import components, flat, free, lists, sliced, stored
 from floe.llm.rolling import is_space, mix, prefix_sums, span_hashes, word_hashes, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -303,12 +303,15 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     bands = Bands(percent)
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = stored(ids.mapInArrow(_set_rows(bands, n), "doc_id bigint, n_shingles bigint, one bigint, two bigint, point binary, cells array<bigint>"), "sets")
+    celled = stored(ids.mapInArrow(_set_rows(bands, n), "doc_id bigint, n_shingles bigint, one bigint, two bigint, point binary, cells array<bigint>"), "sets")
+    known = stored(celled.drop("cells"), "names")
+    spark = docs.sparkSession
     name = ["n_shingles", "one", "two"]
     classes = known.filter("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(F.min("doc_id").alias("rep"))
-    reps = known.join(classes.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    reps = celled.join(classes.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     rows = reps.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("id"))
     shared = stored(rows.repartition("cell").sortWithinPartitions("cell", "id").mapInArrow(_shared_cells, "cell bigint, id bigint"), "cells").distinct()
+    free(spark, celled)  # the cells of all documents are by far the largest table, and only shared ones are needed from here on
     points = known.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "point").filter("size > 0").dropDuplicates(["id"])
     counted = shared.groupBy("cell").agg(F.count("*").alias("members"), F.min("id").alias("first"))
 
@@ -322,8 +325,10 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     wanted = shared.select("id").distinct()
     sets = ids.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_packed_sets(n), "id bigint, hashes binary")
     sets = stored(sets, "hashes")
+    free(spark)
     links = stored(_verified(pairs, sets, percent), "links")
     nodes = components(links)
+    free(spark)
 
     # members of large cells that are not joined to the first one ask the tree: twice each for the likeliest partner in
     # its largest cell, so that groups of near copies grow together at a row per member, then for all that are left
