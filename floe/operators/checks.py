@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def numbered(df: DataFrame, time: str, order: list[str]) -> DataFrame:
+    """Every row with its ``position`` (from 1) in the order, whose first column is ``time``.
+
+    A row's place within its day is added to the number of rows of all days before: one
+    window per day and a running sum over a row per day, never one task for all rows.
+    """
+    dated = df.withColumn("_day", F.to_date(time))
+    days = dated.groupBy("_day").agg(F.count("*").alias("_n"))
+    before = Window.orderBy(F.asc_nulls_first("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = days.select(F.col("_day").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_day").orderBy(*order))
+    joined = dated.withColumn("_place", place).join(starts, F.col("_day").eqNullSafe(F.col("_of")))
+    return joined.withColumn("position", (F.col("_start") + F.col("_place")).cast("bigint")).drop("_day", "_of", "_start", "_place")
+
+
 def validate_runs(runs: DataFrame) -> DataFrame:
     """Every run with the list of what is wrong with it (empty when sound).
 

@@ -118,7 +118,7 @@ def reused_pairs(candidates: DataFrame, products: DataFrame) -> DataFrame:
 def conflicting_pairs(candidates: DataFrame, products: DataFrame) -> DataFrame:
     """Candidates whose product exists under another fingerprint: never overwritten, always an error."""
     known = products.select("pair_id", F.col("fingerprint").alias("existing")).distinct()
-    return candidates.join(known, "pair_id").filter("fingerprint <> existing")
+    return candidates.join(known, "pair_id").filter("not (fingerprint <=> existing)")
 
 
 def review_transfer(requests: DataFrame, models: DataFrame, products: DataFrame) -> DataFrame:
@@ -126,24 +126,28 @@ def review_transfer(requests: DataFrame, models: DataFrame, products: DataFrame)
 
     Models: ``model_id, region, synthetic, features, polarization, contract,
     requires_review``. Products: ``product_id, region, synthetic, polarization,
-    contract, allow_transfer``. Hard failures refuse; softer issues need an explicit
-    permission.
+    contract, allow_transfer``. Hard failures refuse, an unknown model or product among
+    them; softer issues need an explicit permission. Every request gets a row.
     """
     m, p = models.alias("m"), products.alias("p")
-    joined = requests.join(m, "model_id").join(p, "product_id")
+    joined = requests.join(m, "model_id", "left").join(p, "product_id", "left")
+    unknown_model, unknown_product = F.col("m.features").isNull() & F.col("m.region").isNull(), F.col("p.region").isNull()
+    both = ~unknown_model & ~unknown_product
     c = F.col
     hard = F.array_compact(
         F.array(
+            F.when(unknown_model, "unknown model"),
+            F.when(unknown_product, "unknown product"),
             F.when(c("m.synthetic") & ~c("p.synthetic"), "synthetic model on real scene"),
-            F.when(~c("m.features").eqNullSafe(F.lit(FEATURES)), "unsupported features"),
-            F.when(c("m.polarization").isNotNull() & ~c("m.polarization").eqNullSafe(c("p.polarization")), "polarization differs"),
+            F.when(~unknown_model & ~c("m.features").eqNullSafe(F.lit(FEATURES)), "unsupported features"),
+            F.when(~unknown_product & c("m.polarization").isNotNull() & ~c("m.polarization").eqNullSafe(c("p.polarization")), "polarization differs"),
         )
     )
     soft = F.array_compact(
         F.array(
-            F.when(~c("m.region").eqNullSafe(c("p.region")), "region differs"),
-            F.when(c("m.contract").isNotNull() & ~c("m.contract").eqNullSafe(c("p.contract")), "contract differs"),
-            F.when(F.coalesce(c("m.requires_review"), F.lit(False)) | c("m.contract").isNull(), "provenance incomplete"),
+            F.when(both & ~c("m.region").eqNullSafe(c("p.region")), "region differs"),
+            F.when(both & c("m.contract").isNotNull() & ~c("m.contract").eqNullSafe(c("p.contract")), "contract differs"),
+            F.when(both & (F.coalesce(c("m.requires_review"), F.lit(False)) | c("m.contract").isNull()), "provenance incomplete"),
         )
     )
     status = (

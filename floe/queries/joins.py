@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 from floe.operators import cells as grids
 from floe.operators import masks
 from floe.operators.orbits import match_orbits, unordered_vectors
-from floe.operators.pairs import compatible_pairs, order_pairs, select_pairs
+from floe.operators.pairs import compatible_pairs, select_pairs
 from floe.operators.training import duplicate_scenes, label_segments, unused_annotations
 from floe.operators.zonal import paint_segments, segment_features
 from floe.plans.product import grid_edges
 from floe.queries.cellwise import polar_sql
 from floe.queries.fixtures import DAVIS, SCENE_OUTLINES, UNIT_AFFINE, Tables, scene_of
+from floe.operators.checks import numbered
 from floe.queries.registry import query, r4
 from floe.queries.sources import outline_lines, outlines, scenes
 from floe.schema import Affine, PairRules
@@ -47,11 +48,10 @@ def j1(t: Tables):
     return pairs.select("pair_id", "first_id", "second_id", r4("baseline_days", 6).alias("baseline_days"), r4("common_aoi_fraction", 6).alias("common_aoi_fraction"))
 
 
-@query("o1_pair_order", f"SELECT pair_id, CAST(row_number() OVER (ORDER BY t2, baseline_days, pair_id) AS BIGINT) AS position FROM ({_PAIRS}) QUALIFY position <= 1000")
+@query("o1_pair_order", f"SELECT pair_id, CAST(row_number() OVER (ORDER BY t2, baseline_days, pair_id) AS BIGINT) AS position FROM ({_PAIRS})")
 def o1(t: Tables):
-    """First thousand of the ordered list, numbered: the order itself is the result."""
-    listed = order_pairs(lonlat_pairs(t)).limit(1000).agg(F.collect_list("pair_id").alias("ids"))
-    return listed.select(F.posexplode("ids").alias("k", "pair_id")).select("pair_id", (F.col("k") + 1).cast("bigint").alias("position"))
+    """The whole ordered list, numbered: the order itself is the result."""
+    return numbered(lonlat_pairs(t), "second_time", ["second_time", "baseline_days", "pair_id"]).select("pair_id", "position")
 
 
 @query("o2_pair_slice", f"SELECT pair_id FROM ({_PAIRS}) ORDER BY t2, baseline_days, pair_id LIMIT 40 OFFSET 25")
@@ -113,11 +113,10 @@ def j2(t: Tables):
 WITH m AS (SELECT s.file_id, s.mission, o.name, o.creation, row_number() OVER (PARTITION BY s.file_id ORDER BY o.creation DESC NULLS LAST, o.name DESC) AS k,
     count(o.name) OVER (PARTITION BY s.file_id) AS candidates
   FROM fx_cat s LEFT JOIN fx_orb o ON o.mission = s.mission AND o.valid_from <= s.start_time - INTERVAL 60 SECOND AND s.stop_time + INTERVAL 60 SECOND <= o.valid_to)
-SELECT file_id, mission, substr(name, 1, 33) AS orbit_name, candidates, CASE WHEN name IS NULL THEN 'no_orbit' ELSE 'matched' END AS status FROM m WHERE k = 1""",
+SELECT file_id, mission, name AS orbit_name, candidates, CASE WHEN name IS NULL THEN 'no_orbit' ELSE 'matched' END AS status FROM m WHERE k = 1""",
 )
 def j3(t: Tables):
-    found = match_orbits(t.fx_cat, t.fx_orb)
-    return found.withColumn("orbit_name", F.substring("orbit_name", 1, 33))
+    return match_orbits(t.fx_cat, t.fx_orb)
 
 
 # Brute force: every cell against every edge.

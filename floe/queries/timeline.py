@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from floe.operators import products as P
+from floe.operators.checks import numbered
 from floe.queries.fixtures import Tables
 from floe.queries.registry import day, query
 from floe.streaming.incremental import plan_work
@@ -10,11 +11,10 @@ from floe.streaming.incremental import plan_work
 _ORDER = "second_time DESC, first_time DESC, created_time DESC, product_id DESC"
 
 
-@query("o3_product_order", f"SELECT product_id, CAST(row_number() OVER (ORDER BY second_time, first_time, created_time, product_id) AS BIGINT) AS position FROM fx_prod QUALIFY position <= 500")
+@query("o3_product_order", f"SELECT product_id, CAST(row_number() OVER (ORDER BY second_time, first_time, created_time, product_id) AS BIGINT) AS position FROM fx_prod")
 def o3(t: Tables):
-    """First five hundred of the ordered list, numbered."""
-    listed = P.ordered_products(t.fx_prod).limit(500).agg(F.collect_list("product_id").alias("ids"))
-    return listed.select(F.posexplode("ids").alias("k", "product_id")).select("product_id", (F.col("k") + 1).cast("bigint").alias("position"))
+    """The whole ordered list, numbered."""
+    return numbered(t.fx_prod, "second_time", ["second_time", "first_time", "created_time", "product_id"]).select("product_id", "position")
 
 
 @query(
@@ -81,10 +81,10 @@ def j14(t: Tables):
     """
 WITH m AS (SELECT p_partkey AS model_id, concat('R', CAST(p_partkey % 25 AS VARCHAR)) AS region, p_partkey % 7 = 0 AS synthetic, CASE WHEN p_partkey % 19 = 0 THEN 'other' ELSE 'mean_RGB_uint8' END AS features,
     CASE p_partkey % 4 WHEN 0 THEN 'HV' WHEN 1 THEN NULL ELSE 'HH' END AS polarization, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE concat('texture-', CAST(p_partkey % 2 AS VARCHAR)) END AS contract, p_partkey % 3 = 0 AS review FROM part),
-j AS (SELECT m.*, p.product_id, p.region AS pr, p.synthetic AS ps, p.processing AS pc, p.product_id % 2 = 0 AS allowed FROM fx_prod p JOIN m ON m.model_id = p.product_id % 1500 + 1),
-r AS (SELECT *, concat_ws('; ', CASE WHEN synthetic AND NOT ps THEN 'synthetic model on real scene' END, CASE WHEN features <> 'mean_RGB_uint8' THEN 'unsupported features' END, CASE WHEN polarization <> 'HH' THEN 'polarization differs' END) AS hard,
-  concat_ws('; ', CASE WHEN region <> pr THEN 'region differs' END, CASE WHEN contract <> pc THEN 'contract differs' END, CASE WHEN review OR contract IS NULL THEN 'provenance incomplete' END) AS soft FROM j)
-SELECT model_id, product_id, concat_ws('; ', nullif(hard, ''), nullif(soft, '')) AS issues,
+j AS (SELECT m.*, p.product_id, p.region AS pr, p.synthetic AS ps, p.processing AS pc, p.product_id % 2 = 0 AS allowed, p.product_id % 1500 + 1 AS asked FROM fx_prod p LEFT JOIN m ON m.model_id = p.product_id % 1500 + 1),
+r AS (SELECT *, concat_ws('; ', CASE WHEN model_id IS NULL THEN 'unknown model' END, CASE WHEN synthetic AND NOT ps THEN 'synthetic model on real scene' END, CASE WHEN features <> 'mean_RGB_uint8' THEN 'unsupported features' END, CASE WHEN polarization <> 'HH' THEN 'polarization differs' END) AS hard,
+  concat_ws('; ', CASE WHEN region <> pr THEN 'region differs' END, CASE WHEN contract <> pc THEN 'contract differs' END, CASE WHEN model_id IS NOT NULL AND (review OR contract IS NULL) THEN 'provenance incomplete' END) AS soft FROM j)
+SELECT asked AS model_id, product_id, concat_ws('; ', nullif(hard, ''), nullif(soft, '')) AS issues,
   CASE WHEN hard <> '' THEN 'refused' WHEN soft = '' THEN 'accepted' WHEN allowed THEN 'accepted_transfer' ELSE 'needs_permission' END AS review FROM r""",
 )
 def j15(t: Tables):

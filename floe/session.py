@@ -19,12 +19,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
+    """The cluster's shared checkpoint folder; a temporary one only where none is configured and all tasks run on this machine."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return context.getCheckpointDir()
 

@@ -27,7 +27,9 @@ def parse_polygons(lines: DataFrame, column: str = "json") -> DataFrame:
         .when(kind == "MultiPolygon", F.from_json(text, _MULTI))
         .otherwise(wrong)
     )
-    part = parsed.select("f.properties.poly_id", "f.properties.surface", F.posexplode(parts).alias("part", "rings"))
+    # files need not number their polygons: content gives the rest a stable id
+    poly_id = F.coalesce("f.properties.poly_id", F.xxhash64("f.properties.surface", kind, text))
+    part = parsed.select(poly_id.alias("poly_id"), "f.properties.surface", F.posexplode(parts).alias("part", "rings"))
     ring = part.select("poly_id", "surface", "part", F.posexplode("rings").alias("ring_no", "points"))
     points = F.transform("points", lambda xy: F.struct(xy[0].alias("x"), xy[1].alias("y")))
     opened = ring.select("poly_id", "part", "ring_no", "surface", rings.open_ring(points).alias("ring"))
