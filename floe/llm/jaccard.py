@@ -39,7 +39,7 @@ from floe.llm.rolling import is_space, mix, prefix_sums, span_hashes, word_hashe
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-GROUPS = 64
+GROUPS = 256
 LEAF = 8
 BLOCK = 20_000
 
@@ -258,28 +258,20 @@ def _tree_pairs(percent: int, best: bool):
     return run
 
 
-def _leaf_pairs(percent: int):
-    """All pairs that the bound leaves in cells of at most ``LEAF`` members, many cells at a time."""
+def _roomy(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose points leave room for a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets = batch.column("ids").offsets.to_numpy() - batch.column("ids").offsets[0].as_py()
-            ids, sizes = batch.column("ids").flatten().to_numpy(), batch.column("sizes").flatten().to_numpy()
-            raw = batch.column("points").flatten()
-            points = flat(raw)[0].view("<u4").reshape(-1, GROUPS).astype(np.int64) if len(ids) else np.zeros((0, GROUPS), np.int64)
-            n = np.diff(offsets)
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for step in range(1, LEAF):
-                place = np.arange(len(ids)) - np.repeat(offsets[:-1], n)
-                first = np.flatnonzero(place + step < np.repeat(n, n))
-                second = first + step
-                shared = np.minimum(points[first], points[second]).sum(1)
-                fits = shared * (100 + percent) >= percent * (sizes[first] + sizes[second])
-                a.append(np.minimum(ids[first], ids[second])[fits])
-                b.append(np.maximum(ids[first], ids[second])[fits])
-            yield pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                x, y = (flat(batch.column(c))[0].view("<u4").reshape(-1, GROUPS) for c in ("point_a", "point_b"))
+                size = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+                fits = np.minimum(x, y).sum(1).astype(np.int64) * (100 + percent) >= percent * size
+                yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    return run
+    side = lambda name: points.select(F.col("id").alias(name), F.col("size").alias(f"size_{name}"), F.col("point").alias(f"point_{name}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -316,18 +308,22 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     counted = shared.groupBy("cell").agg(F.count("*").alias("members"), F.min("id").alias("first"))
 
     # small cells are leaves; in larger ones everyone is compared with the first member
-    small = shared.join(counted.filter(F.col("members").between(2, LEAF)).select("cell"), "cell", "left_semi").join(points, "id")
-    leaves = small.groupBy("cell").agg(F.collect_list(F.struct("id", "size", "point")).alias("m"))
-    leaves = leaves.select(F.col("m.id").alias("ids"), F.col("m.size").alias("sizes"), F.col("m.point").alias("points")).mapInArrow(_leaf_pairs(percent), "a bigint, b bigint")
+    small = shared.join(counted.filter(F.col("members").between(2, LEAF)).select("cell"), "cell", "left_semi")
+    leaves = small.groupBy("cell").agg(F.sort_array(F.collect_list("id")).alias("m"))
+    each = f"flatten(transform(m, (x, i) -> transform(slice(m, i + 2, {LEAF}), y -> named_struct('a', x, 'b', y))))"
+    leaves = leaves.select(F.explode(F.expr(each)).alias("p")).select("p.a", "p.b")
     large = stored(shared.join(counted.filter(F.col("members") > LEAF), "cell"), "large")
     stars = large.filter("id <> first").groupBy("id").agg(F.min("first").alias("a")).select("a", F.col("id").alias("b"))
-    pairs = stored(leaves.unionByName(stars).distinct(), "pairs")
+    # a pair meets in many cells: it is made distinct before its points are looked at
+    tried = stored(leaves.unionByName(stars).distinct(), "tried")
+    pairs = stored(_roomy(tried, points, percent), "pairs")
     wanted = shared.select("id").distinct()
     sets = ids.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_packed_sets(n), "id bigint, hashes binary")
     sets = stored(sets, "hashes")
     free(spark)
     links = stored(_verified(pairs, sets, percent), "links")
     nodes = components(links)
+    pairs = tried
     free(spark)
 
     # members of large cells that are not joined to the first one ask the tree: twice each for the likeliest partner in
