@@ -274,8 +274,8 @@ def _roomy(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are linked."""
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose sets are linked, stored. Only sets that stand in a pair are made and moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,8 +287,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             batch = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
             yield batch
 
+    # a stored table has a known size, so a short list of ids is broadcast and the texts stay where they are
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    sets = texts.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
+    sets = stored(sets.mapInArrow(_packed_sets(n), "id bigint, hashes binary"), "hashes")
     opened = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b").join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a")
-    return opened.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    links = stored(opened.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint"), "links")
+    free(pairs.sparkSession, wanted, sets)
+    return links
 
 
 def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -317,11 +323,8 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     # a pair meets in many cells: it is made distinct before its points are looked at
     tried = stored(leaves.unionByName(stars).distinct(), "tried")
     pairs = stored(_roomy(tried, points, percent), "pairs")
-    wanted = shared.select("id").distinct()
-    sets = ids.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_packed_sets(n), "id bigint, hashes binary")
-    sets = stored(sets, "hashes")
     free(spark)
-    links = stored(_verified(pairs, sets, percent), "links")
+    links = _verified(pairs, ids, n, percent)
     nodes = components(links)
     pairs = tried
     free(spark)
@@ -352,7 +355,7 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         more = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         more = stored(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.unionByName(more)
-        links = links.unionByName(stored(_verified(more, sets, percent), "links"))
+        links = links.unionByName(_verified(more, ids, n, percent))
         nodes = components(links)
     component = nodes.select(F.col("node").alias("rep"), "component")
     named = classes.join(component, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
