@@ -306,7 +306,9 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     spark = docs.sparkSession
     name = ["n_shingles", "one", "two"]
     classes = known.filter("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(F.min("doc_id").alias("rep"))
-    reps = celled.join(classes.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    # copies that stand for no class are fewer than the rest: they are looked up, so that cells are moved once
+    copies = stored(known.select("doc_id").distinct().join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_anti"), "copies")
+    reps = celled.filter("n_shingles > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
     rows = reps.select(F.explode("cells").alias("cell"), F.col("doc_id").alias("id"))
     shared = stored(rows.repartition("cell").sortWithinPartitions("cell", "id").mapInArrow(_shared_cells, "cell bigint, id bigint"), "cells").distinct()
     free(spark, celled)  # the cells of all documents are by far the largest table, and only shared ones are needed from here on
