@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from floe.llm import decontaminate, jaccard, language, packing, suffix
-from floe.llm.common import shared_path, stored
+from floe.llm.common import shared_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +29,9 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their sequence and offset; the tokens stay in the stored table of pieces, their digest is carried."""
-    cut = stored(packing.pieces(docs, packing.default_tokenizer()), "pieces")
-    return packing.assign(cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+    """Every piece of a document with its token ids (little-endian 32-bit), their digest, its sequence and offset."""
+    packed = packing.pack(docs, packing.default_tokenizer())
+    return packed.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [

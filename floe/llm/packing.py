@@ -216,11 +216,11 @@ def stock_plan(demand: np.ndarray, lengths: np.ndarray, capacity: int) -> list[t
 def assign(cut: DataFrame, capacity: int = 1024, rows_per_bucket: int = 500_000) -> DataFrame:
     """``cut`` (doc_id, start, length and any further columns) with sequence_id and offset.
 
-    Full pieces are sequences of their own, numbered after those of the rests.
+    Full pieces are sequences of their own, numbered after those of the rests. Each length
+    has a bucket for every ``rows_per_bucket`` of its pieces, so no group grows with the table.
     """
     spark = cut.sparkSession
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
     lengths = np.array(sorted(k for k in counts if k < capacity), np.int64)
     plan = stock_plan(np.array([counts[k] for k in lengths], np.int64), lengths, capacity)
     # slots: the ranks [low, low + times * many) of a length go to `times` sequences from `base`, `many` in each
@@ -241,8 +241,9 @@ def assign(cut: DataFrame, capacity: int = 1024, rows_per_bucket: int = 500_000)
     table = spark.sparkContext.broadcast({k: np.array(v, np.int64) for k, v in by_length.items()})
 
     # rank of a piece among its length: its bucket's first rank plus its place in the bucket
-    buckets = max(1, total // rows_per_bucket)
-    cut = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).cast("int"))
+    many = {k: n // rows_per_bucket for k, n in counts.items() if n >= 2 * rows_per_bucket}
+    buckets = F.coalesce(F.create_map(*(F.lit(int(x)) for pair in many.items() for x in pair))[F.col("length").cast("int")], F.lit(1)) if many else F.lit(1)
+    cut = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start"), buckets).cast("int"))
     sizes = cut.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     firsts = sizes.withColumn("_first", F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
     firsts = firsts.select("length", "_bucket", F.coalesce("_first", F.lit(0)).alias("_first"))
@@ -269,5 +270,8 @@ def assign(cut: DataFrame, capacity: int = 1024, rows_per_bucket: int = 500_000)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024) -> DataFrame:
-    """doc_id, start, length, ids, doc_tokens, sequence_id, offset for every piece; the ids are tokenized once and stored."""
-    return assign(stored(pieces(docs, tokenizer_path, capacity), "pieces"), capacity)
+    """doc_id, start, length, ids, doc_tokens, sequence_id, offset for every piece; the ids are tokenized once and stored.
+
+    The ids are dealt out with their pieces, so a group is kept at about 4 MB of ids.
+    """
+    return assign(stored(pieces(docs, tokenizer_path, capacity), "pieces"), capacity, rows_per_bucket=max(1, (1 << 20) // capacity))

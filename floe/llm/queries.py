@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floe.llm import decontaminate, extract, fmindex, jaccard, language, packing, quality, spots, suffix, warc
-from floe.llm.common import held_out, stored
+from floe.llm.common import held_out
 from floe.session import prepare
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,10 +93,8 @@ def op6_suffix_array(read) -> DataFrame:
 
 @query("op7_packing")
 def op7_packing(read) -> DataFrame:
-    cut = stored(packing.pieces(read("documents"), packing.default_tokenizer()), "pieces")
-    # the digest stands in for the ids before they are dealt out, so that only small rows are shuffled
-    digest = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return packing.assign(digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    packed = packing.pack(read("documents"), packing.default_tokenizer())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 @query("op8_spot_signatures")

@@ -3,8 +3,10 @@
 import glob
 import os
 import re
+import zlib
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -50,6 +52,37 @@ def test_stages(spark):
     assert {r.doc_id for r in by_name["packing"][1].collect()} == kept
 
 
+def test_last_stage_returns_the_ids(spark):
+    from tokenizers import Tokenizer
+
+    from floe.llm import packing
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    got = corpus_pipeline.pack_sequences(spark, docs, SF).toPandas()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert set(got.doc_id) == set(texts)
+    for doc_id, parts in got.sort_values("start").groupby("doc_id"):
+        ids = tokenizer.encode(texts[doc_id] or "", add_special_tokens=False).ids + [0]
+        assert np.frombuffer(b"".join(parts.ids), "<u4").tolist() == ids
+    assert [zlib.crc32(x) for x in got.ids] == got.ids_crc32.tolist()
+
+
+def test_packing_query_deals_out_the_ids(spark):
+    plan = entry.queries()["op7_packing"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"crc32\(ids#\d+\)", plan[: plan.index("Window")])  # the digest is taken above the window, of the ids it has moved
+
+
+def test_full_pieces_are_no_single_group(spark):
+    from floe.llm import packing
+
+    cut = spark.range(5000).selectExpr("id AS doc_id", "0L AS start", "CASE WHEN id % 2 = 0 THEN 8L ELSE 1 + id % 7 END AS length", "id AS ids")
+    got = packing.assign(cut, capacity=8, rows_per_bucket=100).toPandas()
+    assert sorted(got.ids) == list(range(5000)) and (got.ids == got.doc_id).all()
+    for _, seq in got.sort_values("offset").groupby("sequence_id"):
+        assert (seq.length.cumsum() - seq.length == seq.offset).all() and seq.length.sum() <= 8
+
+
 @pytest.mark.parametrize("name", ["op3_fm_index", "op5_warc"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
