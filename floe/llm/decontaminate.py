@@ -6,8 +6,11 @@ of n words when some run of its words is within ``floor(allowed * n)`` word edit
 Item-sized windows of every document are embedded by random walks (a word is repeated or
 left behind by a random bit of its hash, so that one edit disturbs the walk only for a
 while). Repeated samples of three coordinates are the keys of a locality-sensitive hash;
-``repeats`` is chosen so that recall at the full allowed distance stays above 0.95 (see
-the test). Windows that meet an item under a key are verified by exact edit distance.
+``repeats`` is chosen so that recall at the full allowed distance of a fifth stays above
+0.95 (see the test). Windows that meet an item under a key are verified by exact edit distance.
+Walks that differ by many edits drift apart, so an item of over ``PIECE`` words is looked
+up by pieces of about equal length: one of them at least is within its own share of the
+edits. Where a piece is verified, all places of the whole item that it allows are.
 A window can only be near an item if they share ceil((n - d) / (d + 1)) words in a row,
 d being the allowed edits; windows without any such run are not embedded, which loses none.
 
@@ -32,6 +35,8 @@ from floe.llm.rolling import is_space, mix, window_hashes, word_hashes, word_spa
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: the most words that are embedded as one
+PIECE = 50
 FOUND = "doc_id bigint, item_id bigint, word_start bigint, n_words bigint, distance bigint, similarity double"
 
 
@@ -57,7 +62,13 @@ class Items:
             if len(words) >= max(1, min_words):
                 kept.append((item_id, words))
         self.ids = [k for k, _ in kept]
-        self.words = [w for _, w in kept]
+        self.whole = [w for _, w in kept]
+        self.whole_edits = np.array([int(allowed * len(w) + 1e-9) for w in self.whole], np.int64)
+        #: what is embedded: the item of each piece and where in it the piece begins
+        cuts = [np.linspace(0, len(w), -(-len(w) // PIECE) + 1).astype(np.int64) for w in self.whole]
+        self.item = np.repeat(np.arange(len(kept)), [len(c) - 1 for c in cuts])
+        self.at = np.concatenate([np.zeros(0, np.int64), *(c[:-1] for c in cuts)])
+        self.words = [w[i:j] for w, c in zip(self.whole, cuts) for i, j in zip(c, c[1:])]
         self.n = np.array([len(w) for w in self.words], np.int64)
         self.edits = np.floor(allowed * self.n + 1e-9).astype(np.int64)
         rng = np.random.default_rng(seed)
@@ -75,11 +86,11 @@ class Items:
         self.bands = np.unique(self.band)
         self.span = {int(b): int(1.6 * self.n[self.band == b].min()) for b in self.bands}
         longest = int(self.n.max())
-        grid = np.zeros((len(kept), longest + self.steps + 1), np.uint64)
+        grid = np.zeros((len(self.words), longest + self.steps + 1), np.uint64)
         for k, w in enumerate(self.words):
             grid[k, : len(w)] = w
         self.padded = grid
-        starts = np.arange(len(kept)) * grid.shape[1]
+        starts = np.arange(len(self.words)) * grid.shape[1]
         own = self.keys(grid.ravel(), starts)
         self.index = {}
         for b in self.bands:
@@ -133,6 +144,31 @@ def edit_distances(texts: np.ndarray, items: np.ndarray, n: np.ndarray) -> tuple
     return best, length
 
 
+def nearest_place(text: np.ndarray, item: np.ndarray, starts: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """(distance, first word, words) of the nearest place of an item that begins in one of the ranges of a text."""
+    n, best = len(item), (len(item) + 1, 0, 0)
+    edges = sorted(starts)
+    while edges:
+        low, high = edges.pop(0)
+        while edges and edges[0][0] <= high + 1:
+            high = max(high, edges.pop(0)[1])
+        # read backwards, the last row has the least distance for each first word
+        back = text[low : high + 2 * n][::-1]
+        column = np.arange(len(back) + 1)
+        row = np.zeros(len(back) + 1, np.int64)
+        for i, word in enumerate(item[::-1]):
+            step = np.empty_like(row)
+            step[0] = i + 1
+            step[1:] = np.minimum(row[1:] + 1, row[:-1] + (back != word))
+            row = np.minimum.accumulate(step - column) + column
+        by_start = row[::-1][: high - low + 1]
+        k = int(by_start.argmin())
+        if by_start[k] < best[0]:
+            _, length = edit_distances(text[None, low + k : low + k + 2 * n], item[None], np.array([n]))
+            best = int(by_start[k]), low + k, int(length[0])
+    return best
+
+
 def find(batch_words: np.ndarray, owner: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
     """(text, item, first word in the text, words, distance) of the nearest place of each item in each text."""
     total = len(batch_words)
@@ -158,6 +194,7 @@ def find(batch_words: np.ndarray, owner: np.ndarray, items: Items) -> list[tuple
     apart = np.zeros(place[-1] + gap + 1, np.uint64)
     apart[place] = batch_words
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    parts: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for lot in range(0, len(starts), 4096):
         some = starts[lot : lot + 4096]
         keys = items.keys(apart, place[some])
@@ -179,10 +216,20 @@ def find(batch_words: np.ndarray, owner: np.ndarray, items: Items) -> list[tuple
             distance, length = edit_distances(texts, items.padded[k][:, : int(items.n[k].max())], items.n[k])
             for j in np.flatnonzero(distance <= items.edits[k]):
                 at = some[w[j]]
-                key = (int(owner[at]), int(k[j]))
+                key = (int(owner[at]), int(items.item[k[j]]))
+                if items.n[k[j]] < len(items.whole[key[1]]):
+                    spare, begin = int(items.whole_edits[key[1]]), int(at - items.at[k[j]])
+                    parts.setdefault(key, []).append((begin - spare, begin + spare))
+                    continue
                 new_find = (int(distance[j]), int(at), int(length[j]))
                 if key not in found or new_find[:2] < found[key][:2]:
                     found[key] = new_find
+    for (t, k), ranges in parts.items():
+        low, high = np.searchsorted(owner, [t, t + 1])
+        within = [(max(0, a - int(low)), min(b, int(high) - 1) - int(low)) for a, b in ranges if b >= low]
+        distance, at, length = nearest_place(batch_words[low:high], items.whole[k], within)
+        if distance <= items.whole_edits[k]:
+            found[t, k] = distance, int(low) + at, length
     first = np.searchsorted(owner, [t for t, _ in found])
     return [(t, k, at - int(f), n, d) for ((t, k), (d, at, n)), f in zip(found.items(), first)]
 
@@ -214,7 +261,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, allowed: float = 0.2, min_words
             names = [c.split()[0] for c in FOUND.split(", ")]
             for batch in sliced(batches):
                 ids = batch.column("doc_id").to_pylist()
-                out = [(ids[t], items.ids[i], at, n, d, 1 - d / int(items.n[i])) for t, i, at, n, d in _finds(batch, items)]
+                out = [(ids[t], items.ids[i], at, n, d, 1 - d / len(items.whole[i])) for t, i, at, n, d in _finds(batch, items)]
                 yield pa.record_batch({c: pa.array([o[j] for o in out], t) for j, (c, t) in enumerate(zip(names, kinds))})
 
         part = docs.mapInArrow(run, FOUND)

@@ -186,6 +186,35 @@ def test_leaks_reach_recall_and_are_exact(spark):
     assert decontaminate.leaks(table, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [61, 120, 250, 400])
+def test_leaks_of_long_items(spark, n):
+    own = random.Random(n)
+    pick = lambda k: [f"w{own.randrange(300)}" for _ in range(k)]
+    items, docs = [], []
+    for _ in range(40):
+        item = pick(n)
+        edited = item[:]
+        for _ in range(n // 5):
+            k = own.randrange(len(edited))
+            own.choice((lambda: edited.__setitem__(k, "zz"), lambda: edited.pop(k), lambda: edited.insert(k, "yy")))()
+        items.append(item)
+        docs.append(" ".join(pick(30) + edited + pick(30)))
+    far = items[0][: n // 2] + pick(n)  # half of an item is none
+    benchmark = spark.createDataFrame([*enumerate(" ".join(i) for i in items)], "item_id long, text string")
+    table = frame(spark, [*enumerate(docs), (900, " ".join(far)), (901, " ".join(items[0][n // 10 :])), (902, " ".join(items[0]))])
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(table, benchmark).collect()}
+    assert set(got) <= {(i, i) for i in range(40)} | {(901, 0), (902, 0)} and len([d for d, _ in got if d < 40]) >= 39
+    assert (got[902, 0].word_start, got[902, 0].n_words, got[902, 0].distance, got[902, 0].similarity) == (0, n, 0, 1.0)
+    assert (got[901, 0].word_start, got[901, 0].n_words, got[901, 0].distance) == (0, n - n // 10, n // 10)
+    for (i, _), r in list(got.items())[:4]:
+        if i < 40:
+            text = words(docs[i])
+            assert word_edits(items[i], text[r.word_start : r.word_start + r.n_words])[-1] == r.distance
+            best = min((min(word_edits(items[i], text[a : a + n + n // 5])), a) for a in range(len(text)) if 30 - n // 5 <= a <= 30 + n // 5)
+            assert (r.distance, r.word_start) == best
+    assert decontaminate.clean(table, benchmark).count() == table.count() - len({d for d, _ in got})
+
+
 def test_fingerprints_of_edits(spark, rows):
     docs = [(i, t) for i, t in rows if i != 5] + [(5, dict(rows)[5])]
     got = sorted(spots.compare_edits(frame(spark, docs).repartition(5)).collect(), key=lambda r: r.doc_id)
