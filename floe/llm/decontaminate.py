@@ -18,7 +18,8 @@ Items are taken in blocks of ``block`` rows, so what is broadcast is bounded.
 
 Defined cases: null or empty texts and items match nothing; items under ``min_words``
 words are no passages and are left out; a document that repeats an item is listed once per
-item, at its nearest place (ties: the first). Repeated rows are listed each.
+item, at its nearest place (ties: the first). Repeated rows are listed each. An item or a
+document without an id is searched like any other; its id is null in the result.
 """
 
 from __future__ import annotations
@@ -236,10 +237,10 @@ def find(batch_words: np.ndarray, owner: np.ndarray, items: Items) -> list[tuple
 
 def _blocks(benchmark: DataFrame, block: int, **settings) -> Iterator[Items]:
     """The benchmark's items in blocks of about ``block`` rows."""
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null and item_id is not null")
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     n_blocks = max(1, -(-rows.count() // block))
     for k in range(n_blocks):
-        lot = sorted((r["item_id"], r["text"]) for r in rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect())
+        lot = sorted(((r["item_id"], r["text"]) for r in rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()), key=lambda i: (i[0] is None, i[0] or 0, i[1]))
         yield Items([i for i, _ in lot], [t for _, t in lot], **settings)
 
 

@@ -215,6 +215,15 @@ def test_leaks_of_long_items(spark, n):
     assert decontaminate.clean(table, benchmark).count() == table.count() - len({d for d, _ in got})
 
 
+def test_items_without_an_id(spark):
+    item, other = [f"a{k}" for k in range(20)], [f"b{k}" for k in range(20)]
+    benchmark = spark.createDataFrame([(None, " ".join(item)), (None, " ".join(other)), (7, " ".join(other)), (None, None)], "item_id long, text string")
+    docs = frame(spark, [(1, " ".join(item)), (2, "x " + " ".join(other)), (None, " ".join(item)), (3, " ".join(draw(40)))])
+    got = decontaminate.leaks(docs, benchmark).collect()
+    assert sorted(((r.doc_id, r.item_id, r.word_start, r.distance) for r in got), key=str) == sorted([(1, None, 0, 0), (2, None, 1, 0), (2, 7, 1, 0), (None, None, 0, 0)], key=str)
+    assert [r.doc_id for r in decontaminate.clean(docs, benchmark).collect()] == [3]
+
+
 def test_fingerprints_of_edits(spark, rows):
     docs = [(i, t) for i, t in rows if i != 5] + [(5, dict(rows)[5])]
     got = sorted(spots.compare_edits(frame(spark, docs).repartition(5)).collect(), key=lambda r: r.doc_id)
