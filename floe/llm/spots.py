@@ -1,7 +1,8 @@
 """Document fingerprints from spot signatures.
 
-A spot is a common word; in texts that hold few of them (tables, other languages) every
-eighth word by hash and the first word of the text serve as well. Its signature is the
+A spot is a common word; in every text, every eighth word by hash and the first word
+serve as well, so that texts with few common words (tables, other languages) have a
+fingerprint too and no text changes its rule by an edit. Its signature is the
 chain of the next content words after it, each ``distance`` content words from the last. The set of
 a text's signatures is its fingerprint, compared by Jaccard likeness. A fingerprint is
 text: base64 of the sorted 32-bit signature hashes.
@@ -53,7 +54,7 @@ _EDGE = (_CODE < 128) & ~np.isin(_CODE, list(b"0123456789abcdefghijklmnopqrstuvw
 
 
 class Spots:
-    """Signature sets of texts: ``chain`` content words after each common word, ``distance`` apart."""
+    """Signature sets of texts: ``chain`` content words after each spot, ``distance`` apart."""
 
     def __init__(self, common: str = COMMON, chain: int = 2, distance: int = 1):
         self.common = np.unique(_hash_words(common.split()))
