@@ -7,7 +7,7 @@ chain of the next content words after it, each ``distance`` content words from t
 a text's signatures is its fingerprint, compared by Jaccard likeness. A fingerprint is
 text: base64 of the sorted 32-bit signature hashes.
 
-Near duplicates are found by partitions of set length: two sets of likeness t have
+Near duplicates (``near_pairs``, which no registered query runs) are found by partitions of set length: two sets of likeness t have
 lengths within a factor t, so a set is only compared in its own partition and the next,
 through the signatures in its prefix, and pairs whose lengths rule them out are dropped
 before any set is opened.
