@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floe.llm import decontaminate, extract, fmindex, jaccard, language, packing, quality, spots, suffix, warc
+from floe.llm import centroids, conversations, decontaminate, extract, fmindex, jaccard, language, packing, quality, sharding, spots, statements, suffix, warc
 from floe.llm.common import held_out
 from floe.session import prepare
 
@@ -113,6 +113,30 @@ def op10_decontamination(read) -> DataFrame:
     return decontaminate.leaks(read("documents"), read("benchmark"))
 
 
+@query("op11_conversation_repair", statements.REPAIR_SQL)
+def op11_conversation_repair(read) -> DataFrame:
+    return conversations.repaired(read("conversations"))
+
+
+@query("op12_sharded_lloyd", statements.lloyd_sql())
+def op12_sharded_lloyd(read) -> DataFrame:
+    return centroids.clustered(read("embeddings"))
+
+
+@query("op13_external_shuffle")
+def op13_external_shuffle(read) -> DataFrame:
+    text = F.col("record.text")
+    return sharding.sharded(read("documents")).select(
+        "record.doc_id",
+        sharding.record_bytes(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 LLM_QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepare(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
