@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from floe.llm.common import shared_path
+from floe.llm.common import shared_path, stored
 
 #: what a task holds of one bucket: its rows are collected, put in order and shuffled
 BUCKET_BYTES = 24 << 20
@@ -59,6 +59,7 @@ def dealt(rows: DataFrame, shards: int) -> DataFrame:
     counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     ahead, whole = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     starts = counts.select("bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"), F.sum("n").over(whole).alias("total"))
+    starts = stored(starts, "starts")  # a written table's size is known: while small it is broadcast and the rows stay where they are
     share, extra = F.expr(f"total div {shards}"), F.col("total") % shards
     longer = extra * (share + 1)  # rows of the shards that hold one more
     rank = F.col("ahead") + F.col("place")
