@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from floe.session import shared_dir
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -20,6 +21,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Let the JVM cut Arrow batches by bytes, so that wide rows do not fill a worker: a batch holds at most ``limit`` or one row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) not in range(1, limit + 1):
+        spark.conf.set(name, str(limit))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: a lost executor never recomputes it."""
     path = shared_path(df.sparkSession, name)

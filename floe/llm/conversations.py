@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from floe.llm.common import free, stored
+from floe.llm.common import bounded_batches, free, stored
 
 GRAMMAR = (("S", ""), ("S", "H"), ("H", "sua"), ("H", "ua"), ("H", "Hua"))
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
@@ -390,6 +390,7 @@ RESULT = "gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal
 
 def repaired(conversations: DataFrame) -> DataFrame:
     """One row a conversation: its faults after damage, the cheapest repair and the hash of the repaired rows."""
+    bounded_batches(conversations.sparkSession)
     rows = damaged(conversations)
     turns = ordered(rows)
     found = composed_blocks(summaries(blocks(turns)))

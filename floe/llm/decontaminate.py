@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import flat, sliced
+from floe.llm.common import bounded_batches, flat, sliced
 from floe.llm.rolling import is_space, mix, window_hashes, word_hashes, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -272,6 +272,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, allowed: float = 0.2, min_words
 
 def clean(docs: DataFrame, benchmark: DataFrame, allowed: float = 0.2, min_words: int = 5, walks: int = 4, repeats: int = 64, block: int = 5000) -> DataFrame:
     """The documents, all columns unchanged, that hold no item."""
+    bounded_batches(docs.sparkSession)
     for items in _blocks(benchmark, block, allowed=allowed, min_words=min_words, walks=walks, repeats=repeats):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 

@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import components, flat, free, lists, sliced, stored
+from floe.llm.common import bounded_batches, components, flat, free, lists, sliced, stored
 from floe.llm.rolling import is_space, mix, prefix_sums, span_hashes, word_hashes, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 GROUPS = 256
 LEAF = 8
-BLOCK = 20_000
+BLOCK = 5_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +166,7 @@ def _packed_sets(n: int):
     return run
 
 
-def _opened(raw: bytes) -> np.ndarray:
+def _opened(raw: bytes | np.ndarray) -> np.ndarray:
     out = np.zeros((len(raw) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
     return out.view(np.uint64).ravel()
@@ -279,13 +279,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                both = np.concatenate((_opened(x), _opened(y)))
-                union = len(np.unique(both))
-                keep.append(100 * (len(both) - union) >= percent * union)
-            batch = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            yield batch
+            # the sets are read in place, two at a time
+            (x, x_at), (y, y_at) = flat(batch.column("set_a")), flat(batch.column("set_b"))
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                both = np.concatenate((_opened(x[x_at[i] : x_at[i + 1]]), _opened(y[y_at[i] : y_at[i + 1]])))
+                both.sort()
+                shared = int((both[1:] == both[:-1]).sum())
+                keep[i] = 100 * shared >= percent * (len(both) - shared)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # a stored table has a known size, so a short list of ids is broadcast and the texts stay where they are
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
@@ -299,6 +301,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
 
 def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    bounded_batches(docs.sparkSession)
     bands = Bands(percent)
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     celled = stored(ids.mapInArrow(_set_rows(bands, n), "doc_id bigint, n_shingles bigint, one bigint, two bigint, point binary, cells array<bigint>"), "sets")
@@ -327,7 +330,7 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     pairs = stored(_roomy(tried, points, percent), "pairs")
     free(spark)
     links = _verified(pairs, ids, n, percent)
-    nodes = components(links)
+    nodes = stored(components(links), "nodes")
     pairs = tried
     free(spark)
 
@@ -346,19 +349,23 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             break
         open_cells = asking.select(F.col("asked").alias("cell")).distinct()
         todo = marked.join(open_cells, "cell").join(asking, (F.col("id") == F.col("asker")) & (F.col("cell") == F.col("asked")), "left").withColumn("asks", F.col("asker").isNotNull())
-        # a cell is dealt out in blocks of members; every asking member visits each block
+        # a cell is dealt out in blocks of members; each meets each block of askers, so a group holds two blocks at most
         todo = todo.join(points, "id").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         todo = todo.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        blocks = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-        visits = todo.select("cell", "id", "label", "size", "point", "asks", "own", F.explode(blocks).alias("block")).withColumn("home", F.col("block") == F.col("own"))
-        found = visits.groupBy("cell", "block").applyInPandas(_tree_pairs(percent, best), "id bigint, other bigint, room bigint")
+        as_member = "transform(sequence(0, blocks - 1), i -> named_struct('asker', i, 'block', own))"
+        as_asker = "transform(sequence(0, blocks - 1), i -> named_struct('asker', own, 'block', i))"
+        meets = F.expr(f"array_distinct(concat({as_member}, case when asks then {as_asker} else array() end))")
+        visits = todo.select("cell", "id", "label", "size", "point", "asks", "own", F.explode(meets).alias("m")).select(
+            "cell", "id", "label", "size", "point", "m.*", (F.col("asks") & (F.col("m.asker") == F.col("own"))).alias("asks"), (F.col("m.block") == F.col("own")).alias("home")
+        )
+        found = visits.groupBy("cell", "asker", "block").applyInPandas(_tree_pairs(percent, best), "id bigint, other bigint, room bigint")
         if best:
             found = found.groupBy("id").agg(F.max(F.struct("room", "other")).alias("m")).select("id", F.col("m.other").alias("other"))
         more = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         more = stored(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.unionByName(more)
         links = links.unionByName(_verified(more, ids, n, percent))
-        nodes = components(links)
+        nodes = stored(components(links), "nodes")
     component = nodes.select(F.col("node").alias("rep"), "component")
     named = classes.join(component, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
     placed = known.select("doc_id", *name).join(named, name, "left")
@@ -366,8 +373,12 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns unchanged, that are the smallest id of their component; of equal rows one stays."""
-    kept = similar(docs, n, percent).filter("component_id is null or component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    marked = docs.withColumn("_same", F.xxhash64("text"))
-    stay = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_same"]).drop("_same")
+    """The documents, all columns unchanged, that are the smallest id of their component; of rows equal in id and text one stays.
+
+    Documents without an id or without words are in no group and stay.
+    """
+    kept = similar(docs, n, percent).filter("component_id is null or component_id = doc_id").select(F.col("doc_id").alias("kept")).distinct()
+    same = "_".join(["same", *docs.columns])  # no column has this name
+    marked = docs.withColumn(same, F.xxhash64("text"))
+    stay = marked.join(kept, marked["doc_id"].eqNullSafe(kept["kept"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", same]).drop(same)

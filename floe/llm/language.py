@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import flat, held_out, sliced
+from floe.llm.common import bounded_batches, flat, held_out, sliced
 
 ORDER = 3
 #: symbol 0 stands for bytes never seen in training, 1 for what lies before a text
@@ -122,6 +122,7 @@ def fit(docs: DataFrame, per_language: int = 1000, max_contexts: int = 4_000) ->
 
     ``max_contexts`` bounds the contexts kept per order, the most frequent first.
     """
+    bounded_batches(docs.sparkSession)
     rows = training_rows(docs, per_language)
     grams = rows.mapInArrow(count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     return ContextTree(grams["lang"].to_numpy(object), grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.float64), max_contexts)

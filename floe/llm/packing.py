@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from floe.llm.common import sliced, stored
+from floe.llm.common import bounded_batches, sliced, stored
 
 #: how byte-level BPE of this vocabulary splits text before merging (a fixed value of the format)
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -274,4 +274,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024) -> DataFram
 
     The ids are dealt out with their pieces, so a group is kept at about 4 MB of ids.
     """
+    bounded_batches(docs.sparkSession)
     return assign(stored(pieces(docs, tokenizer_path, capacity), "pieces"), capacity, rows_per_bucket=max(1, (1 << 20) // capacity))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from floe.llm.common import flat, sliced
+from floe.llm.common import bounded_batches, flat, sliced
 from floe.llm.repeats import HOT, Shard, byte_symbols, covered, keyed, repeated_spans, with_spans
 
 CUT = "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<low:bigint,high:bigint>>, kept binary"
@@ -174,6 +174,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 60, hot_size:
 
 def without_repeats(docs: DataFrame, width: int = 200, gram: int = 60) -> DataFrame:
     """doc_id, text (whole characters that a repeat covers are cut out), lang, source, n_chars of every document."""
+    bounded_batches(docs.sparkSession)
     rows = keyed(docs, "lang", "source")
     spans = repeated_spans(rows, byte_symbols, np.uint8, width, gram, repeats_in)
 

@@ -83,7 +83,7 @@ def test_full_pieces_are_no_single_group(spark):
         assert (seq.length.cumsum() - seq.length == seq.offset).all() and seq.length.sum() <= 8
 
 
-@pytest.mark.parametrize("name", ["op3_fm_index", "op5_warc"])
+@pytest.mark.parametrize("name", ["op3_fm_index", "op5_warc", "op11_conversation_repair", "op12_sharded_lloyd"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for path in glob.glob(f"{SF}/*.parquet"):
@@ -96,4 +96,4 @@ def test_query_equals_sql(spark, name):
 
 def test_all_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_|pipeline", n)]
-    assert len(names) == 11
+    assert len(names) == 14
