@@ -332,7 +332,7 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     links = _verified(pairs, ids, n, percent)
     nodes = stored(components(links), "nodes")
     pairs = tried
-    free(spark)
+    free(spark)  # what the star and leaf rounds shuffled
 
     # members of large cells that are not joined to the first one ask the tree: twice each for the likeliest partner in
     # its largest cell, so that groups of near copies grow together at a row per member, then for all that are left
@@ -364,8 +364,10 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         more = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         more = stored(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.unionByName(more)
+        free(spark, marked, nodes)  # with the files of this round's shuffles
         links = links.unionByName(_verified(more, ids, n, percent))
         nodes = stored(components(links), "nodes")
+        free(spark)
     component = nodes.select(F.col("node").alias("rep"), "component")
     named = classes.join(component, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
     placed = known.select("doc_id", *name).join(named, name, "left")
