@@ -17,7 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from floe.operators.tile_texture import tile_function
+from floe.operators.tile_texture import sampled_function, tile_function
 from floe.schema import MIN_VALID_FRACTION
 
 BLOCK = 256
@@ -149,7 +149,7 @@ def normprod(cells: DataFrame, width: int, min_fraction: float = MIN_VALID_FRACT
     return ratios.filter("core").select("scene_id", "row", "col", a, b, texture)
 
 
-def halo_pieces(tiles: DataFrame, halo: int, tile: int) -> DataFrame:
+def halo_pieces(tiles: DataFrame, halo: int, tile: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each tile to itself whole and to its eight neighbours as the strip they need.
 
     ``tiles``: ``scene_id, ty, tx, row0, col0, h, w, height, width, a, b`` with row-major
@@ -193,6 +193,7 @@ def halo_pieces(tiles: DataFrame, halo: int, tile: int) -> DataFrame:
         F.col("width").cast("bigint").alias("width"),
         cut("a").alias("a"),
         cut("b").alias("b"),
+        *carry,
     )
 
 
@@ -209,3 +210,19 @@ def texture_tiles(tiles: DataFrame, widths: Iterable[int], min_fraction: float =
     bands = ", ".join(f"t{k} array<{precision}>" for k in range(1, len(widths) + 1))
     schema = f"scene_id {scene_type}, ty bigint, tx bigint, row0 bigint, col0 bigint, h int, w int, {bands}"
     return pieces.groupBy("scene_id", "ty", "tx").applyInArrow(tile_function(widths, float(min_fraction), int(tile), precision), schema)
+
+
+def sampled_texture(tiles: DataFrame, widths: Iterable[int], factor: int, min_fraction: float = MIN_VALID_FRACTION, tile: int = 512, units: str = "db") -> DataFrame:
+    """Texture at the cells that decimation by ``factor`` keeps: ``scene_id, row, col, height, width, t1, ...`` of the coarse grid.
+
+    ``tiles`` as in ``texture_tiles``, with ``spans``: row spans ``row, lo, hi`` of excluded cells of the tile. Masking,
+    decibels and texture happen in one kernel, and no cell that decimation drops ever becomes a row.
+    """
+    widths = tuple(int(w) for w in widths)
+    for w in widths:
+        check_width(w)
+    pieces = halo_pieces(tiles, 2 * (max(widths) // 2), tile, ("spans",))
+    bands = [f"t{k}" for k in range(1, len(widths) + 1)]
+    schema = f"scene_id {dict(tiles.dtypes)['scene_id']}, row array<bigint>, col array<bigint>, {', '.join(f'{b} array<double>' for b in bands)}"
+    found = pieces.groupBy("scene_id", "ty", "tx").applyInArrow(sampled_function(widths, float(min_fraction), int(tile), int(factor), units), schema)
+    return found.select("scene_id", F.inline(F.arrays_zip("row", "col", *bands)))

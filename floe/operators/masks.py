@@ -191,8 +191,8 @@ def clip_polygons(polygons: DataFrame, west: float, south: float, east: float, n
 
 
 def surface_counts(polygons: DataFrame) -> DataFrame:
-    """Polygons per surface, of whatever table is passed (before or after clipping)."""
-    return polygons.groupBy("surface").agg(F.count("*").alias("polygons"))
+    """Polygons per surface, of whatever rings are passed (before or after clipping); parts and holes count with their polygon."""
+    return polygons.groupBy("surface").agg(F.countDistinct("poly_id").alias("polygons"))
 
 
 def total_bounds(polygons: DataFrame, keys: list[str] | None = None) -> DataFrame:

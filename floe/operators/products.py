@@ -116,9 +116,12 @@ def reused_pairs(candidates: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def conflicting_pairs(candidates: DataFrame, products: DataFrame) -> DataFrame:
-    """Candidates whose product exists under another fingerprint: never overwritten, always an error."""
+    """Candidates with products, none of them under the same fingerprint: never overwritten, always an error.
+
+    One row a stored fingerprint. A missing fingerprint equals nothing, so every candidate is new, reused or in conflict.
+    """
     known = products.select("pair_id", F.col("fingerprint").alias("existing")).distinct()
-    return candidates.join(known, "pair_id").filter("not (fingerprint <=> existing)")
+    return candidates.join(reused_pairs(candidates, products), ["pair_id", "fingerprint"], "left_anti").join(known, "pair_id")
 
 
 def review_transfer(requests: DataFrame, models: DataFrame, products: DataFrame) -> DataFrame:

@@ -74,6 +74,11 @@ FROM {orders}""",
 SELECT row, col, (row + col) % 3 = 0 AS land, CASE WHEN (row + col) % 3 = 0 THEN coalesce(a, 100) ELSE a END AS terrain,
   CASE WHEN row % 211 = 3 THEN NULL ELSE 18000 + row % 7 END AS geoid
 FROM {fx_grid}""",
+    # three rasters of different shape: the upper half whole, the lower half cut in two at column 40
+    "fx_site": """
+SELECT CASE WHEN row < half THEN 0 WHEN col < 40 THEN 1 ELSE 2 END AS scene_id, CASE WHEN row < half THEN row ELSE row - half END AS row,
+  CASE WHEN row >= half AND col >= 40 THEN col - 40 ELSE col END AS col, a, b
+FROM (SELECT row, col, a, b, (SELECT CAST(floor((max(vec_id) + 1) / 2e0) AS BIGINT) FROM {embeddings}) AS half FROM {fx_grid}) g""",
     "fx_fold": """
 SELECT scene_no, region AS fold, label, CASE WHEN f1 % 5 = 0 THEN 3 WHEN f1 % 2 = 0 THEN 0 ELSE 2 END AS pred
 FROM {fx_doc}

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from floe.streaming.incremental import plan_work
+
 # Manifest fields.
 MANIFEST = """
   product_id bigint, pair_id string, region string, first_time string, second_time string, created_utc string,
@@ -44,3 +49,56 @@ def write_product(df: DataFrame, path: str, partitions: tuple[str, ...] = ("regi
     Rows are clustered by product first, so each product is one file set.
     """
     df.repartition(*partitions).write.mode("errorifexists").partitionBy(*partitions).parquet(path)
+
+
+# --- a store that grows: products below data/, and a log of what was committed
+
+LOG = "pair_id string, fingerprint string, commit string"
+
+
+def committed(spark: SparkSession, root: str) -> DataFrame:
+    """``pair_id, fingerprint, commit`` of every published product; of commits that raced for a pair the first counts."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/log")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], LOG)
+    first = F.min(F.struct("commit", "fingerprint")).alias("first")
+    return spark.read.schema(LOG).parquet(f"{root}/log").groupBy("pair_id").agg(first).select("pair_id", "first.fingerprint", "first.commit")
+
+
+def decide(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """``pair_id, fingerprint, existing, action`` of every candidate, against a store and within the batch.
+
+    A pair that a batch offers under several fingerprints (a missing one counts) is a conflict.
+    """
+    offered = candidates.select("pair_id", "fingerprint").distinct()
+    many = F.count("*").over(Window.partitionBy("pair_id")) > 1
+    planned = plan_work(offered.withColumn("several", many), known)
+    action = F.when((F.col("action") == "process") & F.col("several"), "conflict").otherwise(F.col("action"))
+    return planned.select("pair_id", "fingerprint", "existing", action.alias("action"))
+
+
+def publish(rows: DataFrame, root: str) -> DataFrame:
+    """Publish the products that a store lacks and say what became of each: ``process``, ``reuse`` or ``conflict``.
+
+    ``rows`` hold ``pair_id, fingerprint`` and anything else, many rows a product. They are
+    written below a new commit first; only the log entry makes them visible, so a lost task
+    or job leaves nothing that a reader sees. Products are never replaced.
+    """
+    spark = rows.sparkSession
+    commit = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    actions = f"{root}/actions/{commit}"
+    decide(rows, committed(spark, root)).write.parquet(actions)  # decided once, read by all that follows
+    decided = spark.read.parquet(actions)
+    fresh = decided.filter("action = 'process'").select(F.col("pair_id").alias("p"), F.col("fingerprint").alias("f"))
+    new = rows.join(fresh, (rows["pair_id"] == fresh["p"]) & rows["fingerprint"].eqNullSafe(fresh["f"]), "left_semi")
+    new.write.parquet(f"{root}/data/commit={commit}")
+    entries = fresh.select(F.col("p").alias("pair_id"), F.col("f").alias("fingerprint"), F.lit(commit).alias("commit"))
+    entries.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    return decided
+
+
+def read_published(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all committed products."""
+    rows = spark.read.option("basePath", f"{root}/data").option("mergeSchema", True).parquet(f"{root}/data")
+    kept = committed(spark, root).select("pair_id", "commit")
+    return rows.join(kept, ["pair_id", "commit"], "left_semi").drop("commit")
