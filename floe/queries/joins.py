@@ -148,6 +148,42 @@ def marked(t: Tables, all_touched: bool = False):
     return masks.mark_cells(t.fx_dense.withColumn("scene_id", scene_of("row")), spans, ["scene_id"])
 
 
+# outlines with a rectangular hole, odd ones with a square as second part; corners (x, y) in sizes from the outline's corner
+_HOLE, _PART, _PART_AT = ((0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75)), ((0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.5)), 20.0
+
+
+def _ring_sql(corners, at: float, rule: str) -> str:
+    pairs = zip(corners, corners[1:] + corners[:1])
+    edges = ", ".join(f"({x1}, {y1}, {x2}, {y2})" for (x1, y1), (x2, y2) in pairs)
+    return f"""SELECT poly_id, x0 + {at} + e.a * size AS x1, y0 + e.b * size AS y1, x0 + {at} + e.c * size AS x2, y0 + e.d * size AS y2 FROM fx_outline, (VALUES {edges}) e(a, b, c, d) WHERE surface <> 'ocean' AND {rule}"""
+
+
+_RINGS = f"SELECT poly_id, x1, y1, x2, y2 FROM ({_EDGE}) UNION ALL {_ring_sql(_HOLE, 0.0, 'true')} UNION ALL {_ring_sql(_PART, _PART_AT, 'poly_id % 2 = 1')}"
+
+
+@query(
+    "s6_unnumbered_features",
+    f"""
+SELECT c.row, c.col, m.row IS NOT NULL AS excluded FROM fx_dense c LEFT JOIN (SELECT DISTINCT row, col FROM (SELECT c.row, c.col, e.poly_id, count(*) AS n FROM fx_dense c JOIN ({_RINGS}) e
+    ON (e.y1 > c.row + 0.5) <> (e.y2 > c.row + 0.5) AND c.col + 0.5 < e.x1 + (c.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) GROUP BY ALL) WHERE n % 2 = 1) m ON m.row = c.row AND m.col = c.col""",
+)
+def s6_unnumbered(t: Tables):
+    """Features without a number, a third of them listed twice, with holes, second parts and overlaps: cells they cover together."""
+    closed = lambda corners, at: F.array(*[F.array(F.col("x0") + at + x * F.col("size"), F.col("y0") + y * F.col("size")) for x, y in (*corners, corners[0])])
+    outline = closed(((0.0, 0.0), (1.0, 0.0), (1.0, 2.0), (0.5, 1.0), (0.0, 2.0)), 0.0)
+    parts = F.array(F.array(outline, closed(_HOLE, 0.0)), F.array(closed(_PART, _PART_AT)))
+    odd = F.col("poly_id") % 2 == 1
+    coordinates = F.when(odd, F.to_json(parts)).otherwise(F.to_json(parts[0]))
+    text = F.concat(
+        F.lit('{"properties":{"surface":"'), "surface", F.lit('"},"geometry":{"type":"'), F.when(odd, "MultiPolygon").otherwise("Polygon"), F.lit('","coordinates":'), coordinates, F.lit("}}")
+    )
+    lines = t.fx_outline.select("poly_id", text.alias("json"))
+    lines = lines.unionByName(lines.filter("poly_id % 3 = 0")).drop("poly_id")
+    edges = masks.polygon_edges(parse_polygons(lines), ["poly_id"]).withColumn("scene_id", F.lit(0).cast("bigint"))
+    spans = masks.rasterize_mask(grid_edges(edges, t.grid()), UNIT_AFFINE, ["scene_id"])
+    return masks.mark_cells(t.fx_dense.withColumn("scene_id", scene_of("row")), spans, ["scene_id"]).select("row", "col", "excluded")
+
+
 @query("j4_polygon_mask", f"SELECT c.row, c.col, m.row IS NOT NULL AS excluded FROM fx_dense c LEFT JOIN ({_INSIDE}) m ON m.row = c.row AND m.col = c.col")
 def j4(t: Tables):
     return marked(t).select("row", "col", "excluded")

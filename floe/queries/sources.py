@@ -13,7 +13,7 @@ from floe.sources.catalog import parse_features, search_catalog
 from floe.sources.files import hash_contents
 from floe.sources.orbits import parse_orbit_documents, parse_orbit_names
 from floe.sources.polygons import parse_polygons, rings_from_vertices
-from floe.sources.products import parse_manifests, write_product
+from floe.sources.products import parse_manifests, publish, read_published, write_product
 
 TILE = 48
 
@@ -287,6 +287,28 @@ def s9(t: Tables):
     return back.groupBy("region", "pair_id").agg(F.count("*").alias("n"), r4(F.sum("ice_km2")).alias("ice_km2"))
 
 
+@query(
+    "s9_growing_store",
+    """
+WITH c AS (SELECT *, product_id % 3 <> 0 AS first, CASE WHEN product_id % 11 <> 0 THEN config_hash END AS before,
+    CASE WHEN product_id % 11 = 0 THEN NULL WHEN product_id % 5 = 0 THEN 'changed' ELSE config_hash END AS after FROM fx_prod)
+SELECT region, CASE WHEN NOT first THEN 'process' WHEN before = after THEN 'reuse' ELSE 'conflict' END AS action, count(*) AS pairs,
+  round(sum(CASE WHEN first THEN ice_km2 ELSE ice_km2 + 1 END), 2) AS published_km2 FROM c GROUP BY ALL""",
+)
+def s9_store(t: Tables):
+    """Two batches: products of the first are reused, refused where the fingerprint changed or is missing, or joined by new ones."""
+    import uuid
+
+    root = f"{shared_dir(t.spark)}/store-{uuid.uuid4().hex}"
+    number, known = F.col("product_id"), F.when(F.col("product_id") % 11 != 0, F.col("config_hash"))
+    made = t.fx_prod.select("region", number.cast("string").alias("pair_id"), "product_id", "ice_km2", known.alias("fingerprint"))
+    publish(made.filter("product_id % 3 <> 0"), root)
+    changed = F.when(F.col("fingerprint").isNull(), None).when(number % 5 == 0, "changed").otherwise(F.col("fingerprint"))
+    actions = publish(made.withColumns({"ice_km2": F.col("ice_km2") + 1, "fingerprint": changed}), root)
+    found = read_published(t.spark, root).select("region", "pair_id", "ice_km2").join(actions.select("pair_id", "action"), "pair_id")
+    return found.groupBy("region", "action").agg(F.count("*").alias("pairs"), F.round(F.sum("ice_km2"), 2).alias("published_km2"))
+
+
 @query("s10_content_hashes", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
 def s10(t: Tables):
     return hash_contents(t.documents, "text").select("doc_id", "sha256")

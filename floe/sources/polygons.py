@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floe.functions import rings
@@ -14,12 +14,15 @@ FEATURE = "struct<properties: struct<poly_id: bigint, surface: string>, geometry
 _POLYGON, _MULTI = "array<array<array<double>>>", "array<array<array<array<double>>>>"
 
 
-def parse_polygons(lines: DataFrame, column: str = "json") -> DataFrame:
+def parse_polygons(lines: DataFrame, column: str = "json", identity: Column | None = None) -> DataFrame:
     """Polygon and MultiPolygon features to one row per ring: ``poly_id, part, ring_no, surface, ring``.
 
-    Only land and floating-ice surfaces are kept; lines and points are not polygons and fail.
+    Only land and floating-ice surfaces are kept; lines and points are not polygons and fail. A polygon's rings are
+    read by the even-odd rule, so two features must never share an id: ``identity`` names each line where files do not
+    number theirs reliably. Without it the file's number counts, else the content, and equal features are one.
     """
-    parsed = lines.select(F.explode(F.array(F.from_json(column, FEATURE))).alias("f")).filter(F.col("f.properties.surface").isin(*SURFACES))
+    carried = [] if identity is None else [identity.alias("_identity")]
+    parsed = lines.select(*carried, F.explode(F.array(F.from_json(column, FEATURE))).alias("f")).filter(F.col("f.properties.surface").isin(*SURFACES))
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     wrong = F.raise_error(F.concat(F.lit("not a polygon: "), F.coalesce(kind, F.lit("no geometry"))))
     parts = (
@@ -27,8 +30,12 @@ def parse_polygons(lines: DataFrame, column: str = "json") -> DataFrame:
         .when(kind == "MultiPolygon", F.from_json(text, _MULTI))
         .otherwise(wrong)
     )
-    # files need not number their polygons: content gives the rest a stable id
-    poly_id = F.coalesce("f.properties.poly_id", F.xxhash64("f.properties.surface", kind, text))
+    if identity is None:
+        # a feature listed twice covers what it covers once
+        parsed = parsed.dropDuplicates(["f"])
+        poly_id = F.coalesce("f.properties.poly_id", F.xxhash64("f.properties.surface", kind, text))
+    else:
+        poly_id = F.col("_identity")
     part = parsed.select(poly_id.alias("poly_id"), "f.properties.surface", F.posexplode(parts).alias("part", "rings"))
     ring = part.select("poly_id", "surface", "part", F.posexplode("rings").alias("ring_no", "points"))
     points = F.transform("points", lambda xy: F.struct(xy[0].alias("x"), xy[1].alias("y")))
@@ -44,14 +51,36 @@ def rings_from_vertices(vertices: DataFrame, keys: list[str]) -> DataFrame:
     return packed.select(*keys, ring.alias("ring"))
 
 
+LONLAT, POLAR = "OGC:CRS84", "EPSG:3031"
+
+
+def file_crs(name: Column) -> Column:
+    """The reference system a file names; none means longitude and latitude."""
+    code = F.regexp_extract(name, r"EPSG:+(?:[0-9.]*:)?(\d+)$", 1)
+    known = F.when(name.isNull() | name.endswith("CRS84") | (code == "4326"), LONLAT).when(code == "3031", POLAR)
+    return F.coalesce(known, F.raise_error(F.concat(F.lit("unknown reference system: "), name)))
+
+
 def read_polygons(spark, path: str | None) -> DataFrame:
-    """GeoJSON files under a path; no path means no polygon at all, but a file without any fails."""
-    empty = "poly_id bigint, part int, ring_no int, surface string, ring array<struct<x:double,y:double>>"
+    """GeoJSON files under a path, with the ``crs`` of each ring; no path means no polygon at all, but a file without any fails.
+
+    A feature is known by its file and its place in it, whatever number it carries.
+    """
+    empty = "poly_id bigint, part int, ring_no int, surface string, ring array<struct<x:double,y:double>>, crs string"
     if path is None:
         return spark.createDataFrame([], empty)
-    documents = spark.read.schema(f"features array<{FEATURE}>").option("multiLine", True).json(path)
-    features = documents.select(F.explode("features").alias("f"))
-    polygons = parse_polygons(features.select(F.to_json("f").alias("json")))
+    layout = f"crs struct<properties: struct<name: string>>, features array<{FEATURE}>"
+    documents = spark.read.schema(layout).option("multiLine", True).json(path)
+    crs = file_crs(F.col("crs.properties.name")).alias("crs")
+    features = documents.select(F.col("_metadata.file_path").alias("file"), crs, F.posexplode("features").alias("place", "f"))
+    named = features.select(F.xxhash64("file", "place").alias("id"), "crs", F.to_json("f").alias("json"))
+    polygons = parse_polygons(named, identity=F.col("id"))
     if polygons.isEmpty():
         raise ValueError("no land or shelf polygon found")
-    return polygons
+    return polygons.join(named.select(F.col("id").alias("poly_id"), "crs"), "poly_id")
+
+
+def on_map(polygons: DataFrame) -> DataFrame:
+    """Rings on the polar map: longitudes and latitudes are projected, map metres stay. Clip before, in the file's own plane."""
+    ring = F.when(F.col("crs") == LONLAT, rings.project_ring(F.col("ring"))).otherwise(F.col("ring"))
+    return polygons.withColumns({"ring": ring, "crs": F.lit(POLAR)})
