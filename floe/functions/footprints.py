@@ -132,10 +132,29 @@ def judge(frame: tuple[tuple[float, float], ...]):
     return F.arrow_udf(run, JUDGED)
 
 
+def shared_area(subject: np.ndarray, clipper: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Common area of counter-clockwise simple rings, row by row; either may be concave.
+
+    A concave clipper is the signed sum of the triangles between its first corner and each
+    of its edges: those that turn back cover what must go. Each triangle is convex, so
+    every part is one exact clip.
+    """
+    out = np.zeros(len(subject))
+    whole = is_convex(clipper, counts)
+    if whole.any():
+        out[whole] = signed_area(clip(subject[whole], clipper[whole]))
+    rest = np.flatnonzero(~whole)
+    for k in range(1, clipper.shape[1] - 1):
+        part = clipper[rest][:, [0, k, k + 1]]
+        side = np.sign(signed_area(part))
+        out[rest] += side * np.abs(signed_area(clip(subject[rest], ccw(part))))
+    return np.maximum(out, 0.0)
+
+
 def common_area():
-    """UDF: area common to two convex counter-clockwise rings."""
+    """UDF: area common to two simple counter-clockwise rings."""
 
     def run(first: pa.Array, second: pa.Array) -> pa.Array:
-        return pa.array(np.abs(signed_area(clip(corners(first)[0], corners(second)[0]))))
+        return pa.array(shared_area(corners(first)[0], *corners(second)))
 
     return F.arrow_udf(run, T.DoubleType())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from floe.functions import footprints, rings
@@ -30,23 +30,33 @@ def aoi_frame(spark: SparkSession, aoi: tuple[float, float, float, float], proje
 def usable_scenes(scenes: DataFrame, rules: PairRules, frame: tuple[tuple[float, float], ...], project: bool = True) -> DataFrame:
     """Per-scene work, done once and never per pair: key checks, projection, validity, part inside the AOI.
 
-    Crossing footprints are dropped. A concave footprint cannot clip another one
-    exactly, so it fails the job rather than bending the result. A scene that covers
+    Crossing footprints are dropped (``rejected_scenes`` lists them). A scene that covers
     less of the area of interest than the threshold can pair with nothing.
     """
-    present = scenes.filter(
-        F.array_contains(F.split("polarization", r"\+"), rules.polarization)
-        & F.col("path_number").isNotNull()
-        & F.col("flight_direction").isNotNull()
-        & F.col("beam_mode").isNotNull()
-        & F.col("start_time").isNotNull()
-    )
+    flat = _judged(scenes.filter(_present(rules)), frame, project).filter("simple")
+    return flat.filter(F.col("share") >= rules.min_overlap).drop("simple", "convex", "share")
+
+
+def _present(rules: PairRules) -> Column:
+    """Whether a scene has what pairs are matched by."""
+    named = [F.col(c).isNotNull() for c in ("path_number", "flight_direction", "beam_mode", "start_time")]
+    return F.coalesce(F.array_contains(F.split("polarization", r"\+"), rules.polarization), F.lit(False)) & named[0] & named[1] & named[2] & named[3]
+
+
+def _judged(scenes: DataFrame, frame: tuple[tuple[float, float], ...], project: bool) -> DataFrame:
     ring = rings.open_ring(F.col("footprint"))
-    judged = present.withColumn("judged", footprints.judge(frame)(rings.project_ring(ring) if project else ring))
-    flat = judged.drop("footprint").select("*", "judged.*").drop("judged").filter("simple")
-    concave = F.raise_error(F.concat(F.lit("concave footprint: "), F.col("file_id").cast("string")))
-    share = F.when(F.col("convex"), F.col("share")).otherwise(concave)
-    return flat.filter(share >= rules.min_overlap).drop("simple", "convex", "share")
+    judged = scenes.withColumn("judged", footprints.judge(frame)(rings.project_ring(ring) if project else ring))
+    return judged.drop("footprint").select("*", "judged.*").drop("judged")
+
+
+def rejected_scenes(scenes: DataFrame, aoi: tuple[float, float, float, float], rules: PairRules, project: bool = True) -> DataFrame:
+    """``file_id, reason`` of scenes that can pair with nothing, beside the pairs: no scene ends the job."""
+    judged = _judged(scenes.withColumn("present", _present(rules)), aoi_frame(scenes.sparkSession, aoi, project), project)
+    reason = (
+        F.when(~F.col("present"), "incomplete or other polarisation").when(~F.coalesce("simple", F.lit(False)), "invalid footprint")
+        .when(F.col("share") < rules.min_overlap, "too little of the area")
+    )
+    return judged.select("file_id", reason.alias("reason")).filter("reason is not null")
 
 
 def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:

@@ -107,6 +107,34 @@ def j2(t: Tables):
     return pairs.select("pair_id", r4("common_aoi_fraction").alias("common_aoi_fraction"))
 
 
+# every odd scene lacks the upper right quarter of its box: what boxes share, less what quarters share with them
+def _shared_box(a: str, b: str) -> str:
+    low = lambda e, side, mid: f"({e}.west + {e}.east) / 2" if side == "q" and mid == "x" else f"({e}.south + {e}.north) / 2" if side == "q" else f"{e}.west" if mid == "x" else f"{e}.south"
+    wide = f"least(a.east, b.east, 80.5) - greatest({low('a', a, 'x')}, {low('b', b, 'x')}, 75.5)"
+    high = f"least(a.north, b.north, -67.3) - greatest({low('a', a, 'y')}, {low('b', b, 'y')}, -69.2)"
+    return f"greatest({wide}, 0) * greatest({high}, 0)"
+
+
+_NOTCHED = _PAIRS.replace(
+    """greatest(least(a.east, b.east, 80.5) - greatest(a.west, b.west, 75.5), 0)
+    * greatest(least(a.north, b.north, -67.3) - greatest(a.south, b.south, -69.2), 0) / (5.0 * 1.9)""",
+    f"""({_shared_box("b", "b")} - (a.file_id % 2) * {_shared_box("q", "b")} - (b.file_id % 2) * {_shared_box("b", "q")} + (a.file_id % 2) * (b.file_id % 2) * {_shared_box("q", "q")}) / (5.0 * 1.9)""",
+)
+assert _NOTCHED != _PAIRS
+
+
+@query("j2_concave_overlap", f"SELECT pair_id, round(fraction, 6) AS common_aoi_fraction FROM ({_NOTCHED})")
+def j2_concave(t: Tables):
+    """Pairs among boxes and L-shaped scenes."""
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    w, e, s, n = (F.col(c) for c in ("west", "east", "south", "north"))
+    x, y = (w + e) / 2, (s + n) / 2
+    ell = F.array(point(w, s), point(e, s), point(e, y), point(x, y), point(x, n), point(w, n))
+    shaped = scenes(t).withColumn("footprint", F.when(F.col("file_id") % 2 == 1, ell).otherwise(F.col("footprint")))
+    pairs = compatible_pairs(shaped, DAVIS, RULES, project=False)
+    return pairs.select("pair_id", r4("common_aoi_fraction", 6).alias("common_aoi_fraction"))
+
+
 @query(
     "j3_orbit_coverage",
     """

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from floe.operators.pairs import compatible_pairs, select_pairs
+from floe.operators.pairs import compatible_pairs, rejected_scenes, select_pairs
 from floe.schema import PairRules
 
 AOI = (75.5, -69.2, 80.5, -67.3)
@@ -55,10 +55,43 @@ def test_gap_limits_are_inclusive(spark):
     assert pairs(spark, scene("a"), scene("b", 3), scene("c", 24)).select("baseline_days").orderBy("baseline_days").collect() == [(3.0,), (21.0,), (24.0,)]
 
 
-def test_concave_footprint_fails_loudly(spark):
-    ring = [(75.0, -70.0), (81.0, -70.0), (78.0, -69.0), (81.0, -66.0), (75.0, -66.0)]
-    with pytest.raises(Exception, match="concave footprint"):
-        pairs(spark, scene("a", ring=ring), scene("b", 12)).collect()
+def test_concave_footprints_pair_and_none_ends_the_job(spark):
+    ell = [(75.5, -69.2), (80.5, -69.2), (80.5, -68.25), (78.0, -68.25), (78.0, -67.3), (75.5, -67.3)]
+    bow = [(75.5, -69.2), (80.5, -67.3), (80.5, -69.2), (75.5, -67.3), (75.5, -68.0)]
+    rows = [scene("a", ring=ell), scene("b", 12, ring=ell), scene("c", 12, ring=bow)]
+    found = pairs(spark, *rows).collect()
+    assert [(r.first_id, r.second_id) for r in found] == [("a", "b")]
+    assert found[0].common_aoi_fraction == pytest.approx(0.75, abs=0.02)
+    rows += [scene("d", pol="VV"), scene("e", ring=[(75.0, -70.0), (76.0, -70.0), (76.0, -69.0)]), scene("f", path=None)]
+    rejects = {r.file_id: r.reason for r in rejected_scenes(spark.createDataFrame(rows, COLUMNS), AOI, PairRules()).collect()}
+    assert rejects == {"c": "invalid footprint", "d": "incomplete or other polarisation", "e": "too little of the area", "f": "incomplete or other polarisation"}
+
+
+def test_shared_area_of_concave_rings_against_sample_points():
+    import numpy as np
+
+    from floe.functions.footprints import ccw, shared_area
+
+    rng = np.random.default_rng(6)
+
+    def star(n):
+        angle = np.sort(rng.uniform(0, 2 * np.pi, n))
+        radius = rng.uniform(0.6, 3.0, n)
+        return np.stack([radius * np.cos(angle), radius * np.sin(angle)], 1) + rng.normal(0, 0.5, 2)
+
+    first, second = (np.stack([star(9) for _ in range(30)]) for _ in range(2))
+    got = shared_area(ccw(first), ccw(second), np.full(30, 9))
+    xs, ys = np.meshgrid(np.arange(-5, 5, 0.02), np.arange(-5, 5, 0.02))
+
+    def inside(ring):
+        odd = np.zeros(xs.shape, bool)
+        for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, 0)):
+            if y1 != y2:
+                odd ^= ((y1 > ys) != (y2 > ys)) & (xs < x1 + (ys - y1) * (x2 - x1) / (y2 - y1))
+        return odd
+
+    for k in range(30):
+        assert got[k] == pytest.approx((inside(first[k]) & inside(second[k])).sum() * 0.0004, abs=0.08)
 
 
 def test_hot_orbit_key_gives_all_pairs(spark):
