@@ -27,7 +27,9 @@ null id are returned with null component and take no part. Further columns are i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,7 @@ _LOWER[65:91] += 32
 GROUPS = 256
 LEAF = 8
 BLOCK = 5_000
+TURN_SHARE, TURN_BYTES = 1.0, 256 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +164,7 @@ def _packed_sets(n: int):
             sets, size = shingle_sets(*flat(batch.column("text")), n)
             raw = np.ascontiguousarray((sets >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
             ends = np.cumsum(size) * 6
-            yield pa.record_batch({"id": batch.column("doc_id"), "hashes": pa.array([raw[e - 6 * s : e] for e, s in zip(ends, size)], pa.binary())})
+            yield pa.record_batch({"id": batch.column("doc_id"), "hashes": pa.array([raw[e - 6 * s : e] for e, s in zip(ends, size)], pa.binary()), "bytes": pa.array(size * 6, pa.int64())})
 
     return run
 
@@ -275,7 +278,11 @@ def _roomy(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose sets are linked, stored. Only sets that stand in a pair are made and moved."""
+    """The pairs whose sets are linked, stored. Only sets that stand in a pair are made and moved.
+
+    A pair carries its sets to where they are compared. What all pairs would carry together can be many times the
+    sets themselves, so they go in turns, a grid over the hashes of both ids; a turn moves about as much as all sets hold.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,13 +296,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
                 keep[i] = 100 * shared >= percent * (len(both) - shared)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    spark = pairs.sparkSession
     # a stored table has a known size, so a short list of ids is broadcast and the texts stay where they are
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
     sets = texts.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(sets.mapInArrow(_packed_sets(n), "id bigint, hashes binary"), "hashes")
-    opened = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b").join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a")
-    links = stored(opened.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint"), "links")
-    free(pairs.sparkSession, wanted, sets)
+    sets = stored(sets.mapInArrow(_packed_sets(n), "id bigint, hashes binary, bytes bigint"), "hashes")
+    sizes = sets.select("id", "bytes")
+    each = lambda c: pairs.join(sizes.withColumnRenamed("id", c), c).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    whole = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    side = max(1, math.ceil(math.sqrt((each("a") + each("b")) / max(whole * TURN_SHARE, TURN_BYTES))))
+    at = lambda c: F.pmod(F.xxhash64(F.lit(3), c), F.lit(side))
+    found = []
+    for i in range(side):
+        for j in range(side):
+            of = lambda name, k: sets.filter(at("id") == k).select(F.col("id").alias(name), F.col("hashes").alias(f"set_{name}"))
+            opened = pairs.filter((at("a") == i) & (at("b") == j)).join(of("b", j), "b").join(of("a", i), "a")
+            found.append(stored(opened.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint"), "links"))
+            free(spark)
+    links = stored(reduce(DataFrame.unionByName, found), "links") if side > 1 else found[0]
+    free(spark, wanted, sets)
     return links
 
 

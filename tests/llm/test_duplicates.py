@@ -256,3 +256,14 @@ def test_near_fingerprints_equal_all_pairs(spark, rows):
 @pytest.mark.parametrize("make", [lambda d: jaccard.similar(d), lambda d: suffix.remove_repeats(d), lambda d: fmindex.remove_repeats(d)])
 def test_empty_tables(spark, make):
     assert make(frame(spark, [], "doc_id long, text string, spans int, uid int")).count() == 0
+
+
+def test_verification_in_turns_equals_one_turn(spark, monkeypatch):
+    from floe.llm import jaccard
+
+    texts = spark.createDataFrame([(i, " ".join(f"w{(i % 7) * 3 + k}" for k in range(30 + i % 3))) for i in range(40)], "doc_id bigint, text string")
+    pairs = spark.createDataFrame([(i, j) for i in range(40) for j in range(i + 1, 40)], "a bigint, b bigint")
+    whole = sorted(map(tuple, jaccard._verified(pairs, texts, 3, 80).collect()))
+    monkeypatch.setattr(jaccard, "TURN_BYTES", 1)
+    monkeypatch.setattr(jaccard, "TURN_SHARE", 5.0)
+    assert whole and sorted(map(tuple, jaccard._verified(pairs, texts, 3, 80).collect())) == whole
