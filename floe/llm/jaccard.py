@@ -6,12 +6,17 @@ is one). Two documents link when 100 * intersection >= percent * union.
 1. Equal sets collapse into one class first (two 64-bit sums of hashed shingles and the
    size), so copies are never compared and a class that a third of all rows share is one row.
 2. Shingles are hashed into groups. The numbers of a set's shingles per group are a point;
-   the shared shingles of two sets are at most the sum of the smaller coordinates.
-3. To index only points that can meet, a set's shingles are also split into D + 1 cells,
-   D being the most shingles in which linked sets of that size can differ: linked sets
-   agree on all shingles of some cell (pigeonhole), so they share that cell's sum. Sizes
-   are cut into bands; a set is celled for its own band, and for the next smaller one if
-   its partners may lie there.
+   the shared shingles of two sets are at most the sum of the smaller coordinates. Large sets
+   have more groups, so that a group holds few shingles at every size (beyond 4,096 groups, at
+   32,768 shingles, it holds more and the bound is less sharp). A vector folds to fewer groups
+   by adding, so sets of different size are compared in the groups of the smaller.
+3. To index only points that can meet, a set's shingles are also split into cells, a few more
+   than D + 1, D being the most shingles in which linked sets of that size can differ. If one
+   of two linked sets fills D + 1 cells, they agree on all shingles of one of these
+   (pigeonhole), so they share that cell's sum. A set that fills fewer takes its empty cells
+   too: of two such sets any cell of at least D + 1 can be the one they agree on. Sizes are
+   cut into bands; a set is celled for its own band, and for the next smaller one if its
+   partners may lie there.
 4. Within a cell that two classes share, points are packed into an R-tree, which is
    searched with the bound; small cells are one leaf. In larger ones each member is first
    paired with one smallest id only; after these links are verified, members that did not
@@ -41,7 +46,8 @@ from floe.llm.rolling import is_space, mix, prefix_sums, span_hashes, word_hashe
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-GROUPS = 256
+GROUPS, MOST_GROUPS, PER_GROUP = 256, 4096, 8
+FULL = 255  # a count of this or more is kept as this and bounds nothing
 LEAF = 8
 BLOCK = 5_000
 TURN_SHARE, TURN_BYTES = 1.0, 256 << 20
@@ -83,6 +89,13 @@ class Bands:
         while edges[-1] < 1 << 40:
             edges.append(max(edges[-1] + 1, 100 * edges[-1] // percent + 1))
         self.edges = np.array(edges, np.int64)
+        band = np.arange(len(edges) - 1)
+        need, smallest = self.needed(band).astype(float), self.low(band).astype(float)
+        cells = need
+        for _ in range(50):  # so many that a set fills the needed ones but for two deviations
+            empty = np.exp(-smallest / cells)
+            cells = np.minimum(np.maximum(need, np.where(need > 1, (need + 2 * np.sqrt(cells * empty * (1 - empty))) / (1 - empty), 1)), smallest)
+        self.splits = np.maximum(np.ceil(cells), need).astype(np.int64)
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, np.maximum(size, 1), "right") - 1
@@ -94,6 +107,10 @@ class Bands:
         return self.edges[band + 1] - 1
 
     def cells(self, band: np.ndarray) -> np.ndarray:
+        """Into how many cells sets are split for a band."""
+        return self.splits[band]
+
+    def needed(self, band: np.ndarray) -> np.ndarray:
         """One more than the shingles in which a set of the band and a linked one that is no smaller can differ.
 
         With sizes a <= b <= 100a/p and at least p(a + b)/(100 + p) shared, the difference a + b - 2 * shared
@@ -103,11 +120,40 @@ class Bands:
         return (a + 100 * a // self.percent) * (100 - self.percent) // (100 + self.percent) + 1
 
 
-def _points(sets: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Count vectors: how many shingles of each set fall in each group."""
+def groups_of(size: np.ndarray) -> np.ndarray:
+    """Into how many groups sets of these sizes are counted: a power of two that leaves few shingles in one."""
+    wanted = np.maximum(size, 1) / (GROUPS * PER_GROUP)
+    return np.minimum(GROUPS << np.ceil(np.log2(np.maximum(wanted, 1))).astype(np.int64), MOST_GROUPS)
+
+
+def _points(sets: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Count vectors: how many shingles of each set fall in each group, a byte each."""
+    groups = groups_of(size)
+    begin = np.cumsum(groups) - groups
     text = np.repeat(np.arange(len(size)), size)
-    group = (mix(sets + np.uint64(0x77)) >> np.uint64(30)) % np.uint64(GROUPS)
-    return np.bincount(text * GROUPS + group.astype(np.int64), minlength=len(size) * GROUPS).astype("<u4").reshape(-1, GROUPS)
+    group = (mix(sets + np.uint64(0x77)) >> np.uint64(30)) % groups[text].astype(np.uint64)
+    counts = np.bincount(begin[text] + group.astype(np.int64), minlength=int(groups.sum()))
+    raw = np.minimum(counts, FULL).astype(np.uint8).tobytes()
+    return [raw[b : b + g] for b, g in zip(begin.tolist(), groups.tolist())]
+
+
+def _folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Points (a row each) in fewer groups. A full count stays above every sum of others that matters."""
+    opened = np.where(points == FULL, np.uint32(1 << 20), points).astype(np.uint32)
+    return opened if opened.shape[1] == groups else opened.reshape(len(points), -1, groups).sum(1, dtype=np.uint32)
+
+
+def _alike(points: list[bytes]) -> np.ndarray:
+    """Points of several sizes as the rows of one table, in the groups of the smallest."""
+    lengths = np.array([len(p) for p in points])
+    fewest = int(lengths.min())
+    out = np.zeros((len(points), fewest), np.uint32)
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        for start in range(0, len(rows), 500):
+            some = rows[start : start + 500]
+            out[some] = _folded(np.frombuffer(b"".join(points[i] for i in some), np.uint8).reshape(-1, length), fewest)
+    return out
 
 
 def set_cells(sets: np.ndarray, size: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -123,9 +169,14 @@ def set_cells(sets: np.ndarray, size: np.ndarray, bands: Bands) -> tuple[np.ndar
         slot = (scattered[chosen] % split[t].astype(np.uint64)).astype(np.int64)
         base = np.cumsum(np.where(active, split, 0)) - np.where(active, split, 0)
         total = np.zeros(int(np.where(active, split, 0).sum()), np.uint64)
-        np.add.at(total, base[t] + slot, part[chosen])  # empty cells count as well: they can agree
+        np.add.at(total, base[t] + slot, part[chosen])
         owner = np.repeat(np.flatnonzero(active), split[active])
+        filled = np.zeros(len(total), bool)
+        filled[base[t] + slot] = True
+        enough = np.bincount(owner[filled], minlength=len(size)) >= bands.needed(np.maximum(band, 0))
+        taken = filled | ~enough[owner]
         number = np.arange(len(total)) - base[owner]
+        total, owner, number = total[taken], owner[taken], number[taken]
         keys.append(mix(total + mix(number.astype(np.uint64) * np.uint64(0x1003F) + band[owner].astype(np.uint64) * np.uint64(0x10000001B3))))
         where.append(owner)
         band = band - 1
@@ -149,7 +200,7 @@ def _set_rows(bands: Bands, n: int):
             order = np.argsort(where, kind="stable")
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "n_shingles": pa.array(size, pa.int64()), "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
-                "point": pa.array([p.tobytes() for p in _points(sets, size)], pa.binary()),
+                "point": pa.array(_points(sets, size), pa.binary()),
                 "cells": lists(keys[order].view(np.int64), np.bincount(where, minlength=len(size)), pa.int64()),
             })
 
@@ -181,7 +232,7 @@ class RTree:
     """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, leaf: int = LEAF):
-        wide = np.argsort(-points.var(0), kind="stable")[:2]
+        wide = np.argsort(-(points.max(0).astype(np.int64) - points.min(0)), kind="stable")[:2]
         self.order = np.lexsort((points[:, wide[1]], points[:, wide[0]], sizes))
         self.leaf = leaf
         self.levels = [(points[self.order], sizes[self.order], sizes[self.order])]
@@ -195,7 +246,7 @@ class RTree:
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
             top, low, high = (x[at] for x in self.levels[depth])
-            shared = np.minimum(np.minimum(top, point).sum(1), np.minimum(high, size))
+            shared = np.minimum(np.minimum(top, point).sum(1, dtype=np.int64), np.minimum(high, size))
             fits = (shared * (100 + percent) >= percent * (size + low)) & (low * percent <= 100 * size) & (100 * high >= percent * size)
             at = at[fits]
             if depth:
@@ -241,7 +292,7 @@ def _tree_pairs(percent: int, best: bool):
         import pandas as pd
 
         frame = frame.sort_values("id")
-        points = np.frombuffer(b"".join(frame["point"]), "<u4").reshape(-1, GROUPS).astype(np.int64)
+        points = _alike(frame["point"].tolist())
         sizes, ids, label = (frame[c].to_numpy() for c in ("size", "id", "label"))
         members = np.flatnonzero(frame["home"].to_numpy())
         tree = RTree(points[members], sizes[members])
@@ -249,7 +300,7 @@ def _tree_pairs(percent: int, best: bool):
         for i in np.flatnonzero(frame["asks"].to_numpy()):
             j = members[tree.search(points[i], sizes[i], percent)]
             j = j[label[j] != label[i]]
-            shared = np.minimum(points[j], points[i]).sum(1)
+            shared = np.minimum(points[j], points[i]).sum(1, dtype=np.int64)
             if best and len(j):
                 top = (shared / (sizes[j] + sizes[i])).argmax()
                 j, shared = j[top : top + 1], shared[top : top + 1]
@@ -268,9 +319,15 @@ def _roomy(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
-                x, y = (flat(batch.column(c))[0].view("<u4").reshape(-1, GROUPS) for c in ("point_a", "point_b"))
+                (x, x_at), (y, y_at) = flat(batch.column("point_a")), flat(batch.column("point_b"))
                 size = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-                fits = np.minimum(x, y).sum(1).astype(np.int64) * (100 + percent) >= percent * size
+                shared, shape = np.zeros(batch.num_rows, np.int64), np.stack((np.diff(x_at), np.diff(y_at)))
+                for one, two in np.unique(shape, axis=1).T.tolist():
+                    rows = np.flatnonzero((shape[0] == one) & (shape[1] == two))
+                    for some in np.array_split(rows, max(1, len(rows) * max(one, two) >> 19)):
+                        left, right = (_folded(z[at[some, None] + np.arange(wide)], min(one, two)) for z, at, wide in ((x, x_at, one), (y, y_at, two)))
+                        shared[some] = np.minimum(left, right).sum(1, dtype=np.int64)
+                fits = shared * (100 + percent) >= percent * size
                 yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
     side = lambda name: points.select(F.col("id").alias(name), F.col("size").alias(f"size_{name}"), F.col("point").alias(f"point_{name}"))

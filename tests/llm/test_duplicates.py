@@ -88,6 +88,35 @@ def test_bound_never_loses_a_link():
         assert set(keys[where == 0]) & set(keys[where == 1])
 
 
+def test_sets_that_agree_on_no_filled_cell_meet_in_empty_ones():
+    """Of two sets that both fill few cells, a difference may lie in every filled one."""
+    bands = jaccard.Bands(80)
+    missed = 0
+    for seed in range(4000):
+        a = np.unique(np.random.default_rng(seed).integers(1, 1 << 62, 9).astype(np.uint64))
+        for b in (a[1:], np.unique(np.append(a, np.uint64(seed + 1)))):
+            keys, where = jaccard.set_cells(np.concatenate((a, b)), np.array([len(a), len(b)]), bands)
+            missed += not set(keys[where == 0]) & set(keys[where == 1])
+    assert not missed
+
+
+@pytest.mark.parametrize("sizes", [(3000, 2500), (40_000, 33_000), (300, 2100), (1, 9000)])
+def test_folded_count_vectors_bound_what_is_shared(sizes):
+    hashes = np.unique(np.random.default_rng(sizes[0]).integers(1, 1 << 62, sum(sizes)).astype(np.uint64))
+    a, b = np.sort(hashes[: sizes[0]]), np.sort(hashes[sizes[0] // 3 : sizes[0] // 3 + sizes[1]])
+    both = len(np.intersect1d(a, b))
+    x, y = jaccard._points(np.concatenate((a, b)), np.array([len(a), len(b)]))
+    assert [len(x), len(y)] == jaccard.groups_of(np.array([len(a), len(b)])).tolist()
+    left, right = jaccard._alike([x, y])
+    assert both <= np.minimum(left, right).sum() <= both + 0.95 * (min(sizes) - both) + 50
+
+
+def test_full_counts_bound_nothing():
+    full, few = bytes([jaccard.FULL]) * 512, bytes([jaccard.FULL]) + bytes([1]) * 255
+    left, right = jaccard._alike([full, few])
+    assert left[0] >= 1 << 20 and right[0] >= 1 << 20 and np.minimum(left, right)[1:].sum() == 255
+
+
 def cut_by_brute_force(rows, width, split, join):
     cut = {(i, t): split(t) for i, t in rows}
     counts = collections.Counter()
