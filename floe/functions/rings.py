@@ -101,6 +101,33 @@ def _clip_half_plane(ring: Column, side, meet) -> Column:
     return F.flatten(let(measured, lambda m: F.zip_with(m, _following(m), piece)))
 
 
+def meets_box(ring: Column, west: float, south: float, east: float, north: float) -> Column:
+    """Whether an open ring and a closed box have a point in common; touching counts, the ring may be concave.
+
+    Some edge meets the box, or the box lies inside the ring. An edge misses the box if it is beyond one of its
+    sides or all four corners are strictly on one side of the edge's line, so nothing is divided.
+    """
+    w, s, e, n = (F.lit(float(v)) for v in (west, south, east, north))
+    box = [point(x, y) for x, y in ((w, s), (e, s), (e, n), (w, n))]
+
+    def meets(edge: Column) -> Column:
+        p, q = edge["p"], edge["q"]
+        beyond = (F.greatest(p["x"], q["x"]) < w) | (F.least(p["x"], q["x"]) > e) | (F.greatest(p["y"], q["y"]) < s) | (F.least(p["y"], q["y"]) > n)
+        sides = [_cross(p, q, corner) for corner in box]
+        return ~beyond & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    def crosses(edge: Column) -> Column:
+        """Whether the ray to the east of the box's first corner crosses the edge."""
+        p, q = edge["p"], edge["q"]
+        side = _cross(p, q, box[0])
+        return ((p["y"] > s) != (q["y"] > s)) & (F.when(q["y"] > p["y"], side).otherwise(-side) > 0)
+
+    def judged(edges: Column) -> Column:
+        return F.exists(edges, meets) | (F.size(F.filter(edges, crosses)) % 2 == 1)
+
+    return F.coalesce(let(let(ring, ring_edges), judged), F.lit(False))
+
+
 def clip_box(ring: Column, west: float, south: float, east: float, north: float) -> Column:
     """A ring inside an axis-aligned box; a concave ring keeps its exact area."""
 

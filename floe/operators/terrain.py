@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
+from floe.session import durable
+
+BINS, SMALL = 4096, 100_000
 
 
 def combine_elevation(cells: DataFrame) -> DataFrame:
@@ -56,43 +58,56 @@ def coverage_report(cells: DataFrame, value: str = "terrain") -> DataFrame:
     return listed.withColumn("missing_percent", F.try_divide(F.col("missing") * 100.0, F.col("samples")))
 
 
-def exact_percentiles(df: DataFrame, value: Column, probabilities: list[float], keys: list[str], bins: int = BINS) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: Column, probabilities: list[float], keys: list[str], bins: int = BINS, small: int = SMALL) -> DataFrame:
     """Exact percentiles with linear interpolation: ``keys, p, value``.
 
-    The built-in exact percentile keeps every distinct value of a group in one task.
-    Here values are counted first, a histogram of fixed size finds the bins that hold
-    the wanted ranks, and only those bins are ranked.
+    The built-in exact percentile keeps every distinct value of a group in one task. Here values are counted first, and a
+    histogram of fixed size finds the bins that hold the wanted ranks. A bin that still holds more than ``small`` distinct
+    values, as after an outlier, is cut again within its own reach, in turns on a plain and on a logarithmic scale, so that
+    no distribution stays in one bin; at most ``small`` values are ranked in a task. Missing values count for nothing; a group
+    without values has no row.
     """
     counted = df.filter(value.isNotNull()).groupBy(*keys, value.cast("double").alias("v")).agg(F.count("*").alias("n"))
-    reach = counted.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    if keys:
-        located = counted.join(reach, keys)
-    else:
-        located = counted.withColumn("reach", reach.select(F.struct("lo", "hi", "total")).scalar()).select("v", "n", "reach.*")
-    span = F.col("hi") - F.col("lo")
-    bin_of = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("lo")) / span * bins), F.lit(bins - 1))).otherwise(F.lit(0))
-    binned = located.withColumn("bin", bin_of.cast("bigint"))
-    scope = keys or [F.lit(1)]
-    running = Window.partitionBy(*scope).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    histogram = binned.groupBy(*keys, "bin", "total").agg(F.sum("n").alias("in_bin"))
-    histogram = histogram.withColumn("before", F.coalesce(F.sum("in_bin").over(running), F.lit(0)))
-
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    ranks = histogram.withColumn("p", wanted).withColumn("rank", F.col("p") * (F.col("total") - 1))
-    ends = ranks.withColumn("end", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
-    hits = ends.filter((F.col("end") >= F.col("before")) & (F.col("end") < F.col("before") + F.col("in_bin")))
-    hits = hits.select(*keys, "bin", "before", "p", "rank", "end").distinct()
-
-    needed = hits.select(*keys, "bin", "before").distinct()
-    within = Window.partitionBy(*keys, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = binned.select(*keys, "bin", "v", "n").join(needed, [*keys, "bin"])
-    ranked = ranked.withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(within), F.lit(0)))
-    found = hits.drop("before").alias("h").join(ranked.drop("before").alias("r"), [*keys, "bin"]).filter(
-        (F.col("end") >= F.col("first")) & (F.col("end") < F.col("first") + F.col("n"))
-    )
+    goals = counted.groupBy(*keys).agg(F.sum("n").alias("total")).filter("total > 0").withColumn("p", wanted)
+    goals = goals.withColumn("rank", F.col("p") * (F.col("total") - 1)).drop("total")
+    goals = goals.withColumn("end", F.explode(F.array_distinct(F.array(F.floor("rank"), F.ceil("rank")))))
+    goals = goals.withColumns({"bin": F.lit(""), "before": F.lit(0).cast("bigint")})
+    live = counted.withColumn("bin", F.lit(""))
+    step, logarithmic, sizes = [*keys, "bin"], False, []
+    while True:
+        live, goals, most = _cut_bins(live, goals, step, bins, logarithmic)
+        sizes.append(most)
+        if most <= small or sizes[-3:] == [most] * 3:  # infinite values cannot be told apart by any scale: they are ranked as they are
+            break
+        live, goals, logarithmic = durable(live), durable(goals), not logarithmic
+    within = Window.partitionBy(*step).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = live.withColumn("first", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    place = F.col("end") - F.col("before")
+    found = goals.join(ranked, step).filter((place >= F.col("first")) & (place < F.col("first") + F.col("n")))
     low = F.max(F.when(F.col("end") == F.floor("rank"), F.col("v")))
     high = F.max(F.when(F.col("end") == F.ceil("rank"), F.col("v")))
     fraction = F.col("rank") - F.floor("rank")
     return found.groupBy(*keys, "p", "rank").agg(low.alias("low"), high.alias("high")).select(
         *keys, "p", (F.col("low") + fraction * (F.col("high") - F.col("low"))).alias("value")
     )
+
+
+def _cut_bins(live: DataFrame, goals: DataFrame, step: list[str], bins: int, logarithmic: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Values and ranks in the finer bins that hold a wanted rank, and the most distinct values in one of these."""
+    scaled = F.signum("v") * F.log1p(F.abs(F.col("v")) * 1e9) if logarithmic else F.col("v")  # both rise with the value
+    live = live.withColumn("scaled", scaled)
+    reach = live.groupBy(*step).agg(F.min("scaled").alias("lo"), F.max("scaled").alias("hi"))
+    span = F.col("hi") - F.col("lo")
+    part = F.when(span > 0, F.least(F.floor((F.col("scaled") - F.col("lo")) / span * bins), F.lit(bins - 1))).otherwise(F.lit(0))
+    cut = live.join(reach, step).withColumn("part", part.cast("bigint")).drop("lo", "hi", "scaled")
+    running = Window.partitionBy(*step).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    histogram = cut.groupBy(*step, "part").agg(F.sum("n").alias("in_part"), F.count("*").alias("distinct"))
+    histogram = histogram.withColumn("passed", F.coalesce(F.sum("in_part").over(running), F.lit(0)))
+    place = F.col("end") - F.col("before")
+    hits = goals.join(histogram, step).filter((place >= F.col("passed")) & (place < F.col("passed") + F.col("in_part")))
+    name = F.concat("bin", F.lit("."), F.col("part").cast("string"))
+    found = hits.withColumns({"before": F.col("before") + F.col("passed"), "bin": name}).drop("part", "in_part", "passed", "distinct")
+    kept = cut.withColumn("bin", name).drop("part").join(found.select(*step).distinct(), step, "left_semi")
+    most = hits.agg(F.coalesce(F.max("distinct"), F.lit(0))).first()[0]
+    return kept, found, most

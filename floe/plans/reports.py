@@ -24,13 +24,19 @@ def comparable_pairs(products: DataFrame) -> DataFrame:
 def pair_changes(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     """Change areas for (product_id, prev_product_id); each pair is computed once, however often it is reported.
 
-    ``cells``: ``product_id, row, col, cls, area_km2``.
+    ``cells``: ``product_id, row, col, cls, area_km2``. They are read once: a cell takes the pairs its product stands in,
+    as the newer or the older side, and the two sides of a cell meet in one partial aggregate.
     """
-    wanted = pairs.select("product_id", "prev_product_id").distinct()
-    new = cells.select("product_id", "row", "col", F.col("cls").alias("curr"), "area_km2")
-    old = cells.select(F.col("product_id").alias("prev_product_id"), "row", "col", F.col("cls").alias("prev"))
-    joined = wanted.join(new, "product_id").join(old, ["prev_product_id", "row", "col"])
-    return change_metrics(change_cells(joined), ["product_id", "prev_product_id"])
+    ids = ["product_id", "prev_product_id"]
+    wanted = pairs.select(*ids).distinct()
+    side = lambda own, newer: F.struct(F.col(own).alias("own"), F.lit(newer).alias("newer"))
+    roles = wanted.select(*ids, F.inline(F.array(side("product_id", True), side("prev_product_id", False))))
+    shown = cells.select(F.col("product_id").alias("own"), "row", "col", "cls", "area_km2").filter("cls is not null")
+    newer, code = F.col("newer"), lambda on: F.max(F.when(on, F.col("cls")))
+    both = shown.join(roles, "own").groupBy(*ids, "row", "col").agg(
+        code(newer).alias("curr"), code(~newer).alias("prev"), F.max(F.when(newer, F.col("area_km2"))).alias("area_km2")
+    )
+    return change_metrics(change_cells(both.filter("curr is not null and prev is not null")), ids)
 
 
 def report_rows(current: DataFrame, products: DataFrame, cells: DataFrame) -> DataFrame:
@@ -38,7 +44,10 @@ def report_rows(current: DataFrame, products: DataFrame, cells: DataFrame) -> Da
     links = comparable_pairs(products)
     issued = current.join(links, "product_id")
     changes = pair_changes(issued.filter("comparable"), cells)
+    areas = ("gain_km2", "loss_km2", "persistent_km2", "net_km2", "common_km2")
     full = issued.join(changes, ["product_id", "prev_product_id"], "left")
+    # comparable products that share no observed cell have a change of nothing, not a missing one
+    full = full.withColumns({c: F.when(F.col("comparable"), F.coalesce(c, F.lit(0.0))) for c in areas})
     age = observation_age(F.col("issue_date"), F.col("second_time"))
     text = summary_text(
         F.col("synthetic"),

@@ -145,9 +145,11 @@ k AS (SELECT p.*, q.product_id AS prev_id, q.second_time AS prev_time, p.status
   FROM fx_prod p JOIN l USING (region, synthetic, status, second_time) LEFT JOIN fx_prod q ON q.product_id = l.prev_id),
 i AS (SELECT * FROM (SELECT w.issue_date, p.*, row_number() OVER (PARTITION BY w.issue_date, p.region ORDER BY second_time DESC, first_time DESC, created_time DESC, product_id DESC) AS n
   FROM ({weeks}) w JOIN k p ON p.second_time <= w.issue_date + INTERVAL 86399 SECOND) WHERE n = 1),
-c AS (SELECT i.issue_date, i.region, sum(CASE WHEN a.cls IN (0, 2, 3) AND b.cls IN (0, 2, 3) THEN {area} ELSE 0 END) AS common,
+m AS (SELECT i.issue_date, i.region, sum(CASE WHEN a.cls IN (0, 2, 3) AND b.cls IN (0, 2, 3) THEN {area} ELSE 0 END) AS common,
     sum(CASE WHEN b.cls = 0 AND a.cls IN (2, 3) THEN {area} ELSE 0 END) AS gain, sum(CASE WHEN b.cls IN (2, 3) AND a.cls = 0 THEN {area} ELSE 0 END) AS loss
-  FROM i JOIN fx_prodcell a ON a.product_id = i.product_id JOIN fx_prodcell b ON b.product_id = i.prev_id AND b.row = a.row AND b.col = a.col WHERE i.comparable GROUP BY ALL)
+  FROM i JOIN fx_prodcell a ON a.product_id = i.product_id JOIN fx_prodcell b ON b.product_id = i.prev_id AND b.row = a.row AND b.col = a.col WHERE i.comparable GROUP BY ALL),
+c AS (SELECT i.issue_date, i.region, coalesce(m.common, 0) AS common, coalesce(m.gain, 0) AS gain, coalesce(m.loss, 0) AS loss
+  FROM i LEFT JOIN m ON m.issue_date = i.issue_date AND m.region = i.region WHERE i.comparable)
 SELECT i.region, strftime(i.issue_date, '%Y-%m-%d') AS issue_date, i.product_id, CASE WHEN i.comparable THEN i.prev_id END AS compared_with,
   date_diff('day', CAST(i.second_time AS DATE), i.issue_date) AS age_days, round(c.gain, 4) AS gain_km2, round(c.loss, 4) AS loss_km2, round(c.common, 4) AS common_km2,
   CASE WHEN i.synthetic THEN 'SYNTHETIC TEST DATA. This bulletin tests the software and layout; it describes no observed Davis conditions.'

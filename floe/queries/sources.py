@@ -1,7 +1,10 @@
 """Sources and sinks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from floe.functions.rings import point
 from floe.operators.cells import cells_to_tiles, tile_index, tiles_to_cells
 from floe.operators.masks import polygon_edges
 from floe.operators.orbits import orbit_vector_checks
@@ -9,7 +12,7 @@ from floe.queries.fixtures import DAVIS, Tables
 from floe.queries.registry import day, query, r4, stamp
 from floe.session import shared_dir
 from floe.sources.annotations import parse_scene_names, select_rgb
-from floe.sources.catalog import parse_features, search_catalog
+from floe.sources.catalog import BOX, parse_features, search_catalog, store_catalog, stored_catalog
 from floe.sources.files import hash_contents
 from floe.sources.orbits import parse_orbit_documents, parse_orbit_names
 from floe.sources.polygons import parse_polygons, rings_from_vertices
@@ -74,6 +77,30 @@ def _search(t: Tables, cap):
     )
 
 
+def tilted_scenes(t: Tables):
+    """The scene fixture with tilted footprints about the south-west corners of its boxes."""
+    w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
+    a, b = (e - w) / 2, (n - s) / 2
+    levels = F.when(F.col("file_id") % 4 == 0, "SLC").otherwise("GRD_HD")
+    scenes = t.fx_cat.withColumns({"footprint": F.array(point(w, s - b), point(w + a, s), point(w, s + b), point(w - a, s), point(w, s - b)), "processing_level": levels})
+    return scenes.withColumn("platform", F.lit("Sentinel-1")).drop(*BOX)
+
+
+@query(
+    "s1_stored_catalog",
+    """
+WITH d AS (SELECT *, greatest(0, 75.5 - west, west - 80.5) / ((east - west) / 2) AS dx, greatest(0, -69.2 - south, south + 67.3) / ((north - south) / 2) AS dy FROM fx_cat WHERE east > west AND north > south)
+SELECT file_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time, strftime(start_time, '%Y-%m') AS month, round(west - (east - west) / 2, 4) AS west, round(south + (north - south) / 2, 4) AS north FROM d
+WHERE start_time >= TIMESTAMP '2024-01-05' AND start_time <= TIMESTAMP '2024-01-20 23:59:59' AND beam_mode IN ('click', 'view') AND file_id % 4 <> 0 AND dx + dy <= 1""",
+)
+def s1_stored(t: Tables):
+    """Tilted footprints, stored in order of space and time and searched there."""
+    path = f"{shared_dir(t.spark).rstrip('/')}/catalogue-{uuid.uuid4().hex}"
+    store_catalog(tilted_scenes(t), path)
+    found = search_catalog(stored_catalog(t.spark, path), DAVIS, "2024-01-05", "2024-01-20", ["click", "view"], ["GRD_HD", "GRD_MD"])
+    return found.select("file_id", stamp("start_time").alias("start_time"), "month", r4("west").alias("west"), r4("north").alias("north"))
+
+
 @query("s1_scene_catalog", _SEARCH.format(flag="false"))
 def s1(t: Tables):
     return _search(t, None)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from floe.operators.orbits import match_orbits, orbit_vector_checks
+from floe.functions.rings import meets_box
 from floe.operators.terrain import combine_elevation, coverage_report, exact_percentiles, strict_elevation
 from floe.sources import annotations, catalog, files, orbits, polygons, products, rasters
 
@@ -176,3 +177,62 @@ def test_percentiles_equal_numpy(spark, shape):
     expected = np.percentile(values, [0, 1, 50, 99, 100])
     np.testing.assert_allclose([got[p] for p in (0, 0.01, 0.5, 0.99, 1)], expected, rtol=1e-12)
     assert exact_percentiles(df.limit(0), F.col("v"), [0.5], []).isEmpty()
+
+
+@pytest.mark.parametrize("shape", ["outlier", "both ends", "powers", "infinite"])
+def test_percentiles_cut_crowded_bins_again(spark, shape):
+    """With few bins and a small limit, a bin that holds nearly all values is cut until it is small."""
+    rng = np.random.default_rng(8)
+    body = rng.normal(0, 1, 400)
+    values = {"outlier": np.append(body, 1e300), "both ends": np.concatenate(([-1e12, 1e15], body)), "powers": 10.0 ** rng.uniform(-200, 200, 300), "infinite": np.append(body, np.inf)}[shape]
+    df = spark.createDataFrame([("k", float(v)) for v in values] + [("other", 3.0), ("none", None)], "g string, v double")
+    got = {(r.g, r.p): r.value for r in exact_percentiles(df, F.col("v"), [0.02, 0.5, 0.75], ["g"], bins=8, small=12).collect()}
+    np.testing.assert_allclose([got["k", p] for p in (0.02, 0.5, 0.75)], np.percentile(values, [2, 50, 75]), rtol=1e-12)
+    assert got["other", 0.5] == 3.0 and len(got) == 6
+
+
+def test_footprints_beside_the_area_are_not_found(spark):
+    """Ring and box by brute force over edges cut into many points, and by hand for touching and enclosing rings."""
+    box = (0.0, 0.0, 4.0, 2.0)
+    by_hand = {
+        "beside": ([(-3, 1), (-1, 4), (1, 4.5), (-2, 6)], False),
+        "tilted beside": ([(5, -1), (7, 1), (5, 3.9), (4.5, 2.4)], False),
+        "corner of the box": ([(3, 3), (5, 1), (6, 4)], True),
+        "touches": ([(4, 1), (6, 0), (6, 2)], True),
+        "around": ([(-9, -9), (9, -9), (9, 9), (-9, 9)], True),
+        "inside": ([(1, 0.5), (2, 0.5), (2, 1)], True),
+        "around with a bay": ([(-9, -9), (9, -9), (9, 9), (-9, 9), (-9, 2.5), (5, 2.5), (5, -0.5), (-9, -0.5)], False),
+        "box in the notch": ([(-1, -1), (-1, 5), (-2, 5), (-2, -2), (6, -2), (6, -1)], False),
+    }
+    rows = [(name, [{"x": float(x), "y": float(y)} for x, y in ring]) for name, (ring, _) in by_hand.items()] + [("empty", []), ("missing", None)]
+    df = spark.createDataFrame(rows, "name string, ring array<struct<x: double, y: double>>")
+    got = {r.name: r.meets for r in df.select("name", meets_box(F.col("ring"), *box).alias("meets")).collect()}
+    assert got == {name: meets for name, (_, meets) in by_hand.items()} | {"empty": False, "missing": False}
+
+
+def test_stored_catalogue_is_pruned_by_month_and_box(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(2000):
+        x, y, r = float(rng.uniform(0, 140)), float(rng.uniform(-80, -60)), float(rng.uniform(0.5, 4))
+        at = datetime(2021, 1, 1) + timedelta(hours=4 * k)
+        rows.append((k, at, "Sentinel-1A", "EW", "GRD_HD", [{"x": x + r, "y": y}, {"x": x, "y": y + r}, {"x": x - r, "y": y}, {"x": x, "y": y - r}]))
+    rows.append((9999, None, "Sentinel-1A", "EW", "GRD_HD", None))
+    scenes = spark.createDataFrame(rows, "file_id int, start_time timestamp, platform string, beam_mode string, processing_level string, footprint array<struct<x: double, y: double>>")
+    catalog.store_catalog(scenes, str(tmp_path / "c"))
+    stored = catalog.stored_catalog(spark, str(tmp_path / "c"))
+    assert stored.count() == 2001
+    request = ((75.5, -69.2, 80.5, -67.3), "2021-03-10", "2021-10-05", ["EW"], ["GRD_HD"])
+    found = catalog.search_catalog(stored, *request)
+    ids = sorted(r.file_id for r in found.collect())
+    def distance(k):
+        ring = rows[k][5]
+        x, y, r = ring[1]["x"], ring[0]["y"], ring[0]["x"] - ring[1]["x"]
+        return (max(0, 75.5 - x, x - 80.5) + max(0, -69.2 - y, y + 67.3)) / r
+    days = [k for k in range(2000) if datetime(2021, 3, 10) <= rows[k][1] < datetime(2021, 10, 6)]
+    assert ids == [k for k in days if distance(k) <= 1] and ids
+    assert ids == sorted(r.file_id for r in catalog.search_catalog(scenes, *request).collect())
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = catalog.search_catalog(stored, *request)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(east,75.5)" in plan.split("PushedFilters")[1] and "2021-03" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
