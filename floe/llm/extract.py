@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from floe.llm.blocks import Block, blocks
 
-PATH_DIM, WORD_DIM, PLAIN_DIM = 96, 24, 8
+PATH_DIM, WORD_DIM, PLAIN_DIM = 96, 24, 10
 DIM = PATH_DIM + WORD_DIM + PLAIN_DIM
 HIDDEN = 20
 KEEP = ("article", "main")
@@ -47,9 +47,10 @@ def vectors(page: list[Block]) -> np.ndarray:
             k, sign = _slot(part, PATH_DIM)
             row[k] += sign * (1.0 if depth < 6 or part in KEEP or part in LEAVE else 0.5)
         words = b.text.split()
-        for w in words[:12]:
+        share = 0.5 * len(words) ** -0.5  # all words count alike, however many there are
+        for w in words:
             k, sign = _slot(w.lower(), WORD_DIM)
-            row[PATH_DIM + k] += 0.15 * sign
+            row[PATH_DIM + k] += share * sign
         n = len(b.text)
         plain = row[PATH_DIM + WORD_DIM :]
         plain[0] = np.log1p(n) / 4
@@ -60,6 +61,8 @@ def vectors(page: list[Block]) -> np.ndarray:
         plain[5] = b.text[-1] in ".!?"
         plain[6] = i == 0
         plain[7] = 1.0
+        plain[8] = any(p in LEAVE for p in b.path)
+        plain[9] = any(p in KEEP for p in b.path)
     return np.clip(x, -3, 3)
 
 
@@ -202,8 +205,8 @@ def dressed(texts: list[str], rng: random.Random) -> tuple[list[Block], np.ndarr
     if tag in ("div", "section") and len(own) == 1 and rng.random() < 0.7:
         own = ["main", *own]
     for k, text in enumerate(texts):
-        if k and rng.random() < 0.06:
-            part(rng.choice(("ad", "aside", "notice", "form", "nav")), outer + own)
+        if k and rng.random() < 0.1:
+            part(rng.choice(("ad", "aside", "notice", "form", "nav", "comments")), outer + own)
         if k == 0 and rng.random() < 0.7:
             page.append((Block(phrase(2, 12), tuple(outer + own + ["h1"]), 0), True))
         inner = rng.choices((["p"], ["ul", "li"], ["blockquote", "p"], ["h2"], ["div"], ["table", "tr", "td"], ["pre"]), (12, 2, 1, 2, 2, 1, 0.5))[0]
@@ -214,20 +217,20 @@ def dressed(texts: list[str], rng: random.Random) -> tuple[list[Block], np.ndarr
     return [b for b, _ in page], np.array([y for _, y in page], bool)
 
 
-def fit(pages: DataFrame, sample: int = 300, steps: int = 800, batch: int = 24, longest: int = 120) -> Labeller:
-    """Train on at most about ``sample`` pages, chosen by hash; ``longest`` bounds the blocks of a training page."""
+def fit(pages: DataFrame, sample: int = 300, steps: int = 800, batch: int = 24, stretch: int = 120) -> Labeller:
+    """Train on at most about ``sample`` pages, chosen by hash, every block of them; long ones in stretches of ``stretch`` blocks."""
     total = pages.filter("html is not null").count()
     rows = pages.filter(F.col("html").isNotNull() & (F.pmod(F.xxhash64("page_id", "html"), F.lit(1_000_000)) < 1_000_000 * sample / max(1, total)))
     sets: list[tuple[np.ndarray, np.ndarray]] = []
     stories: list[list[str]] = []
     for html in sorted(r["html"] for r in rows.select("html").limit(3 * sample).collect()):
-        page = blocks(html)[:longest]
+        page = blocks(html)
         y = semantic_labels(page)
         if y is None:
             continue
-        sets.append((vectors(page), y))
-        texts = [b.text for b, keep in zip(page, y) if keep]
-        stories.append(texts[:40])
+        x = vectors(page)
+        sets += [(x[k : k + stretch], y[k : k + stretch]) for k in range(0, len(page), stretch)]
+        stories.append([b.text for b, keep in zip(page, y) if keep])
     if not stories:
         stories = [["This is a sentence of some length, written to stand for text.", "Another one follows it, and then the page ends."]]
     rng = random.Random(5)
@@ -235,7 +238,7 @@ def fit(pages: DataFrame, sample: int = 300, steps: int = 800, batch: int = 24,
         story = stories[k % len(stories)]
         begin = rng.randrange(len(story)) if story else 0
         page, y = dressed(story[begin : begin + rng.randint(1, 14)], rng)
-        sets.append((vectors(page[:longest]), y[:longest]))
+        sets.append((vectors(page), y))
     net = Labeller()
     first, second = ({k: np.zeros_like(v) for k, v in net.w.items()} for _ in range(2))
     real = max(1, len(sets) - 600)

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import time
 import zlib
 
 import numpy as np
@@ -29,6 +30,55 @@ def test_blocks_of_broken_markup():
     assert blocks(None) == [] and blocks("") == []
 
 
+ARTICLE = """<article class="post"><h1>Harbour ice report</h1><p>The ice along the coast held through the week, and no ship came in.</p>
+<form><label>Your email address</label><input></form><p>On Friday the wind turned, and the first cracks were seen near the pier.</p>
+<aside><h3>Related</h3><p>Other stories about ships</p></aside><p>Nobody was hurt, and the port opened again on Sunday morning.</p>
+<section class="comments"><h2>Comments</h2><p>Great story, thanks for this.</p><p>I saw it too.</p></section></article>"""
+STORY = (
+    "Harbour ice report\nThe ice along the coast held through the week, and no ship came in.\n"
+    "On Friday the wind turned, and the first cracks were seen near the pier.\nNobody was hurt, and the port opened again on Sunday morning."
+)
+
+
+def test_hand_written_pages(spark):
+    """Expected texts are written by hand: the head left open, an unclosed button, forms, asides and comments in the article."""
+    menu = "<nav><ul><li><a href=1>Home</a><li><a href=2>News</a></ul></nav>"
+    made = [
+        f"<html><head><title>Ice</title></head><body>{menu}{ARTICLE}<footer>Copyright 2020</footer></body></html>",
+        f"<html><head><title>Ice</title><meta charset=utf-8><body>{menu}{ARTICLE}<footer>Copyright 2020</footer>",
+        f"<html><head><title>Ice</title>{menu}{ARTICLE}<footer>Copyright 2020</footer>",
+        f"<html><body><button>{menu}{ARTICLE}<footer>Copyright 2020</footer></body></html>",
+        "",
+        None,
+    ]
+    net = extract.fit(table(spark, "pages"))
+    rows = spark.createDataFrame([(k, "u", h) for k, h in enumerate(made)], "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.n_chars) for r in extract.extract(rows, net).collect()}
+    assert got == {k: (STORY, len(STORY)) if made[k] else ("", 0) for k in range(len(made))}
+
+
+@pytest.mark.parametrize("page", ["<b x=", "<div>", "<div>a", "<a href=\"", "<button>", "<", "<!x ", "<svg>", "</p></div>", "<li>", "<p title='>x</p>"])
+def test_broken_pages_are_read_in_time(page):
+    started = time.monotonic()
+    blocks(page * (1_000_000 // len(page)))
+    assert time.monotonic() - started < 15
+
+
+def test_head_and_unclosed_elements():
+    texts = lambda page: [b.text for b in blocks(page)]
+    assert texts("<html><head><title>t</title><meta name=a><body><p>One &amp; two<p>Three") == ["One & two", "Three"]
+    assert texts("<head><title>t</title><script>x</script>Plain text") == ["Plain text"]
+    assert texts("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z</p>") == ["x y=2 z"]
+    assert texts("<p>a<svg><text>q</text></svg>b</p><svg><p>c") == ["ab", "c"]
+    assert texts("a < b and 3<4, end <a href='x") == ["a < b and 3<4, end"]
+
+
+def test_every_word_of_a_block_counts():
+    long = " ".join(f"word{k}" for k in range(200))
+    one, two = (extract.vectors([b for b in blocks(f"<p>{long} {end}</p>")]) for end in ("alpha beta gamma", "delta other thing"))
+    assert (one != two).any()
+
+
 def test_extraction_of_pages(spark):
     pages = table(spark, "pages")
     net = extract.fit(pages)
