@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -63,6 +64,14 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can: workers stay and are used again."""
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+    pa.default_memory_pool().release_unused()
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one hold about ``limit`` bytes; one longer text stands alone."""
     for batch in batches:
@@ -75,6 +84,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    trim()
 
 
 def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:

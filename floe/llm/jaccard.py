@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.llm.common import bounded_batches, components, flat, free, lists, sliced, stored
+from floe.llm.common import bounded_batches, components, flat, free, lists, sliced, stored, trim
 from floe.llm.rolling import is_space, mix, prefix_sums, span_hashes, word_hashes, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -307,6 +307,8 @@ def _tree_pairs(percent: int, best: bool):
             asker.append(np.full(len(j), ids[i]))
             other.append(ids[j])
             room.append(shared)
+        if len(sizes) > 1000:
+            trim()
         return pd.DataFrame({"id": np.concatenate(asker), "other": np.concatenate(other), "room": np.concatenate(room)})
 
     return run
