@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floe.operators.orbits import match_orbits
+from floe.operators.orbits import match_orbits, match_sound_orbits
 from floe.operators.pairs import compatible_pairs
 from floe.schema import PairRules
 from floe.sources.catalog import search_catalog
@@ -27,9 +27,13 @@ def discover_pairs(
     return compatible_pairs(found, aoi, rules or PairRules())
 
 
-def orbit_readiness(scenes: DataFrame, listing: DataFrame) -> DataFrame:
-    """Scenes by mission and by whether a published orbit file covers them."""
-    matched = match_orbits(scenes, parse_orbit_names(listing))
+def orbit_readiness(scenes: DataFrame, listing: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+    """Scenes by mission and by whether a published orbit file covers them.
+
+    With the vectors of the files (``read_orbit_vectors``) a file counts only if its content is sound and covers the scene.
+    """
+    names = parse_orbit_names(listing)
+    matched = match_orbits(scenes, names) if vectors is None else match_sound_orbits(scenes, names, vectors)
     return matched.groupBy("mission", "status").agg(
         F.count("*").alias("scenes"), F.countDistinct("orbit_name").alias("orbit_files"), F.sum("candidates").alias("candidates")
     )

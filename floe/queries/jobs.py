@@ -16,6 +16,7 @@ from floe.queries.sources import catalogue_lines, orbit_names, outlines
 from floe.queries.timeline import WEEKS, described
 from floe.schema import Affine, Grid
 from floe.sources.catalog import parse_features
+from floe.sources.orbits import parse_orbit_documents
 
 _FOUND = """(SELECT * FROM fx_cat WHERE start_time >= TIMESTAMP '2024-01-02' AND start_time <= TIMESTAMP '2024-01-25 23:59:59'
   AND beam_mode IN ('click', 'view', 'error') AND file_id % 4 <> 0 AND east >= 75.5 AND west <= 80.5 AND north >= -69.2 AND south <= -67.3)"""
@@ -227,3 +228,53 @@ SELECT mission, CASE WHEN name IS NULL THEN 'no_orbit' ELSE 'matched' END AS sta
 )
 def b11(t: Tables):
     return acquisition.orbit_readiness(t.fx_cat, orbit_names(t))
+
+
+def _orbit_content(t: Tables):
+    """XML of every listed orbit file: an hourly vector where events fall in the hour, and one at each end of validity.
+
+    Some contradict their header, list vectors backwards, hold a NaN, or end six hours early.
+    """
+    utc = lambda c: F.date_format(c, "'UTC='yyyy-MM-dd'T'HH:mm:ss")
+    day, one = F.dayofmonth("day"), F.col("issue") == 1
+    hours = t.events.select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("t")).distinct()
+    files = t.fx_orb.drop("name").join(orbit_names(t).withColumn("key", F.substring("name", 1, 40)), F.concat("mission", F.lit("_OPER_AUX_POEORB_OPOD_"), F.date_format("creation", "yyyyMMdd'T'HHmmss")) == F.col("key"))
+    ends = files.select("name", F.explode(F.array(F.col("valid_from").cast("timestamp"), F.col("valid_to").cast("timestamp"))).alias("t"))
+    # hours meet files by day, a file touches three of them
+    touched = files.withColumn("on", F.explode(F.sequence(F.to_date("valid_from"), F.to_date("valid_to"))))
+    inner = touched.join(hours, (F.to_date("t") == F.col("on")) & (F.col("t") > F.col("valid_from")) & (F.col("t") < F.col("valid_to"))).select("name", "t")
+    early = F.when((F.col("mission") == "S1B") & (day % 9 == 0), F.col("valid_to") - F.expr("INTERVAL 6 HOURS")).otherwise(F.col("valid_to"))
+    rows = files.join(ends.unionByName(inner), "name").filter(F.col("t") <= early)
+    x = F.when((F.col("mission") == "S1B") & (day % 5 == 0), "NaN").otherwise("1.5")
+    rest = "".join(f"<{c}>2</{c}>" for c in ("Y", "Z", "VX", "VY", "VZ"))
+    vector = F.concat(F.lit("<OSV><UTC>"), utc("t"), F.lit("</UTC><X>"), x, F.lit(f"</X>{rest}</OSV>"))
+    listed = rows.groupBy("name", "mission", "issue", "day", "valid_from", "valid_to").agg(F.array_sort(F.collect_list(F.struct("t", vector.alias("v")))).alias("m"))
+    body = F.array_join(F.when(one & (day % 4 == 0), F.reverse("m.v")).otherwise(F.col("m.v")), "")
+    craft = F.when(one & (day % 6 == 0), "Sentinel-1C").otherwise(F.concat(F.lit("Sentinel-1"), F.substring("mission", 3, 1)))
+    head = F.concat(
+        F.lit("<Earth_Explorer_File><Earth_Explorer_Header><Fixed_Header><File_Type>AUX_POEORB</File_Type><Mission>"), craft, F.lit("</Mission><Validity_Period><Validity_Start>"),
+        utc("valid_from"), F.lit("</Validity_Start><Validity_Stop>"), utc("valid_to"), F.lit("</Validity_Stop></Validity_Period></Fixed_Header></Earth_Explorer_Header><Data_Block><List_of_OSVs>"),
+    )
+    return listed.select(F.col("name").alias("file"), F.concat(head, body, F.lit("</List_of_OSVs></Data_Block></Earth_Explorer_File>")).alias("xml"))
+
+
+@query(
+    "b11_sound_orbit_readiness",
+    """
+WITH f AS (SELECT *, concat(mission, CAST(creation AS VARCHAR)) AS name, day(day) AS d FROM fx_orb WHERE day(day) % 7 <> 0),
+v AS (SELECT f.name, f.issue, f.d, f.mission, f.valid_to, u.t FROM f, (SELECT DISTINCT date_trunc('hour', ts) AS t FROM events) u WHERE u.t > f.valid_from AND u.t < f.valid_to
+  UNION ALL SELECT name, issue, d, mission, valid_to, valid_from FROM f UNION ALL SELECT name, issue, d, mission, valid_to, valid_to FROM f),
+k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY CASE WHEN issue = 1 AND d % 4 = 0 THEN -epoch(t) ELSE epoch(t) END) AS pos
+  FROM v WHERE NOT (mission = 'S1B' AND d % 9 = 0) OR t <= valid_to - INTERVAL 6 HOUR),
+l AS (SELECT *, lag(t) OVER (PARTITION BY name ORDER BY pos) AS before FROM k),
+sound AS (SELECT name, arg_min(t, pos) AS a, arg_max(t, pos) AS z FROM l GROUP BY name
+  HAVING count(*) >= 2 AND bool_and(before IS NULL OR before < t) AND NOT bool_or(mission = 'S1B' AND d % 5 = 0) AND NOT bool_or(issue = 1 AND d % 6 = 0)),
+m AS (SELECT s.file_id, s.mission, count(f.name) AS candidates, arg_max(f.name, f.creation) FILTER (WHERE x.a <= s.start_time - INTERVAL 60 SECOND AND s.stop_time + INTERVAL 60 SECOND <= x.z) AS best
+  FROM fx_cat s LEFT JOIN f ON f.mission = s.mission AND f.valid_from <= s.start_time - INTERVAL 60 SECOND AND s.stop_time + INTERVAL 60 SECOND <= f.valid_to
+  LEFT JOIN sound x ON x.name = f.name GROUP BY s.file_id, s.mission)
+SELECT mission, CASE WHEN candidates = 0 THEN 'no_orbit' WHEN best IS NULL THEN 'unsound_orbit' ELSE 'matched' END AS status, count(*) AS scenes, count(DISTINCT best) AS orbit_files, CAST(sum(candidates) AS BIGINT) AS candidates
+FROM m GROUP BY ALL""",
+)
+def b11_sound(t: Tables):
+    """Readiness by what orbit files hold: header, order, finite vectors and cover."""
+    return acquisition.orbit_readiness(t.fx_cat, orbit_names(t), parse_orbit_documents(_orbit_content(t)))

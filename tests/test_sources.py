@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from floe.operators.orbits import match_orbits, orbit_vector_checks
+from floe.operators.orbits import match_orbits, match_sound_orbits, orbit_vector_checks
 from floe.functions.rings import meets_box
 from floe.operators.terrain import combine_elevation, coverage_report, exact_percentiles, strict_elevation
 from floe.sources import annotations, catalog, files, orbits, polygons, products, rasters
@@ -74,6 +74,37 @@ def test_orbit_files(spark, tmp_path):
     assert orbits.header_problems(vectors, named).first().reasons == ["spacecraft", "validity"]
 
 
+def test_newest_sound_file_wins(spark):
+    """The newest file covers by name; what it holds decides whether an older one is taken."""
+    a, z = datetime(2021, 10, 9, 22, 59, 42), datetime(2021, 10, 11, 0, 59, 42)
+    at = lambda k: NAME.replace("20211101T", f"202111{k:02d}T")
+    contents = {
+        at(1): document([a, z]),
+        at(2): document([a, z - timedelta(hours=6)]),  # ends early
+        at(3): document([z, a]),
+        at(4): document([a, z], mission="Sentinel-1B"),
+        at(5): document([a, z], x="NaN"),
+        at(6): document([a]),
+        at(7): document([]),
+    }
+    listing = spark.createDataFrame([(n + (".zip" if n == at(2) else ""),) for n in [*contents, at(8)]], "name string")
+    vectors = orbits.parse_orbit_documents(spark.createDataFrame(list(contents.items()), "file string, xml string"))
+    scene = lambda k, hour, mission="S1A", day=10: (k, mission, datetime(2021, 10, day, hour), datetime(2021, 10, day, hour, 1))
+    scenes = spark.createDataFrame(
+        [scene("noon", 12), scene("night", 23), scene("other", 12, day=12), scene("craft", 12, "S1D"), scene("who", 12, None)],
+        "file_id string, mission string, start_time timestamp, stop_time timestamp",
+    )
+    got = {r.file_id: (r.status, r.orbit_name, r.candidates, r.sound) for r in match_sound_orbits(scenes, orbits.parse_orbit_names(listing), vectors).collect()}
+    assert got["noon"] == ("matched", at(2) + ".zip", 8, 2)
+    assert got["night"] == ("matched", at(1), 8, 1)
+    assert got["other"][0] == got["craft"][0] == "no_orbit" and got["who"][0] == "unknown_mission"
+    broken = vectors.filter(~vectors.file.isin(at(1), at(2)))
+    got = {r.file_id: r.status for r in match_sound_orbits(scenes, orbits.parse_orbit_names(listing), broken).collect()}
+    assert got["noon"] == got["night"] == "unsound_orbit"
+    none = match_sound_orbits(scenes, orbits.parse_orbit_names(listing), vectors.limit(0))
+    assert none.filter("status = 'unsound_orbit'").count() == 2
+
+
 def test_manifests_are_found_in_folders(spark, tmp_path):
     for k, folder in enumerate(["a", "b/c"]):
         (tmp_path / folder).mkdir(parents=True)
