@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from floe.operators import classify, training
+from floe.operators.kernel import classify_kernel, fit_kernel
 from floe.operators.groups import acquisition_groups, shared_acquisitions
 from floe.operators.metrics import balanced_accuracy
 from floe.operators.superpixels import superpixels
@@ -152,6 +153,19 @@ def g3_sites(t: Tables):
     return balanced_accuracy(classify.assess_forest(rows, [0, 1]))
 
 
+@query("g3_kernel_classifier", f"SELECT scene_id, segment_id, label AS predicted FROM ({_ROWS}) WHERE scene_id % 2 = 1")
+def g3_kernel(t: Tables):
+    """Kernel machine of even scenes on odd ones; class 0 lies within the ring of class 2, class 3 above it, far apart."""
+    part, angle = F.col("g") / 255, F.col("r") * (3.141592653589793 / 128)
+    radius = F.when(F.col("label") == 2, 80 + 30 * part).otherwise(30 * part)
+    base = F.when(F.col("label") == 3, 180).otherwise(30)
+    rows = training.label_segments(t.fx_annseg, t.fx_ann).select(
+        "scene_id", "segment_id", "label", (128 + radius * F.cos(angle)).alias("r"), (128 + radius * F.sin(angle)).alias("g"), (base + F.col("b") % 40).alias("b")
+    )
+    model = fit_kernel(rows.filter("scene_id % 2 = 0"))
+    return classify_kernel(rows.filter("scene_id % 2 = 1"), model).select("scene_id", "segment_id", "predicted")
+
+
 @query(
     "g6_validate_features",
     f"""SELECT count(*) AS rows, count(*) FILTER (r % 50 = 0) AS bad_features, count(*) FILTER (g % 40 = 1) AS bad_labels,
