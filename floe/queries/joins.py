@@ -354,14 +354,28 @@ def j21(t: Tables):
     return grids.downsample_nearest(t.raster(), 7).select("row", "col", "a", "b")
 
 
+# what is left of an outline has its corners among these: outline corners in the box, crossings of edges and box sides, box corners in the outline
+_CLIP_BOX = "x BETWEEN 10 AND 40 AND y BETWEEN 49.8e0 AND 300.2e0"
+_CLIP_SIDES = "(VALUES (10e0), (40e0)) b(x)", "(VALUES (49.8e0), (300.2e0)) b(y)"
+_CLIP_CORNERS = "(VALUES (10e0, 49.8e0), (40e0, 49.8e0), (40e0, 300.2e0), (10e0, 300.2e0)) b(x, y)"
+
+
 @query(
     "j23_clip_polygons",
-    """
-SELECT poly_id, surface, round(greatest(least(x0 + size, 40) - greatest(x0, 10), 0), 4) AS x_extent
-FROM fx_outline WHERE surface <> 'ocean' AND x0 + size > 10 AND x0 < 40 AND y0 + 2 * size > 49.8 AND y0 < 300.2""",
+    f"""
+WITH edge AS ({_EDGE}),
+corner AS (
+  SELECT * FROM (
+    SELECT poly_id, surface, x1 AS x, y1 AS y FROM edge
+    UNION ALL SELECT poly_id, surface, b.x, y1 + (b.x - x1) * (y2 - y1) / (x2 - x1) FROM edge, {_CLIP_SIDES[0]} WHERE x1 <> x2 AND b.x BETWEEN least(x1, x2) AND greatest(x1, x2)
+    UNION ALL SELECT poly_id, surface, x1 + (b.y - y1) * (x2 - x1) / (y2 - y1), b.y FROM edge, {_CLIP_SIDES[1]} WHERE y1 <> y2 AND b.y BETWEEN least(y1, y2) AND greatest(y1, y2)
+  ) WHERE {_CLIP_BOX}
+  UNION ALL SELECT poly_id, surface, b.x, b.y FROM edge, {_CLIP_CORNERS}
+  WHERE (y1 > b.y) <> (y2 > b.y) AND b.x < x1 + (b.y - y1) * (x2 - x1) / (y2 - y1) GROUP BY ALL HAVING count(*) % 2 = 1)
+SELECT poly_id, surface, round(max(x) - min(x), 4) AS x_extent FROM corner GROUP BY ALL HAVING max(x) > min(x) AND max(y) > min(y)""",
 )
 def j23(t: Tables):
-    """Clipped outlines; across the box's side borders the clipped width is the exact box overlap."""
+    """Width of what the box leaves of each outline; it may be less than the boxes share, for outlines are concave."""
     clipped = masks.clip_polygons(outlines(t), 10.2, 50, 39.8, 300, 0.2)
     bounds = masks.total_bounds(clipped, ["poly_id", "surface"])
     return bounds.select("poly_id", "surface", r4(F.col("east") - F.col("west")).alias("x_extent"))
