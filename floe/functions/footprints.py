@@ -11,17 +11,15 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floe.schema import RING
-
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
+# ``inside`` is a packed ring, ``convex`` and the box ``x0 .. y1`` are of it
 JUDGED = T.StructType(
     [
-        T.StructField("footprint", RING),
         T.StructField("simple", T.BooleanType()),
         T.StructField("convex", T.BooleanType()),
-        T.StructField("inside", RING),
-        T.StructField("share", T.DoubleType()),
+        T.StructField("inside", T.BinaryType()),
+        *[T.StructField(name, T.DoubleType()) for name in ("x0", "y0", "x1", "y1", "share")],
     ]
 )
 
@@ -31,19 +29,39 @@ def corners(rings: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     counts = rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = rings.flatten()
     points = np.stack([flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=-1)
+    return _filled(points, counts), counts
+
+
+def _filled(points: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out = np.zeros((len(counts), max(int(counts.max(initial=0)), 1), 2))
     starts = np.cumsum(counts) - counts
     index = starts[:, None] + np.minimum(np.arange(out.shape[1]), np.maximum(counts - 1, 0)[:, None])
     filled = counts > 0
     out[filled] = points[index[filled]]
-    return out, counts
+    return out
 
 
-def to_rings(points: np.ndarray, counts: np.ndarray) -> pa.ListArray:
-    kept = points[np.arange(points.shape[1]) < counts[:, None]]
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    values = pa.StructArray.from_arrays([pa.array(kept[:, 0]), pa.array(kept[:, 1])], fields=list(_POINT))
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+def pack(points: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Rings as bytes of their coordinates, with corners that repeat the one before left out; the same rings as arrays, and the counts.
+
+    Packed rings travel from task to task as they are, without a value for each coordinate.
+    """
+    kept = (points != np.roll(points, 1, axis=1)).any(axis=-1)
+    kept[:, 0] |= ~kept.any(axis=1)
+    counts = kept.sum(axis=1)
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    flat = np.ascontiguousarray(points[kept], dtype="<f8")
+    packed = pa.Array.from_buffers(pa.binary(), len(points), [None, pa.py_buffer((16 * offsets).astype(np.int32)), pa.py_buffer(flat)])
+    return packed, _filled(flat, counts), counts
+
+
+def unpack(packed: pa.Array) -> np.ndarray:
+    """Packed rings as a (rows, corners, 2) array, short rings filled with their last corner."""
+    buffers = packed.buffers()
+    kind = np.int64 if pa.types.is_large_binary(packed.type) else np.int32
+    offsets = np.frombuffer(buffers[1], kind)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64) // 16
+    flat = np.frombuffer(buffers[2], "<f8").reshape(-1, 2)[offsets[0] : offsets[-1]] if len(packed) else np.zeros((0, 2))
+    return _filled(flat, np.diff(offsets))
 
 
 def cross(o: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -116,45 +134,53 @@ def _frame(box: tuple[tuple[float, float], ...], rows: int) -> np.ndarray:
 
 
 def judge(frame: tuple[tuple[float, float], ...]):
-    """UDF over footprints: orientation, validity and the part inside a convex frame."""
+    """UDF over footprints: validity, and the counter-clockwise part inside a convex frame."""
 
     def run(rings: pa.Array) -> pa.Array:
         points, counts = corners(rings)
-        simple, convex = is_simple(points, counts), is_convex(points, counts)
-        turned = ccw(points)
+        simple = is_simple(points, counts)
         box = ccw(_frame(frame, len(points)))
-        inside = clip(turned, box)
+        packed, inside, kept = pack(clip(ccw(points), box))
         share = np.abs(signed_area(inside)) / np.abs(signed_area(box))
-        full = lambda p: to_rings(p, np.full(len(p), p.shape[1]))
-        columns = [full(turned), pa.array(simple), pa.array(convex), full(inside), pa.array(share)]
-        return pa.StructArray.from_arrays(columns, names=["footprint", "simple", "convex", "inside", "share"])
+        bounds = np.concatenate([inside.min(axis=1), inside.max(axis=1)], axis=1)
+        columns = [pa.array(simple), pa.array(is_convex(inside, kept)), packed, *[pa.array(np.ascontiguousarray(bounds[:, k])) for k in range(4)], pa.array(share)]
+        return pa.StructArray.from_arrays(columns, names=JUDGED.names)
 
     return F.arrow_udf(run, JUDGED)
 
 
 def shared_area(subject: np.ndarray, clipper: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Common area of counter-clockwise simple rings, row by row; either may be concave.
+    """Common area of counter-clockwise simple rings, row by row; either may be concave."""
+    return _shared_area(subject, np.zeros(len(subject), bool), clipper, is_convex(clipper, counts))
+
+
+def _shared_area(first: np.ndarray, first_convex: np.ndarray, second: np.ndarray, second_convex: np.ndarray) -> np.ndarray:
+    """Common area; whichever ring is convex clips the other.
 
-    A concave clipper is the signed sum of the triangles between its first corner and each
-    of its edges: those that turn back cover what must go. Each triangle is convex, so
+    Of two concave rings the second is the signed sum of the triangles between its first corner
+    and each of its edges: those that turn back cover what must go. Each triangle is convex, so
     every part is one exact clip.
     """
-    out = np.zeros(len(subject))
-    whole = is_convex(clipper, counts)
-    if whole.any():
-        out[whole] = signed_area(clip(subject[whole], clipper[whole]))
-    rest = np.flatnonzero(~whole)
-    for k in range(1, clipper.shape[1] - 1):
-        part = clipper[rest][:, [0, k, k + 1]]
+    out = np.zeros(len(first))
+    turned = first_convex & ~second_convex
+    for subject, clipper, rows in ((first, second, second_convex), (second, first, turned)):
+        if rows.any():
+            out[rows] = signed_area(clip(subject[rows], clipper[rows]))
+    rest = np.flatnonzero(~second_convex & ~turned)
+    for k in range(1, second.shape[1] - 1):
+        part = second[rest][:, [0, k, k + 1]]
         side = np.sign(signed_area(part))
-        out[rest] += side * np.abs(signed_area(clip(subject[rest], ccw(part))))
+        some = side != 0
+        if some.any():
+            out[rest[some]] += side[some] * np.abs(signed_area(clip(first[rest[some]], ccw(part[some]))))
     return np.maximum(out, 0.0)
 
 
 def common_area():
-    """UDF: area common to two simple counter-clockwise rings."""
+    """UDF: area common to two packed simple counter-clockwise rings, each with a flag whether it is convex."""
 
-    def run(first: pa.Array, second: pa.Array) -> pa.Array:
-        return pa.array(shared_area(corners(first)[0], *corners(second)))
+    def run(first: pa.Array, first_convex: pa.Array, second: pa.Array, second_convex: pa.Array) -> pa.Array:
+        flags = (c.to_numpy(zero_copy_only=False).astype(bool) for c in (first_convex, second_convex))
+        return pa.array(_shared_area(unpack(first), next(flags), unpack(second), next(flags)))
 
     return F.arrow_udf(run, T.DoubleType())

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 def numbered(df: DataFrame, time: str, order: list[str]) -> DataFrame:
     """Every row with its ``position`` (from 1) in the order, whose first column is ``time``.
 
-    A row's place within its day is added to the number of rows of all days before: one
-    window per day and a running sum over a row per day, never one task for all rows.
+    A row's place within its hour is added to the number of rows of all hours before: one
+    window per hour and a running sum over a row per hour, never one task for all rows. An
+    hour's size is its last place, so the rows are made once if they have no columns beside the order.
     """
-    dated = df.withColumn("_day", F.to_date(time))
-    days = dated.groupBy("_day").agg(F.count("*").alias("_n"))
-    before = Window.orderBy(F.asc_nulls_first("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    starts = days.select(F.col("_day").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_day").orderBy(*order))
-    joined = dated.withColumn("_place", place).join(starts, F.col("_day").eqNullSafe(F.col("_of")))
-    return joined.withColumn("position", (F.col("_start") + F.col("_place")).cast("bigint")).drop("_day", "_of", "_start", "_place")
+    placed = df.withColumn("_hour", F.date_trunc("hour", time))
+    placed = placed.withColumn("_place", F.row_number().over(Window.partitionBy("_hour").orderBy(*order)))
+    hours = placed.groupBy("_hour").agg(F.max("_place").alias("_n"))
+    before = Window.orderBy(F.asc_nulls_first("_hour")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = hours.select(F.col("_hour").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    joined = placed.join(F.broadcast(starts), F.col("_hour").eqNullSafe(F.col("_of")))
+    return joined.withColumn("position", (F.col("_start") + F.col("_place")).cast("bigint")).drop("_hour", "_of", "_start", "_place")
 
 
 def validate_runs(runs: DataFrame) -> DataFrame:

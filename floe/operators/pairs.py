@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from floe.schema import PairRules
 
 PAIR_KEYS = ("path_number", "flight_direction", "beam_mode", "polarization")
 _DAY_US = 86400 * 10**6
+# the part of a scene inside the area of interest
+_PART = ("inside", "convex", "x0", "y0", "x1", "y1")
 
 
 def aoi_frame(spark: SparkSession, aoi: tuple[float, float, float, float], project: bool = True) -> tuple[tuple[float, float], ...]:
@@ -34,7 +37,7 @@ def usable_scenes(scenes: DataFrame, rules: PairRules, frame: tuple[tuple[float,
     less of the area of interest than the threshold can pair with nothing.
     """
     flat = _judged(scenes.filter(_present(rules)), frame, project).filter("simple")
-    return flat.filter(F.col("share") >= rules.min_overlap).drop("simple", "convex", "share")
+    return flat.filter(F.col("share") >= rules.min_overlap).drop("simple", "share")
 
 
 def _present(rules: PairRules) -> Column:
@@ -43,9 +46,16 @@ def _present(rules: PairRules) -> Column:
     return F.coalesce(F.array_contains(F.split("polarization", r"\+"), rules.polarization), F.lit(False)) & named[0] & named[1] & named[2] & named[3]
 
 
+def _measured(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add what Arrow functions give; behind a generator, for a later filter pushed below would run them twice."""
+    made = df.withColumns({f"_{name}": column for name, column in columns.items()})
+    packed = F.struct(*[F.col(f"_{name}").alias(name) for name in columns])
+    return made.select(*df.columns, F.inline(F.array(packed)))
+
+
 def _judged(scenes: DataFrame, frame: tuple[tuple[float, float], ...], project: bool) -> DataFrame:
     ring = rings.open_ring(F.col("footprint"))
-    judged = scenes.withColumn("judged", footprints.judge(frame)(rings.project_ring(ring) if project else ring))
+    judged = _measured(scenes, judged=footprints.judge(frame)(rings.project_ring(ring) if project else ring))
     return judged.drop("footprint").select("*", "judged.*").drop("judged")
 
 
@@ -59,6 +69,16 @@ def rejected_scenes(scenes: DataFrame, aoi: tuple[float, float, float, float], r
     return judged.select("file_id", reason.alias("reason")).filter("reason is not null")
 
 
+def _known(*columns: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns])
+
+
+def _shared_box(first: Column, second: Column) -> Column:
+    """Area common to the boxes of two parts: no less than what the parts share."""
+    along = lambda axis: F.greatest(F.least(first[f"{axis}1"], second[f"{axis}1"]) - F.greatest(first[f"{axis}0"], second[f"{axis}0"]), F.lit(0.0))
+    return along("x") * along("y")
+
+
 def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:
     """Ordered pairs with equal keys and an allowed gap.
 
@@ -68,21 +88,13 @@ def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:
     """
     width = int(math.ceil(rules.max_days * _DAY_US))
     micros = F.unix_micros(F.col("start_time").cast("timestamp"))
-    base = scenes.withColumn("t", micros).withColumn("bucket", F.floor(F.col("t") / width))
-    first = base.select(
-        *PAIR_KEYS,
-        F.explode(F.array("bucket", F.col("bucket") + 1)).alias("bucket"),
-        F.col("file_id").alias("first_id"),
-        F.col("t").alias("t1"),
-        F.col("inside").alias("inside1"),
-    )
-    second = base.select(
-        *PAIR_KEYS,
-        "bucket",
-        F.col("file_id").alias("second_id"),
-        F.col("t").alias("t2"),
-        F.col("footprint").alias("fp2"),
+    placed = scenes.withColumn("t", micros).withColumn("bucket", F.floor(F.col("t") / width))
+    # both sides read the same columns of one exchange, so that every scene is judged once
+    base = placed.select(*PAIR_KEYS, "bucket", "file_id", "t", *_PART).filter(_known("bucket", *PAIR_KEYS)).repartition("file_id")
+    side = lambda k, bucket: base.select(
+        *PAIR_KEYS, bucket.alias("bucket"), F.col("file_id").alias(("first_id", "second_id")[k - 1]), F.col("t").alias(f"t{k}"), F.struct(*_PART).alias(f"part{k}")
     )
+    first, second = side(1, F.explode(F.array("bucket", F.col("bucket") + 1))), side(2, F.col("bucket"))
     gap = F.col("t2") - F.col("t1")
     joined = first.join(second, [*PAIR_KEYS, "bucket"]).filter(
         gap.between(int(rules.min_days * _DAY_US), int(rules.max_days * _DAY_US))
@@ -96,8 +108,11 @@ def compatible_pairs(scenes: DataFrame, aoi: tuple[float, float, float, float],
     corners = list(zip(frame, frame[1:] + frame[:1]))
     frame_area = abs(sum((x1 - frame[0][0]) * (y2 - frame[0][1]) - (y1 - frame[0][1]) * (x2 - frame[0][0]) for (x1, y1), (x2, y2) in corners)) / 2
     pairs = candidate_pairs(usable_scenes(scenes, rules, frame, project), rules)
-    fraction = footprints.common_area()(F.col("inside1"), F.col("fp2")) / frame_area
-    scored = pairs.withColumn("common_aoi_fraction", fraction).filter(F.col("common_aoi_fraction") >= rules.min_overlap)
+    first, second = F.col("part1"), F.col("part2")
+    # the margin is far above the rounding of either area
+    near = pairs.filter(_shared_box(first, second) >= rules.min_overlap * frame_area * (1 - 1e-6))
+    fraction = footprints.common_area()(first["inside"], first["convex"], second["inside"], second["convex"]) / frame_area
+    scored = _measured(near, common_aoi_fraction=fraction).filter(F.col("common_aoi_fraction") >= rules.min_overlap)
     start, stop = F.timestamp_micros("t1"), F.timestamp_micros("t2")
     return scored.select(
         pair_id(start, stop, F.col("first_id"), F.col("second_id")).alias("pair_id"),

@@ -48,10 +48,13 @@ def j1(t: Tables):
     return pairs.select("pair_id", "first_id", "second_id", r4("baseline_days", 6).alias("baseline_days"), r4("common_aoi_fraction", 6).alias("common_aoi_fraction"))
 
 
+_ORDERED = ["second_time", "baseline_days", "pair_id"]
+
+
 @query("o1_pair_order", f"SELECT pair_id, CAST(row_number() OVER (ORDER BY t2, baseline_days, pair_id) AS BIGINT) AS position FROM ({_PAIRS})")
 def o1(t: Tables):
     """The whole ordered list, numbered: the order itself is the result."""
-    return numbered(lonlat_pairs(t), "second_time", ["second_time", "baseline_days", "pair_id"]).select("pair_id", "position")
+    return numbered(lonlat_pairs(t).select(*_ORDERED), "second_time", _ORDERED).select("pair_id", "position")
 
 
 @query("o2_pair_slice", f"SELECT pair_id FROM ({_PAIRS}) ORDER BY t2, baseline_days, pair_id LIMIT 40 OFFSET 25")

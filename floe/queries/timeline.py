@@ -11,10 +11,13 @@ from floe.streaming.incremental import plan_work
 _ORDER = "second_time DESC, first_time DESC, created_time DESC, product_id DESC"
 
 
+_ORDERED = ["second_time", "first_time", "created_time", "product_id"]
+
+
 @query("o3_product_order", f"SELECT product_id, CAST(row_number() OVER (ORDER BY second_time, first_time, created_time, product_id) AS BIGINT) AS position FROM fx_prod")
 def o3(t: Tables):
     """The whole ordered list, numbered."""
-    return numbered(t.fx_prod, "second_time", ["second_time", "first_time", "created_time", "product_id"]).select("product_id", "position")
+    return numbered(t.fx_prod.select(*_ORDERED), "second_time", _ORDERED).select("product_id", "position")
 
 
 @query(

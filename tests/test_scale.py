@@ -1,9 +1,19 @@
 """Registered queries and their operators on tables larger than, or placed unlike, the smallest given ones."""
 
 import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
 
 import __spark_entry__ as entry
-from test_queries import sorted_rows
+from floe.functions import footprints
+from test_queries import SF, sorted_rows
+
+
+def final_plan(df):
+    """What ran, without the plan made beforehand."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
 def test_clipped_width_of_concave_outlines(spark, tmp_path):
@@ -17,3 +27,17 @@ def test_clipped_width_of_concave_outlines(spark, tmp_path):
     assert got == want
     # 636: corner (2, 32), size 10; above y = 49.8 its right prong reaches from 10.9 to 12
     assert (636.0, "land", 1.1) in got
+
+
+def test_ordered_pairs_are_made_once(spark):
+    """Scenes are judged once for both sides of a pair, and pairs are made once for their places and for the hours' sizes."""
+    assert final_plan(entry.queries()["o1_pair_order"](spark, SF)).count("ArrowEvalPython") == 2
+
+
+def test_packed_rings():
+    points = np.array([[[0, 0], [4, 0], [4, 3], [4, 3]], [[1, 1], [1, 1], [1, 1], [1, 1]], [[0, 0], [2, 0], [2, 2], [0, 2]]], dtype=float)
+    packed, kept, counts = footprints.pack(points)
+    assert counts.tolist() == [3, 1, 4]
+    for back in (footprints.unpack(packed), footprints.unpack(packed.cast(pa.large_binary())), kept):
+        assert (back == points).all()
+    assert (footprints.unpack(packed.slice(2)) == points[2:]).all() and len(footprints.unpack(packed.slice(3))) == 0
