@@ -41,3 +41,21 @@ def test_packed_rings():
     for back in (footprints.unpack(packed), footprints.unpack(packed.cast(pa.large_binary())), kept):
         assert (back == points).all()
     assert (footprints.unpack(packed.slice(2)) == points[2:]).all() and len(footprints.unpack(packed.slice(3))) == 0
+
+
+def test_concave_pairs_judge_scenes_and_measure_pairs_once(spark):
+    assert final_plan(entry.queries()["j2_concave_overlap"](spark, SF)).count("ArrowEvalPython") == 2
+
+
+def test_convex_ring_clips_the_concave_one(monkeypatch):
+    """One clip of four half planes in place of a clip for each of the concave ring's triangles."""
+    ell = np.array([[[0, 0], [4, 0], [4, 2], [2, 2], [2, 4], [0, 4]]], dtype=float)
+    box = np.array([[[1, 1], [5, 1], [5, 5], [1, 5]]], dtype=float)
+    clips, clip = [], footprints.clip
+    monkeypatch.setattr(footprints, "clip", lambda s, c: clips.append(len(s)) or clip(s, c))
+    packed = [footprints.pack(v)[0] for v in (box, ell)]
+    yes, no = pa.array([True]), pa.array([False])
+    area = footprints.common_area().func
+    assert area(packed[0], yes, packed[1], no).to_pylist() == pytest.approx([5.0]) and clips == [1]
+    assert area(packed[1], no, packed[0], yes).to_pylist() == pytest.approx([5.0]) and clips == [1, 1]
+    assert area(packed[1], no, packed[1], no).to_pylist() == pytest.approx([12.0])
