@@ -12,6 +12,7 @@ Two routes give the same values:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,8 @@ from floe.operators.tile_texture import sampled_function, tile_function
 from floe.schema import MIN_VALID_FRACTION
 
 BLOCK = 256
+# cells a task windows at once: its sorts take about a kilobyte of each, whatever the raster's size
+TASK_CELLS = 250_000
 _BLOCK_KEYS = ("scene_id", "by", "bx")
 
 
@@ -29,11 +32,22 @@ def check_width(width: int) -> None:
         raise ValueError("texture windows must be odd and at least 3")
 
 
-def with_halo(cells: DataFrame, halo: int, block: int = BLOCK) -> DataFrame:
+def _block_tasks(cells: DataFrame, halo: int, block: int, grids: DataFrame | None) -> int:
+    """Tasks for all blocks with their halos, from one row a scene."""
+    shapes = cells if grids is None else grids
+    one = shapes.select("scene_id", "height", "width").distinct()
+    copied = lambda n: F.col(n) + 2 * halo * F.ceil(F.col(n) / block)
+    total = one.agg(F.sum(copied("height").cast("double") * copied("width"))).first()[0]
+    return max(cells.sparkSession.sparkContext.defaultParallelism, math.ceil((total or 0) / TASK_CELLS))
+
+
+def with_halo(cells: DataFrame, halo: int, block: int = BLOCK, grids: DataFrame | None = None) -> DataFrame:
     """Copy every cell into each block whose core lies within ``halo`` of it; ``core`` marks the owner.
 
     ``cells`` needs ``scene_id, row, col, height, width``. The hash shuffle on the
-    block is written out so that all later windows reuse it.
+    block is written out so that all later windows reuse it. It has as many partitions as
+    the rasters need, so that a task's sorts grow with no raster; their shapes come from
+    ``grids`` (``scene_id, height, width``), or else from the cells.
     """
 
     def owners(position: str, extent: str) -> Column:
@@ -44,7 +58,7 @@ def with_halo(cells: DataFrame, halo: int, block: int = BLOCK) -> DataFrame:
 
     spread = cells.withColumn("by", owners("row", "height")).withColumn("bx", owners("col", "width"))
     core = (F.floor(F.col("row") / block) == F.col("by")) & (F.floor(F.col("col") / block) == F.col("bx"))
-    return spread.withColumn("core", core).repartition(*_BLOCK_KEYS)
+    return spread.withColumn("core", core).repartition(_block_tasks(cells, halo, block, grids), *_BLOCK_KEYS)
 
 
 def _axis_sums(df: DataFrame, values: dict[str, str], halves: dict[str, int], nearest: set[str], along: str, extent: str) -> DataFrame:
@@ -115,26 +129,26 @@ def box_means(df: DataFrame, inputs: dict[str, Column], jobs: Iterable[tuple[str
     return staged.select(*plain, *[v.alias(k) for k, v in means.items()])
 
 
-def masked_mean(cells: DataFrame, value: str, width: int, mode: str = "nearest", min_fraction: float = MIN_VALID_FRACTION, out: str = "mean", block: int = BLOCK) -> DataFrame:
+def masked_mean(cells: DataFrame, value: str, width: int, mode: str = "nearest", min_fraction: float = MIN_VALID_FRACTION, out: str = "mean", block: int = BLOCK, grids: DataFrame | None = None) -> DataFrame:
     """Moving mean over a ``width`` x ``width`` box with missing cells left out.
 
     ``cells``: one row per grid cell ``scene_id, row, col, height, width`` plus the value.
     """
     if mode not in ("nearest", "constant"):
         raise ValueError("edge mode must be 'nearest' or 'constant'")
-    blocked = with_halo(cells, width // 2, block)
+    blocked = with_halo(cells, width // 2, block, grids)
     result = box_means(blocked, {"value_in": F.col(value)}, [(out, "value_in", width, mode)], min_fraction)
     return result.filter("core").drop("by", "bx", "core")
 
 
-def normprod(cells: DataFrame, width: int, min_fraction: float = MIN_VALID_FRACTION, a: str = "a", b: str = "b", out: str = "texture", block: int = BLOCK) -> DataFrame:
+def normprod(cells: DataFrame, width: int, min_fraction: float = MIN_VALID_FRACTION, a: str = "a", b: str = "b", out: str = "texture", block: int = BLOCK, grids: DataFrame | None = None) -> DataFrame:
     """Normalised local cross-product of two images.
 
     mean[(a-ma)(b-mb)] / mean[((sd_a+sd_b)/2)^2] with two nested box filters. The
     numerator sees nothing beyond the raster edge, every other mean repeats the edge
     cell. Both stages work on one blocked copy of the cells.
     """
-    blocked = with_halo(cells.select("scene_id", "row", "col", "height", "width", a, b), 2 * (width // 2), block)
+    blocked = with_halo(cells.select("scene_id", "row", "col", "height", "width", a, b), 2 * (width // 2), block, grids)
     va, vb = F.col(a).cast("double"), F.col(b).cast("double")
     squares = {"va": va, "vb": vb, "va2": va * va, "vb2": vb * vb}
     means = box_means(blocked, squares, [(f"m_{k}", k, width, "nearest") for k in squares], min_fraction)

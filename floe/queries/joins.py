@@ -309,7 +309,7 @@ SELECT m.row, m.col, CASE WHEN x >= 0 AND x < n.w AND y >= 0 AND y < n.h AND m.w
 
 @query("j19_regrid_bilinear", f"SELECT row, col, round(a, 4) AS a FROM ({bilinear_sql('a')})")
 def j19(t: Tables):
-    return grids.regrid_bilinear(regrid_targets(t), t.raster(), ["a"]).select("row", "col", r4("a").alias("a"))
+    return grids.regrid_bilinear(regrid_targets(t), t.raster(), ["a"], grids=t.grid()).select("row", "col", r4("a").alias("a"))
 
 
 @query(

@@ -36,8 +36,8 @@ LEFT JOIN ({_mean_sql('fx_grid', 'a', 5, True)}) a ON a.row = g.row AND a.col =
 LEFT JOIN ({_mean_sql('fx_grid', 'a', 9, False)}) b ON b.row = g.row AND b.col = g.col""",
 )
 def w1(t: Tables):
-    near = masked_mean(t.raster(), "a", 5, "nearest", out="nearest_5", block=BLOCK).select("scene_id", "row", "col", "nearest_5")
-    none = masked_mean(t.raster(), "a", 9, "constant", out="constant_9", block=BLOCK).select("scene_id", "row", "col", "constant_9")
+    near = masked_mean(t.raster(), "a", 5, "nearest", out="nearest_5", block=BLOCK, grids=t.grid()).select("scene_id", "row", "col", "nearest_5")
+    none = masked_mean(t.raster(), "a", 9, "constant", out="constant_9", block=BLOCK, grids=t.grid()).select("scene_id", "row", "col", "constant_9")
     both = near.join(none, ["scene_id", "row", "col"])
     return both.select("row", "col", r4("nearest_5", 6).alias("nearest_5"), r4("constant_9", 6).alias("constant_9"))
 
@@ -73,7 +73,7 @@ def _textures(widths: tuple[int, ...]) -> str:
 
 @query("w2_normprod", _textures((9,)))
 def w2(t: Tables):
-    cells = normprod(t.raster(), 9, out="t1", block=BLOCK)
+    cells = normprod(t.raster(), 9, out="t1", block=BLOCK, grids=t.grid())
     return cells.select("row", "col", r4("t1", 6).alias("t1"))
 
 

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from floe.functions import footprints
+from floe.operators.focal import TASK_CELLS, _block_tasks
 from test_queries import SF, sorted_rows
 
 
@@ -59,3 +60,11 @@ def test_convex_ring_clips_the_concave_one(monkeypatch):
     assert area(packed[0], yes, packed[1], no).to_pylist() == pytest.approx([5.0]) and clips == [1]
     assert area(packed[1], no, packed[0], yes).to_pylist() == pytest.approx([5.0]) and clips == [1, 1]
     assert area(packed[1], no, packed[1], no).to_pylist() == pytest.approx([12.0])
+
+
+def test_texture_tasks_follow_the_raster(spark):
+    """A raster of twice the cells is windowed by twice the tasks, not by larger ones."""
+    cells = lambda height: spark.range(2).selectExpr("0L scene_id", "id row", "id col", f"{height}L height", "1000L width")
+    tasks = [_block_tasks(cells(height), 8, 256, None) for height in (10_000, 20_000)]
+    assert tasks[0] > 10_000 * 1000 / TASK_CELLS and tasks[1] == pytest.approx(2 * tasks[0], rel=0.05)
+    assert _block_tasks(cells(10_000), 8, 256, cells(20_000)) == tasks[1]
