@@ -124,8 +124,10 @@ def centre_spans(edges: DataFrame, affine: Affine, keys: list[str], poly: str =
     centre = F.col("row") + 0.5
     crossing = F.col("u1") + (centre - F.col("v1")) * (F.col("u2") - F.col("u1")) / (F.col("v2") - F.col("v1"))
     order = Window.partitionBy(*keys, poly, "row").orderBy("u")
+    # by grid row, also for the windows that merge spans: a grid's crossings never meet in one task
     paired = (
         lines.select(*keys, poly, "row", "width", crossing.alias("u"))
+        .repartition(*keys, "row")
         .withColumns({"k": F.row_number().over(order), "u_next": F.lead("u").over(order)})
         .filter("k % 2 = 1")
     )

@@ -2,7 +2,8 @@
 
 Tables: ``pairs`` (``pair_id, fingerprint, grid_id``), ``grids`` (``grid_id, a, c, e, f, height, width``: north-up
 transform in map metres and shape), ``sources`` (``pair_id, side`` 1 or 2, ``a, c, e, f, height, width``) and ``cells``
-(``pair_id, side, row, col, value``: raw cells of both scenes).
+(``pair_id, side, row, col, value``: raw cells of both scenes). What has a row a pair or grid is broadcast to cells,
+tiles and edges: a shuffle by pair would put all cells of a pair into one task.
 """
 
 from __future__ import annotations
@@ -46,12 +47,12 @@ def aligned_tiles(pairs: DataFrame, grids: DataFrame, sources: DataFrame, cells:
 
     def one(side: int, name: str) -> DataFrame:
         scene = sources.filter(F.col("side") == side).select("pair_id", "height", "width")
-        raw = cells.filter(F.col("side") == side).join(scene, "pair_id").select(F.col("pair_id").alias("scene_id"), "row", "col", "height", "width", F.col("value").alias(name))
-        made = regrid_bilinear(target_points(pairs, grids, sources, side), raw, [name])
-        return cells_to_tiles(made.join(shapes, "scene_id"), tile, [name])
+        raw = cells.filter(F.col("side") == side).join(F.broadcast(scene), "pair_id").select(F.col("pair_id").alias("scene_id"), "row", "col", "height", "width", F.col("value").alias(name))
+        made = regrid_bilinear(target_points(pairs, grids, sources, side), raw, [name], grids=scene.withColumnRenamed("pair_id", "scene_id"))
+        return cells_to_tiles(made.join(F.broadcast(shapes), "scene_id"), tile, [name])
 
     keys = ["scene_id", "ty", "tx", "row0", "col0", "h", "w", "height", "width"]
-    return one(1, "a").join(one(2, "b"), keys).join(shapes.select("scene_id", "grid_id"), "scene_id")
+    return one(1, "a").join(one(2, "b"), keys).join(F.broadcast(shapes.select("scene_id", "grid_id")), "scene_id")
 
 
 def grid_spans(edges: DataFrame, grids: DataFrame, factor: int = 1) -> DataFrame:
@@ -62,7 +63,7 @@ def grid_spans(edges: DataFrame, grids: DataFrame, factor: int = 1) -> DataFrame
     many = lambda n: F.ceil(F.col(n) / factor).cast("bigint")
     u = lambda x: (F.col(x) - F.col("c")) / F.col("a") * many("width") / F.col("width")
     v = lambda y: (F.col(y) - F.col("f")) / F.col("e") * many("height") / F.col("height")
-    placed = edges.join(grids, "grid_id").select(
+    placed = edges.join(F.broadcast(grids), "grid_id").select(
         "grid_id", "poly_id", u("x1").alias("x1"), v("y1").alias("y1"), u("x2").alias("x2"), v("y2").alias("y2"), many("height").alias("height"), many("width").alias("width")
     )
     return rasterize_mask(placed, UNIT, ["grid_id"])
@@ -84,7 +85,7 @@ def segmented_cells(tiles: DataFrame, pairs: DataFrame, grids: DataFrame, edges:
         F.col("pair_id").alias("scene_id"), "grid_id", "c", "f", (F.col("a") * F.col("width") / coarse("width")).alias("a"), (F.col("e") * F.col("height") / coarse("height")).alias("e"),
         coarse("height").alias("height"), coarse("width").alias("width"),
     )
-    cells = durable(encode_rgb(texture).drop("t1", "t2", "t3").join(shapes, "scene_id"))
+    cells = durable(encode_rgb(texture).drop("t1", "t2", "t3").join(F.broadcast(shapes), "scene_id"))
     found = superpixels(cells, settings.n_segments, settings.compactness, settings.rounds, settings.max_pixels)
     marked = mark_cells(found, grid_spans(edges, grids, f), ["grid_id"])
     x, y = F.col("c") + (F.col("col") + 0.5) * F.col("a"), F.col("f") + (F.col("row") + 0.5) * F.col("e")
@@ -110,8 +111,8 @@ def make_products(pairs: DataFrame, grids: DataFrame, sources: DataFrame, cells:
     outcome = durable(decide(pairs, committed(pairs.sparkSession, root)))  # decided before the store grows
     # reused and conflicting pairs cost no processing
     todo = durable(pairs.join(outcome.filter("action = 'process'").select("pair_id"), "pair_id", "left_semi"))
-    tiles = aligned_tiles(todo, grids, sources, cells.join(todo.select("pair_id"), "pair_id", "left_semi"), settings.tile)
+    tiles = aligned_tiles(todo, grids, sources, cells.join(F.broadcast(todo.select("pair_id")), "pair_id", "left_semi"), settings.tile)
     made = classified_cells(segmented_cells(tiles, todo, grids, edges, settings), centres)
-    named = made.withColumnRenamed("scene_id", "pair_id").join(todo.select("pair_id", "fingerprint"), "pair_id")
+    named = made.withColumnRenamed("scene_id", "pair_id").join(F.broadcast(todo.select("pair_id", "fingerprint")), "pair_id")
     publish(named, root)
     return outcome

@@ -141,7 +141,7 @@ def b2_whole(t: Tables):
     values = F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("a").alias("value")), F.struct(F.lit(2).alias("side"), F.col("b").alias("value"))))
     cells = t.fx_site.select(F.concat(F.lit("pair-"), F.col("scene_id").cast("string")).alias("pair_id"), "row", "col", values.alias("v")).select("pair_id", "row", "col", "v.*")
     cells = cells.withColumn("value", F.col("value").cast("double"))
-    drawn = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"]).withColumn("grid_id", F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(3)]))).join(grids, "grid_id")
+    drawn = polygon_edges(outlines(t).filter("surface <> 'ocean'"), ["poly_id"]).withColumn("grid_id", F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(3)]))).join(F.broadcast(grids), "grid_id")
     shift = lambda v, c, a: (F.col(c) + F.col(v) * F.col(a)).alias(v)
     edges = drawn.select("grid_id", "poly_id", shift("x1", "c", "a"), shift("y1", "f", "e"), shift("x2", "c", "a"), shift("y2", "f", "e"))
     root = f"{shared_dir(t.spark)}/store-{uuid.uuid4().hex}"

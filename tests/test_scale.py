@@ -4,10 +4,13 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from floe.functions import footprints
 from floe.operators.focal import TASK_CELLS, _block_tasks
+from floe.operators.masks import rasterize_mask
+from floe.queries.fixtures import UNIT_AFFINE
 from test_queries import SF, sorted_rows
 
 
@@ -68,3 +71,15 @@ def test_texture_tasks_follow_the_raster(spark):
     tasks = [_block_tasks(cells(height), 8, 256, None) for height in (10_000, 20_000)]
     assert tasks[0] > 10_000 * 1000 / TASK_CELLS and tasks[1] == pytest.approx(2 * tasks[0], rel=0.05)
     assert _block_tasks(cells(10_000), 8, 256, cells(20_000)) == tasks[1]
+
+
+def test_crossings_of_one_grid_are_spread(spark):
+    """Edges that a join left in one partition by grid still give spans in several, by row."""
+    sides = spark.range(60).selectExpr("id * 0 scene_id", "id poly_id", "id * 3D x", "id * 4D y", "explode(array(0D, 5D)) d")
+    edges = sides.selectExpr("scene_id", "poly_id", "300L height", "300L width", "x + d x1", "y y1", "x + d x2", "y + 5D y2")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spans = rasterize_mask(edges.repartition("scene_id"), UNIT_AFFINE, ["scene_id"])
+        assert spans.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
