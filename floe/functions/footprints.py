@@ -32,6 +32,17 @@ def corners(rings: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return _filled(points, counts), counts
 
 
+def opened(points: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Filled rings without a repeated closing corner."""
+    closed = np.flatnonzero((counts > 1) & (points[:, 0] == points[:, -1]).all(axis=1))
+    if len(closed):
+        points, counts = points.copy(), counts.copy()
+        counts[closed] -= 1
+        index = np.minimum(np.arange(points.shape[1]), counts[closed, None] - 1)
+        points[closed] = points[closed[:, None], index]
+    return points, counts
+
+
 def _filled(points: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out = np.zeros((len(counts), max(int(counts.max(initial=0)), 1), 2))
     starts = np.cumsum(counts) - counts
@@ -81,10 +92,15 @@ def _ahead(points: np.ndarray, counts: np.ndarray, steps: int) -> np.ndarray:
 
 def is_simple(points: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """At least three corners, some area, and no edge crossing another."""
-    p, q = points, np.roll(points, -1, axis=1)
-    a, b = (p[:, :, None], q[:, :, None]), (p[:, None], q[:, None])
-    crossing = (cross(*a, b[0]) * cross(*a, b[1]) < 0) & (cross(*b, a[0]) * cross(*b, a[1]) < 0)
-    return (counts >= 3) & (signed_area(points) != 0) & ~crossing.any(axis=(1, 2))
+    x, y = np.ascontiguousarray(points.T)
+    after = np.roll(np.arange(len(x)), -1)
+    parted = []  # by edge: whether its line parts the ends of each edge
+    for k, n in enumerate(after):
+        side = (x[n] - x[k]) * (y - y[k]) - (y[n] - y[k]) * (x - x[k])
+        parted.append(side * side[after] < 0)
+    parted = np.stack(parted)
+    crossing = (parted & parted.swapaxes(0, 1)).any(axis=(0, 1))
+    return (counts >= 3) & (signed_area(points) != 0) & ~crossing
 
 
 def is_convex(points: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -110,34 +126,43 @@ def clip(subject: np.ndarray, clipper: np.ndarray) -> np.ndarray:
     for k in range(clipper.shape[1]):
         start, stop = clipper[:, k, None], clipper[:, (k + 1) % clipper.shape[1], None]
         side = cross(start, stop, subject)
-        after, side_after = np.roll(subject, -1, axis=1), np.roll(side, -1, axis=1)
-        keep, keep_after = side >= 0, side_after >= 0
-        changes = keep != keep_after
-        share = np.where(changes, side / np.where(changes, side - side_after, 1), 0)
-        meeting = subject + share[..., None] * (after - subject)
-        # along each edge: the crossing point if any, then the end corner if kept
-        n, m = side.shape
-        offered = np.stack([meeting, after], axis=2).reshape(n, 2 * m, 2)
-        wanted = np.stack([changes, keep_after], axis=2).reshape(n, 2 * m)
-        counts = wanted.sum(axis=1)
-        width = max(int(counts.max(initial=0)), 1)
-        order = np.argsort(~wanted, axis=1, kind="stable")
-        pick = np.minimum(np.arange(width), np.maximum(counts - 1, 0)[:, None])
-        chosen = np.take_along_axis(order, pick, axis=1)
-        subject = np.take_along_axis(offered, chosen[..., None], axis=1)
-        subject = np.where((counts > 0)[:, None, None], subject, start)
+        cut = np.flatnonzero(~(side >= 0).all(axis=1))
+        if len(cut):
+            part, counts = _cut(subject[cut], side[cut])
+            part[counts == 0] = start[cut[counts == 0]]
+            if len(cut) < len(subject):  # the others stay as they are
+                width = np.arange(max(part.shape[1], subject.shape[1]))
+                whole = subject[:, np.minimum(width, subject.shape[1] - 1)]
+                whole[cut] = part[:, np.minimum(width, part.shape[1] - 1)]
+                part = whole
+            subject = part
     return subject
 
 
+def _cut(points: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each ring where ``side`` is not negative, and its number of corners."""
+    keep = side >= 0
+    keep_after = np.roll(keep, -1, axis=1)
+    # along each edge: the crossing point if any, then the end corner if kept
+    wanted = np.stack([keep != keep_after, keep_after], axis=2)
+    offered = np.repeat(np.roll(points, -1, axis=1)[:, :, None], 2, axis=2)
+    row, corner = np.nonzero(wanted[..., 0])
+    after = (corner + 1) % side.shape[1]
+    share = side[row, corner] / (side[row, corner] - side[row, after])
+    offered[row, corner, 0] = points[row, corner] + share[:, None] * (points[row, after] - points[row, corner])
+    counts = wanted.sum(axis=(1, 2))
+    return _filled(offered[wanted], counts), counts
+
+
 def _frame(box: tuple[tuple[float, float], ...], rows: int) -> np.ndarray:
     return np.broadcast_to(np.asarray(box, dtype=float), (rows, len(box), 2))
 
 
 def judge(frame: tuple[tuple[float, float], ...]):
-    """UDF over footprints: validity, and the counter-clockwise part inside a convex frame."""
+    """UDF over footprints, closed or not: validity, and the counter-clockwise part inside a convex frame."""
 
     def run(rings: pa.Array) -> pa.Array:
-        points, counts = corners(rings)
+        points, counts = opened(*corners(rings))
         simple = is_simple(points, counts)
         box = ccw(_frame(frame, len(points)))
         packed, inside, kept = pack(clip(ccw(points), box))
@@ -155,27 +180,46 @@ def shared_area(subject: np.ndarray, clipper: np.ndarray, counts: np.ndarray) ->
 
 
 def _shared_area(first: np.ndarray, first_convex: np.ndarray, second: np.ndarray, second_convex: np.ndarray) -> np.ndarray:
-    """Common area; whichever ring is convex clips the other.
-
-    Of two concave rings the second is the signed sum of the triangles between its first corner
-    and each of its edges: those that turn back cover what must go. Each triangle is convex, so
-    every part is one exact clip.
-    """
+    """Common area; whichever ring is convex clips the other."""
     out = np.zeros(len(first))
     turned = first_convex & ~second_convex
     for subject, clipper, rows in ((first, second, second_convex), (second, first, turned)):
         if rows.any():
             out[rows] = signed_area(clip(subject[rows], clipper[rows]))
     rest = np.flatnonzero(~second_convex & ~turned)
-    for k in range(1, second.shape[1] - 1):
-        part = second[rest][:, [0, k, k + 1]]
-        side = np.sign(signed_area(part))
-        some = side != 0
-        if some.any():
-            out[rest[some]] += side[some] * np.abs(signed_area(clip(first[rest[some]], ccw(part[some]))))
+    step = max(1, 200_000 // (first.shape[1] * second.shape[1]))
+    for at in range(0, len(rest), step):
+        rows = rest[at : at + step]
+        out[rows] = _edgewise_area(first[rows], second[rows])
     return np.maximum(out, 0.0)
 
 
+def _edgewise_area(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Common area of counter-clockwise simple rings of any shape, without clipping.
+
+    A ring is the sum of the regions below its edges, edges to the west counting positive and edges
+    to the east negative; so what two rings share is the sum, over pairs of edges, of what lies
+    below both: the lower of two lines over the stretch of x that the edges have in common.
+    """
+    origin = first[:, :1]
+    p, q = ((v - origin)[:, :, None] for v in (first, np.roll(first, -1, axis=1)))
+    r, s = ((v - origin)[:, None] for v in (second, np.roll(second, -1, axis=1)))
+    (px, py), (qx, qy), (rx, ry), (sx, sy) = ((v[..., 0], v[..., 1]) for v in (p, q, r, s))
+    low = np.maximum(np.minimum(px, qx), np.minimum(rx, sx))
+    high = np.minimum(np.maximum(px, qx), np.maximum(rx, sx))
+    wide, long = qx - px, sx - rx
+    some = (high > low) & (wide != 0) & (long != 0)
+    tilt, slant = (qy - py) / np.where(wide != 0, wide, 1), (sy - ry) / np.where(long != 0, long, 1)
+    # the height of either line at both ends, and how far the first is above the second there
+    a0, a1 = py + (low - px) * tilt, py + (high - px) * tilt
+    b0, b1 = ry + (low - rx) * slant, ry + (high - rx) * slant
+    d0, d1 = a0 - b0, a1 - b1
+    total = np.abs(d0) + np.abs(d1)
+    apart = np.where(d0 * d1 < 0, (d0 * d0 + d1 * d1) / np.where(total > 0, total, 1), total)
+    below = np.where(some, (a0 + a1 + b0 + b1 - apart) / 4 * (high - low), 0)
+    return (np.sign(wide) * np.sign(long) * below).sum(axis=(1, 2))
+
+
 def common_area():
     """UDF: area common to two packed simple counter-clockwise rings, each with a flag whether it is convex."""
 

@@ -54,7 +54,7 @@ def _measured(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _judged(scenes: DataFrame, frame: tuple[tuple[float, float], ...], project: bool) -> DataFrame:
-    ring = rings.open_ring(F.col("footprint"))
+    ring = F.col("footprint")
     judged = _measured(scenes, judged=footprints.judge(frame)(rings.project_ring(ring) if project else ring))
     return judged.drop("footprint").select("*", "judged.*").drop("judged")
 
@@ -73,9 +73,9 @@ def _known(*columns: str) -> Column:
     return reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns])
 
 
-def _shared_box(first: Column, second: Column) -> Column:
-    """Area common to the boxes of two parts: no less than what the parts share."""
-    along = lambda axis: F.greatest(F.least(first[f"{axis}1"], second[f"{axis}1"]) - F.greatest(first[f"{axis}0"], second[f"{axis}0"]), F.lit(0.0))
+def _shared_box() -> Column:
+    """Area common to the boxes of a pair's parts: no less than what the parts share."""
+    along = lambda axis: F.greatest(F.least(f"{axis}1_1", f"{axis}1_2") - F.greatest(f"{axis}0_1", f"{axis}0_2"), F.lit(0.0))
     return along("x") * along("y")
 
 
@@ -85,20 +85,23 @@ def candidate_pairs(scenes: DataFrame, rules: PairRules) -> DataFrame:
     The join key includes a time bucket as wide as the largest gap: a later scene
     can only sit in the same or the next bucket. A hot orbit key is thereby split
     over time, and each task compares neighbours instead of the whole key.
+    An earlier scene goes only to buckets in which a partner can be.
     """
     width = int(math.ceil(rules.max_days * _DAY_US))
-    micros = F.unix_micros(F.col("start_time").cast("timestamp"))
-    placed = scenes.withColumn("t", micros).withColumn("bucket", F.floor(F.col("t") / width))
+    least, most = int(rules.min_days * _DAY_US), int(rules.max_days * _DAY_US)
+    bucket_of = lambda t: F.floor(t / width)
+    t = F.col("t")
+    placed = scenes.withColumn("t", F.unix_micros(F.col("start_time").cast("timestamp"))).filter(bucket_of(t).isNotNull() & _known(*PAIR_KEYS))
     # both sides read the same columns of one exchange, so that every scene is judged once
-    base = placed.select(*PAIR_KEYS, "bucket", "file_id", "t", *_PART).filter(_known("bucket", *PAIR_KEYS)).repartition("file_id")
-    side = lambda k, bucket: base.select(
-        *PAIR_KEYS, bucket.alias("bucket"), F.col("file_id").alias(("first_id", "second_id")[k - 1]), F.col("t").alias(f"t{k}"), F.struct(*_PART).alias(f"part{k}")
-    )
-    first, second = side(1, F.explode(F.array("bucket", F.col("bucket") + 1))), side(2, F.col("bucket"))
+    base = placed.select(*PAIR_KEYS, "file_id", "t", *_PART).repartition("file_id")
+
+    def side(k: int, bucket: Column) -> DataFrame:
+        own = [F.col("file_id").alias(("first_id", "second_id")[k - 1]), *[F.col(c).alias(f"{c}_{k}") for c in _PART], F.col("t").alias(f"t{k}")]
+        return base.select(*PAIR_KEYS, bucket.alias("bucket"), *own)
+
+    first, second = side(1, F.explode(F.sequence(bucket_of(t + least), bucket_of(t + most)))), side(2, bucket_of(t))
     gap = F.col("t2") - F.col("t1")
-    joined = first.join(second, [*PAIR_KEYS, "bucket"]).filter(
-        gap.between(int(rules.min_days * _DAY_US), int(rules.max_days * _DAY_US))
-    )
+    joined = first.join(second, [*PAIR_KEYS, "bucket"]).filter(gap.between(least, most))
     return joined.withColumn("baseline_days", gap / float(_DAY_US))
 
 
@@ -108,10 +111,9 @@ def compatible_pairs(scenes: DataFrame, aoi: tuple[float, float, float, float],
     corners = list(zip(frame, frame[1:] + frame[:1]))
     frame_area = abs(sum((x1 - frame[0][0]) * (y2 - frame[0][1]) - (y1 - frame[0][1]) * (x2 - frame[0][0]) for (x1, y1), (x2, y2) in corners)) / 2
     pairs = candidate_pairs(usable_scenes(scenes, rules, frame, project), rules)
-    first, second = F.col("part1"), F.col("part2")
     # the margin is far above the rounding of either area
-    near = pairs.filter(_shared_box(first, second) >= rules.min_overlap * frame_area * (1 - 1e-6))
-    fraction = footprints.common_area()(first["inside"], first["convex"], second["inside"], second["convex"]) / frame_area
+    near = pairs.filter(_shared_box() >= rules.min_overlap * frame_area * (1 - 1e-6))
+    fraction = footprints.common_area()("inside_1", "convex_1", "inside_2", "convex_2") / frame_area
     scored = _measured(near, common_aoi_fraction=fraction).filter(F.col("common_aoi_fraction") >= rules.min_overlap)
     start, stop = F.timestamp_micros("t1"), F.timestamp_micros("t2")
     return scored.select(

@@ -65,6 +65,56 @@ def test_convex_ring_clips_the_concave_one(monkeypatch):
     assert area(packed[1], no, packed[1], no).to_pylist() == pytest.approx([12.0])
 
 
+def test_two_concave_rings_are_measured_without_clips(monkeypatch):
+    """Edge by edge, not a clip of three half planes for each of a ring's triangles."""
+    ell = np.array([[[0, 0], [4, 0], [4, 2], [2, 2], [2, 4], [0, 4]]], dtype=float)
+    notch = np.array([[[1, 1], [5, 1], [5, 5], [3, 1.5], [1, 5], [1, 1]]], dtype=float)
+    clips, clip = [], footprints.clip
+    monkeypatch.setattr(footprints, "clip", lambda s, c: clips.append(len(s)) or clip(s, c))
+    first, second = (footprints.pack(np.concatenate(v))[0] for v in ((np.pad(ell, ((0, 0), (0, 2), (0, 0)), "edge"),) * 2, [np.pad(v, ((0, 0), (0, 8 - v.shape[1]), (0, 0)), "edge") for v in (notch, ell + 4)]))
+    no = pa.array([False, False])
+    # the notch's left prong: x from 1 to 2 below 4 and below its slope from (1, 5) to (3, 1.5), then a strip up to y = 2 or the slopes
+    slope = lambda x: 5 - 1.75 * (x - 1) if x < 3 else 1.5 + 1.75 * (x - 3)
+    xs = 1 + (np.arange(300_000) + 0.5) / 100_000
+    strip = sum(min(4 if x < 2 else 2, slope(x)) - 1 for x in xs) / 100_000
+    assert footprints.common_area().func(first, no, second, no).to_pylist() == pytest.approx([strip, 0.0], abs=1e-8)
+    assert clips == []
+
+
+def test_edgewise_area_equals_clips_of_convex_rings():
+    """Also where edges lie on each other, end on each other or stand upright."""
+    quads = np.array([[[x, y], [x + w, y], [x + w + t, y + 2], [x + t, y + 2]] for x in (0, 1, 2) for y in (0, 1, 2) for w in (1, 2) for t in (-1, 0, 1)], dtype=float)
+    first, second = (quads[k.ravel()] for k in np.indices((len(quads),) * 2))
+    assert footprints._edgewise_area(first, second) == pytest.approx(np.maximum(footprints.signed_area(footprints.clip(first, second)), 0), abs=1e-12)
+
+
+def test_half_plane_works_on_the_rings_it_cuts(monkeypatch):
+    """Of 40 scenes of which 3 reach beyond one side of the frame, 3 are cut and the others stay."""
+    inner = np.array([[1, 1], [2, 1], [2, 2], [1, 2]], dtype=float)
+    rings, frame = np.repeat(inner[None], 40, axis=0), np.repeat(np.array([[[0, 0], [9, 0], [9, 9], [0, 9]]], dtype=float), 40, axis=0)
+    rings[[3, 8, 30], 1:3, 0] = 12
+    before, rows, cut = rings.copy(), [], footprints._cut
+    monkeypatch.setattr(footprints, "_cut", lambda p, s: rows.append(len(p)) or cut(p, s))
+    left = footprints.signed_area(footprints.clip(rings, frame))
+    assert rows == [3] and left.tolist() == [8.0 if k in (3, 8, 30) else 1.0 for k in range(40)] and (rings == before).all()
+
+
+def test_closing_corners_are_dropped_in_the_batch():
+    rings = [[(0, 0), (4, 0), (4, 4), (0, 0)], [(0, 0), (4, 0), (4, 4)], [(0, 0), (4, 0), (0, 0)], [(1, 1), (1, 1)], [], [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]]
+    kind = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    points, counts = footprints.opened(*footprints.corners(pa.array([[{"x": x, "y": y} for x, y in r] for r in rings], kind)))
+    assert counts.tolist() == [3, 3, 2, 1, 0, 4] and (points[0] == points[1]).all()
+    judged = footprints.judge(((0, 0), (8, 0), (8, 8), (0, 8))).func(pa.array([[{"x": x, "y": y} for x, y in r] for r in rings], kind)).to_pylist()
+    assert [(j["simple"], j["share"]) for j in judged] == [(True, 0.125), (True, 0.125), (False, 0), (False, 0), (False, 0), (True, 0.25)]
+
+
+def test_pairs_leave_boxes_behind(spark):
+    """Boxes end at the join, what is measured are the rings alone, and the scenes of one exchange serve both sides."""
+    plan = final_plan(entry.queries()["j2_concave_overlap"](spark, SF)).splitlines()
+    made = [k for k, line in enumerate(plan) if "ArrowEvalPython" in line]
+    assert len(made) == 2 and "inside_1#" in plan[made[0] + 1] and "x0_1#" not in plan[made[0] + 1]
+
+
 def test_texture_tasks_follow_the_raster(spark):
     """A raster of twice the cells is windowed by twice the tasks, not by larger ones."""
     cells = lambda height: spark.range(2).selectExpr("0L scene_id", "id row", "id col", f"{height}L height", "1000L width")
